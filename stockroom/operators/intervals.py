@@ -142,7 +142,10 @@ def spread_over_spine(
     if bounds is not None:
         lo_c = F.greatest(lo_c, F.lit(bounds[0]))
         hi_c = F.least(hi_c, F.lit(bounds[1]))
-    days = intervals.where(lo_c <= hi_c).withColumn("_day", F.explode(F.sequence(lo_c, hi_c)))
+    # greatest/least skip nulls, so intervals with a null end (which match no
+    # day) are dropped before clipping
+    bounded = intervals.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+    days = bounded.where(lo_c <= hi_c).withColumn("_day", F.explode(F.sequence(lo_c, hi_c)))
     matched = days.join(F.broadcast(spine), days["_day"] == spine[day], "inner").drop("_day")
     covered = days.select(F.col("_day")).distinct()
     uncovered = spine.join(F.broadcast(covered), spine[day] == covered["_day"], "left_anti")

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system has no streaming operator: no watermark, event-time
+window, session or stateful operator appears in any of its jobs.  Its one
+recurring load is the daily stock snapshot, a batch insert of one run day
+(``stockroom.plans.inventory.stock_snapshot`` written with
+``stockroom.sources.sinks.append_snapshot``).  Nothing is built here.
+"""
