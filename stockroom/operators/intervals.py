@@ -150,3 +150,65 @@ def spread_over_spine(
     covered = days.select(F.col("_day")).distinct()
     uncovered = spine.join(F.broadcast(covered), spine[day] == covered["_day"], "left_anti")
     return matched.unionByName(uncovered, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- J7, weekly form
+def spread_over_weeks(
+    spine: DataFrame,
+    intervals: DataFrame,
+    day: str,
+    lo: str,
+    hi: str,
+    bounds: tuple[dt.date, dt.date],
+    piece_keys: Sequence[Column],
+    weight: str = "_days",
+) -> DataFrame:
+    """``spine_join_literal`` pre-aggregated for reporting by week.
+
+    ``piece_keys`` are spine attributes, one of them the week ending; days
+    sharing all of them form a "piece" (the days of one week inside one month
+    and year).  Instead of one row per covered day, each interval gives one row
+    per piece it touches, with the number of covered days in ``weight``; spine
+    days that no interval covers give one row each (weight 1, null interval
+    columns).  Sums over days are then ``sum(x * weight)``.
+
+    Uncovered days are found from +1/-1 edges at interval starts and ends
+    summed per day (at most one row per spine day, aggregated map-side) and a
+    running total over the spine, whose size is fixed by its definition.
+    """
+    lo_c = F.greatest(F.col(lo), F.lit(bounds[0]))
+    hi_c = F.least(F.col(hi), F.lit(bounds[1]))
+    iv = (
+        intervals.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+        .withColumn("_lo", lo_c).withColumn("_hi", hi_c)
+        .where(F.col("_lo") <= F.col("_hi"))
+    )
+    keyed = spine.select(F.col(day).alias("_d"), *piece_keys)
+    names = [c for c in keyed.columns if c != "_d"]
+    # a piece lies inside one Monday..Sunday week, so its week end is the
+    # week end of its first day
+    pieces = keyed.groupBy(*names).agg(F.min("_d").alias("_p_lo"), F.max("_d").alias("_p_hi"))
+    pieces = pieces.withColumn("_p_week", F.date_add(F.trunc("_p_lo", "week"), 6))
+    weeks = iv.withColumn(
+        "_week",
+        F.explode(F.sequence(F.date_add(F.trunc("_lo", "week"), 6), F.date_add(F.trunc("_hi", "week"), 6),
+                             F.expr("INTERVAL 7 DAYS"))),
+    )
+    touched = weeks.join(F.broadcast(pieces), weeks["_week"] == pieces["_p_week"])
+    covered_days = F.datediff(F.least("_hi", "_p_hi"), F.greatest("_lo", "_p_lo")) + 1
+    touched = touched.withColumn(weight, covered_days).where(F.col(weight) > 0)
+    touched = touched.drop("_lo", "_hi", "_week", "_p_lo", "_p_hi", "_p_week")
+
+    edges = iv.select(F.explode(F.array(
+        F.struct(F.col("_lo").alias("_e"), F.lit(1).alias("_delta")),
+        F.struct(F.date_add("_hi", 1).alias("_e"), F.lit(-1).alias("_delta")),
+    )).alias("_edge")).groupBy(F.col("_edge._e").alias("_e")).agg(F.sum("_edge._delta").alias("_delta"))
+    running = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    depth = (
+        keyed.select("_d").join(edges, F.col("_d") == F.col("_e"), "left")
+        .withColumn("_open", F.sum(F.coalesce("_delta", F.lit(0))).over(running))
+        .where(F.col("_open") == 0).select(F.col("_d").alias("_ud"))
+    )
+    uncovered = keyed.join(F.broadcast(depth), F.col("_d") == F.col("_ud"), "left_semi").drop("_d")
+    uncovered = uncovered.withColumn(weight, F.lit(1))
+    return touched.unionByName(uncovered, allowMissingColumns=True)

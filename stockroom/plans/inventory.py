@@ -22,10 +22,7 @@ INSPECTED_OPTION = 176
 def stock_snapshot(inp: Inputs, as_of: dt.date) -> DataFrame:
     """Daily snapshot run on ``as_of``: the last stock row of every item, shop
     and day with the newest item attributes, row id ``as_of/shop/item``."""
-    item = latest_per_key(
-        inp.pos_item_history, ["id"], "updated_time", ["change_seq"],
-        ["category_id", "custom_sku", "avg_cost", "description"],
-    )
+    item = inp.latest("pos_item_history").select("id", "category_id", "custom_sku", "avg_cost", "description")
     stock = latest_per_key_per_day(
         inp.pos_item_shop_history, ["id", "item_id", "shop_id"], "updated_time", "inventorydate",
         ["change_seq"], ["qoh", "backorder"],

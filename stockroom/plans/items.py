@@ -14,14 +14,7 @@ from stockroom.sources.fixtures import Inputs
 
 def pos_items(inp: Inputs, sep: str = ITEM_UUID_SEP) -> DataFrame:
     """Newest version of each item with the newest vendor and brand names."""
-    item = latest_per_key(
-        inp.pos_item_history,
-        ["id"],
-        "updated_time",
-        ["change_seq"],
-        ["custom_sku", "manufacturer_id", "default_vendor_id", "category_id", "description",
-         "attribute_1", "attribute_2", "attribute_3"],
-    )
+    item = inp.latest("pos_item_history")
     vendor = latest_per_key(inp.pos_vendor_history, ["id"], "updated_time", ["change_seq"], ["name"])
     brand = latest_per_key(inp.pos_manufacturer_history, ["id"], "updated_time", ["change_seq"], ["name"])
     joined = (

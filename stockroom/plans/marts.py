@@ -14,6 +14,7 @@ from stockroom.operators.intervals import (
     record_start,
     spine_join_literal,
     spread_over_spine,
+    spread_over_weeks,
 )
 from stockroom.plans.schemas import POS
 
@@ -55,37 +56,81 @@ def inventory_on_spine(
     return spread_over_spine(spine, iv, "date", "startrecorddate", "record_date", bounds)
 
 
+_WEEKLY_KEYS = [
+    "year", "weekending", "month", "month_name", "week_of_year", "itemuuid", "sku", "categoryid", "source",
+    "brandname", "description", "color", "size", "attribute3", "georegion",
+]
+_WEEKLY_OUT = [
+    "weekending", "year", "month", "month_name", "week_of_year", "sku", "itemuuid",
+    "qoh_sum", "backorder_sum", "avg_cost", "categoryid", "source", "brandname", "description",
+    "color", "size", "attribute3", "georegion", "inventorydollars",
+]
+
+
+def _with_dims(frame: DataFrame, items: DataFrame, locations: DataFrame) -> DataFrame:
+    it = items.select(
+        F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3"
+    )
+    loc = locations.select(F.col("locationid").alias("_locid"), F.col("category").alias("georegion"))
+    j = frame.join(it, frame["itemuuid"] == it["_uuid"], "left")
+    return j.join(loc, j["locationid"] == loc["_locid"], "left").drop("_uuid", "_locid")
+
+
 def inventory_weekly(
     spine: DataFrame,
     intervals: DataFrame,
     items: DataFrame,
     locations: DataFrame,
-    bounds: tuple[dt.date, dt.date] | None = None,
+    bounds: tuple[dt.date, dt.date],
 ) -> DataFrame:
     """Stock, backorder, average cost and inventory dollars per week, item and
-    location group."""
-    days = inventory_on_spine(spine, intervals, bounds)
-    it = items.select(
-        F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3"
+    location group.
+
+    Same result as grouping the day-level spread (``inventory_weekly_by_day``)
+    but each interval is expanded to the week pieces it touches, weighted by
+    covered days, after the dimension joins: far fewer rows reach the
+    aggregate.  Sums are weighted sums; each average is the weighted sum over
+    the weighted count, divided with the same decimal types as ``avg`` so that
+    rounding is identical.
+    """
+    iv = _with_dims(_interval_cols(intervals), items, locations).select(
+        "record_date", "startrecorddate", "itemuuid", "sku", "categoryid", "source", "brandname",
+        "description", "color", "size", "attribute3", "georegion", "qoh", "backorder", "cost",
     )
-    loc = locations.select(F.col("locationid").alias("_locid"), F.col("category").alias("georegion"))
-    j = days.join(it, days["itemuuid"] == it["_uuid"], "left").join(loc, days["locationid"] == loc["_locid"], "left")
-    keys = [
-        "year", week_ending("date").alias("weekending"), "month", "month_name", "week_of_year",
-        "itemuuid", "sku", "categoryid", "source", "brandname", "description", "color", "size",
-        "attribute3", "georegion",
-    ]
-    agg = j.groupBy(*keys).agg(
+    piece_keys = [F.col("year"), week_ending("date").alias("weekending"), F.col("month"),
+                  F.col("month_name"), F.col("week_of_year")]
+    rows = spread_over_weeks(spine, iv, "date", "startrecorddate", "record_date", bounds, piece_keys)
+    w = F.col("_days")
+    cost_sum = F.sum(F.col("cost") * w).cast("decimal(16,2)")
+    cost_days = F.sum(F.when(F.col("cost").isNotNull(), w)).cast("decimal(20,0)")
+    qoh_avg = (F.sum(F.col("qoh") * w).cast("decimal(30,0)")
+               / F.sum(F.when(F.col("qoh").isNotNull(), w)).cast("decimal(20,0)")).cast("decimal(24,4)")
+    agg = rows.groupBy(*_WEEKLY_KEYS).agg(
+        F.sum(F.col("qoh") * w).alias("qoh_sum"),
+        F.sum(F.col("backorder") * w).alias("backorder_sum"),
+        (cost_sum / cost_days).cast("decimal(10,6)").alias("avg_cost"),
+        (cost_sum * qoh_avg).alias("inventorydollars"),
+    )
+    return agg.select(*_WEEKLY_OUT)
+
+
+def inventory_weekly_by_day(
+    spine: DataFrame,
+    intervals: DataFrame,
+    items: DataFrame,
+    locations: DataFrame,
+    bounds: tuple[dt.date, dt.date] | None = None,
+) -> DataFrame:
+    """The source's form: spread to days, join dimensions, group by week."""
+    days = _with_dims(inventory_on_spine(spine, intervals, bounds), items, locations)
+    keyed = days.withColumn("weekending", week_ending("date"))
+    agg = keyed.groupBy(*_WEEKLY_KEYS).agg(
         F.sum("qoh").alias("qoh_sum"),
         F.sum("backorder").alias("backorder_sum"),
         F.avg("cost").alias("avg_cost"),
         (F.sum("cost") * F.avg(F.col("qoh").cast("decimal(20,0)"))).alias("inventorydollars"),
     )
-    return agg.select(
-        "weekending", "year", "month", "month_name", "week_of_year", "sku", "itemuuid",
-        "qoh_sum", "backorder_sum", "avg_cost", "categoryid", "source", "brandname", "description",
-        "color", "size", "attribute3", "georegion", "inventorydollars",
-    )
+    return agg.select(*_WEEKLY_OUT)
 
 
 def _sales_base(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:

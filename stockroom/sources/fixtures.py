@@ -561,6 +561,7 @@ class Inputs:
         self.sf_dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
         self._sources: dict[str, DataFrame] = {}
+        self._latest: dict[tuple, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -573,6 +574,16 @@ class Inputs:
             self._sources[name] = src.spark_base(self.table).selectExpr(*src.spark_exprs())
         return self._sources[name]
 
+    def latest(self, name: str, keys: tuple[str, ...] = ("id",), ts: str = "updated_time") -> DataFrame:
+        """Newest version per key of a change-log input, built once per
+        ``Inputs`` so that every plan using it shares one exchange."""
+        from stockroom.operators.dedup import latest_per_key
+
+        memo = (name, keys, ts)
+        if memo not in self._latest:
+            self._latest[memo] = latest_per_key(self[name], list(keys), ts, ["change_seq"])
+        return self._latest[memo]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in SOURCES:
             return self[name]
