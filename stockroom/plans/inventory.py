@@ -13,7 +13,7 @@ from stockroom.operators.dedup import latest_per_key, latest_per_key_per_day
 from stockroom.operators.intervals import asof_join, lead_month, lead_month_literal, start_after_previous
 from stockroom.plans.items import shop_category_ids
 from stockroom.plans.schemas import INVENTORY_FACT, POS, SHOP, STOCK_SNAPSHOT
-from stockroom.sources.fixtures import Inputs
+from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 
 # Option whose cost history the source's inspection queries look at.
 INSPECTED_OPTION = 176
@@ -25,7 +25,7 @@ def stock_snapshot(inp: Inputs, as_of: dt.date) -> DataFrame:
     item = inp.latest("pos_item_history").select("id", "category_id", "custom_sku", "avg_cost", "description")
     stock = latest_per_key_per_day(
         inp.pos_item_shop_history, ["id", "item_id", "shop_id"], "updated_time", "inventorydate",
-        ["change_seq"], ["qoh", "backorder"],
+        CHANGE_ORDER, ["qoh", "backorder"],
     )
     # a left join whose right side is filtered to its newest rows: an inner join
     j = stock.join(item.withColumnRenamed("id", "_iid"), F.col("item_id") == F.col("_iid"))
@@ -48,7 +48,7 @@ def stock_snapshot(inp: Inputs, as_of: dt.date) -> DataFrame:
 def moves_last_of_day(inp: Inputs) -> DataFrame:
     """Last inventory move of each option and day."""
     last = latest_per_key_per_day(
-        inp.shop_inventory_move, ["option_id"], "changetime", "inventorydate", ["change_seq"],
+        inp.shop_inventory_move, ["option_id"], "changetime", "inventorydate", CHANGE_ORDER,
         ["oldinv", "newinv"],
     )
     return last.select(

@@ -9,14 +9,14 @@ from stockroom.functions import ITEM_UUID_SEP, as_text, item_uuid, typed_null
 from stockroom.operators.conform import union_conformed
 from stockroom.operators.dedup import latest_per_key
 from stockroom.plans.schemas import ITEM_DIM, POS, SHOP
-from stockroom.sources.fixtures import Inputs
+from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 
 
 def pos_items(inp: Inputs, sep: str = ITEM_UUID_SEP) -> DataFrame:
     """Newest version of each item with the newest vendor and brand names."""
     item = inp.latest("pos_item_history")
-    vendor = latest_per_key(inp.pos_vendor_history, ["id"], "updated_time", ["change_seq"], ["name"])
-    brand = latest_per_key(inp.pos_manufacturer_history, ["id"], "updated_time", ["change_seq"], ["name"])
+    vendor = latest_per_key(inp.pos_vendor_history, ["id"], "updated_time", CHANGE_ORDER, ["name"])
+    brand = latest_per_key(inp.pos_manufacturer_history, ["id"], "updated_time", CHANGE_ORDER, ["name"])
     joined = (
         item.join(vendor.select(F.col("id").alias("_vid"), F.col("name").alias("vendorname")),
                   F.col("default_vendor_id") == F.col("_vid"))

@@ -9,12 +9,12 @@ from stockroom.functions import typed_null
 from stockroom.operators.conform import union_conformed
 from stockroom.operators.dedup import latest_per_key
 from stockroom.plans.schemas import LOCATION_DIM, POS, SHOP
-from stockroom.sources.fixtures import Inputs
+from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 
 
 def location_latest(inp: Inputs) -> DataFrame:
     latest = latest_per_key(
-        inp.pos_shop_history, ["id"], "updated_time", ["change_seq"], ["updated_time", "name", "time_zone"]
+        inp.pos_shop_history, ["id"], "updated_time", CHANGE_ORDER, ["updated_time", "name", "time_zone"]
     )
     return latest.withColumn("locationrownumber", F.lit(1))
 

@@ -12,7 +12,7 @@ from stockroom.functions import ITEM_UUID_SEP, as_text, item_uuid, percent
 from stockroom.operators.conform import union_conformed
 from stockroom.operators.dedup import latest_per_key, rank_versions
 from stockroom.plans.schemas import ORDER_FACT, POS, SHOP
-from stockroom.sources.fixtures import Inputs
+from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 
 # The source keeps web-shop orders from this day on.
 MIN_ORDER_DATE = dt.date(2020, 1, 1)
@@ -21,13 +21,13 @@ ACCEPTED_STATUSES = (1, 2, 3)
 
 
 def pos_orders_latest(inp: Inputs) -> DataFrame:
-    return latest_per_key(inp.pos_order_history, ["id"], "updated_time", ["change_seq"])
+    return latest_per_key(inp.pos_order_history, ["id"], "updated_time", CHANGE_ORDER)
 
 
 def pos_order_lines_latest(inp: Inputs) -> DataFrame:
     """Newest version of each order line (key: line id and order id)."""
     return latest_per_key(
-        inp.pos_order_line_history, ["id", "order_id"], "updated_time", ["change_seq"],
+        inp.pos_order_line_history, ["id", "order_id"], "updated_time", CHANGE_ORDER,
         ["updated_time", "item_id", "total", "price", "original_price", "quantity"],
     )
 
@@ -92,7 +92,7 @@ def discounted_orders_ranked(inp: Inputs) -> DataFrame:
     """Order versions with a discount, ranked newest first per order (the
     discount filter runs before the ranking, as in the source)."""
     h = inp.pos_order_history.where(F.col("total_discount") > 0)
-    ranked = rank_versions(h, ["id"], "updated_time", ["change_seq"], "orderrownumber")
+    ranked = rank_versions(h, ["id"], "updated_time", CHANGE_ORDER, "orderrownumber")
     return ranked.select(
         "id", "updated_time", "shop_id", "ordered_date", "received_date", "arrival_date", "ship_cost",
         percent("discount").alias("discount_pct"), "total_discount", "total_quantity", "orderrownumber",

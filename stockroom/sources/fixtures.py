@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 Expr = str | tuple[str, str]
 
+# tie-breakers of rows of one key landed at the same time
+CHANGE_ORDER = ["change_seq", "change_sub"]
+
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -56,10 +59,10 @@ def _days_after_2000(n: str) -> tuple[str, str]:
 
 NULL_TS: tuple[str, str] = ("CAST(NULL AS TIMESTAMP_NTZ)", "CAST(NULL AS TIMESTAMP)")
 BRAND_NO = "CAST(substring(p_brand, 7) AS BIGINT)"
-LINE_SEQ = (
-    "CAST(l_orderkey AS STRING) || '.' || CAST(l_linenumber AS STRING) || '.' || "
-    "CAST(l_partkey AS STRING) || '.' || CAST(l_suppkey AS STRING)"
-)
+# Change-log order of rows landed at the same time: (change_seq, change_sub)
+# is unique per lineitem row (line number < 8, supplier key < 2^20 in the data).
+LINE_SEQ = "l_orderkey * 8 + l_linenumber"
+LINE_SUB = "l_partkey * 1048576 + l_suppkey"
 RETAIL = _money("p_retailprice")
 
 
@@ -157,6 +160,7 @@ _add(Source(
         ("avg_cost", _unit_price(100)),
         ("publish_to_ecom", "l_linestatus = 'O'"),
         ("change_seq", LINE_SEQ),
+        ("change_sub", LINE_SUB),
     ],
 ))
 _add(Source(
@@ -174,7 +178,8 @@ _add(Source(
         ("component_backorder", "CAST(0 AS BIGINT)"),
         ("reorder_point", "CAST(5 AS BIGINT)"),
         ("reorder_level", "CAST(10 AS BIGINT)"),
-        ("change_seq", "CAST(event_id AS STRING)"),
+        ("change_seq", "event_id"),
+        ("change_sub", "CAST(0 AS BIGINT)"),
     ],
 ))
 _add(Source(
@@ -186,7 +191,8 @@ _add(Source(
         ("updated_time", "ts"),
         ("name", "'Shop ' || event_type || ' ' || CAST(event_id AS STRING)"),
         ("time_zone", "'UTC'"),
-        ("change_seq", "CAST(event_id AS STRING)"),
+        ("change_seq", "event_id"),
+        ("change_sub", "CAST(0 AS BIGINT)"),
     ],
 ))
 _add(Source(
@@ -199,7 +205,8 @@ _add(Source(
         ("name", "' $.' || p_type || './ ' || p_name || ' /' || p_brand || ' $'"),
         ("full_path_name", "p_type || '/' || p_name"),
         ("node_depth", "CAST(p_partkey % 5 AS INT)"),
-        ("change_seq", "CAST(p_partkey AS STRING)"),
+        ("change_seq", "p_partkey"),
+        ("change_sub", "CAST(0 AS BIGINT)"),
     ],
 ))
 _add(Source(
@@ -211,6 +218,7 @@ _add(Source(
         ("updated_time", "l_shipdate"),
         ("name", "'Vendor ' || CAST(l_suppkey AS STRING) || l_linestatus"),
         ("change_seq", LINE_SEQ),
+        ("change_sub", LINE_SUB),
     ],
 ))
 _add(Source(
@@ -221,7 +229,8 @@ _add(Source(
         ("id", BRAND_NO),
         ("updated_time", _days_after_2000("p_partkey")),
         ("name", "p_brand || ' ' || p_type"),
-        ("change_seq", "CAST(p_partkey AS STRING)"),
+        ("change_seq", "p_partkey"),
+        ("change_sub", "CAST(0 AS BIGINT)"),
     ],
 ))
 _add(Source(
@@ -240,6 +249,7 @@ _add(Source(
         ("total_discount", _money("l_discount")),
         ("total_quantity", "CAST(l_quantity AS BIGINT)"),
         ("change_seq", LINE_SEQ),
+        ("change_sub", LINE_SUB),
     ],
 ))
 _add(Source(
@@ -256,6 +266,7 @@ _add(Source(
         ("original_price", _unit_price(1)),
         ("quantity", "CAST(l_quantity AS BIGINT)"),
         ("change_seq", LINE_SEQ),
+        ("change_sub", LINE_SUB),
     ],
 ))
 
@@ -401,6 +412,7 @@ _add(Source(
         ("changetime", ("l_shipdate + make_interval(0, 0, 0, 0, l_linenumber, 0, 0)",
                         "l_shipdate + to_hours(l_linenumber)")),
         ("change_seq", LINE_SEQ),
+        ("change_sub", LINE_SUB),
     ],
 ))
 _add(Source(
@@ -581,7 +593,7 @@ class Inputs:
 
         memo = (name, keys, ts)
         if memo not in self._latest:
-            self._latest[memo] = latest_per_key(self[name], list(keys), ts, ["change_seq"])
+            self._latest[memo] = latest_per_key(self[name], list(keys), ts, CHANGE_ORDER)
         return self._latest[memo]
 
     def __getattr__(self, name: str) -> DataFrame:
