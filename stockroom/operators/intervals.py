@@ -72,29 +72,71 @@ def lead_across_groups_literal(
     return df.withColumn(out, F.lead(date).over(w))
 
 
+def next_in_order(df: DataFrame, key: str, value: str, out: str, buckets: int | None = None) -> DataFrame:
+    """For a frame with one row per ``key``: ``out`` = ``value`` of the next row
+    in ``key ASC NULLS LAST`` order (``LEAD(value) OVER (ORDER BY key)``)
+    without sending the frame through one task.
+
+    Rows are range-partitioned on the key (bounds sampled by Spark, so each
+    range holds about ``1/buckets`` of the rows) and the range number is frozen
+    by a checkpoint in the shared checkpoint folder.  Inside a range the next
+    row is a partitioned lead; the last row of a range takes the first value of
+    the next non-empty range, read from a frame with one row per range.
+    """
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asc = F.col(key).asc_nulls_last()
+    ranged = df.repartitionByRange(n, asc).withColumn("_rng", F.spark_partition_id()).checkpoint(eager=True)
+    w = Window.partitionBy("_rng").orderBy(asc)
+    inner = ranged.withColumn("_nv", F.lead(value).over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    # first row of a range: its smallest key, or the null key when that is all it holds
+    heads = ranged.groupBy("_rng").agg(
+        F.when(F.count(key) > 0, F.min_by(value, key)).otherwise(F.max(value)).alias("_head")
+    )
+    heads = heads.select("_rng", F.lead("_head").over(Window.orderBy("_rng")).alias("_next_head"))
+    # at most `buckets` rows
+    joined = inner.join(F.broadcast(heads), "_rng")
+    return joined.withColumn(out, F.when(F.col("_last"), F.col("_next_head")).otherwise(F.col("_nv"))).drop(
+        "_rng", "_nv", "_last", "_next_head"
+    )
+
+
 def lead_across_groups(
-    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str
+    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, successor: str = "range"
 ) -> DataFrame:
     """Same values as ``lead_across_groups_literal``.
 
     Inside a group the lead is a partitioned window.  The last row of a group
-    takes the first date of the next group, which is read from a frame with one
-    row per group (its first date in DESC NULLS FIRST order).
+    takes the first date of the next group, read from a frame with one row per
+    group (its first date in DESC NULLS FIRST order) whose successor is found
+    by ``next_in_order`` (``successor="range"``) or, for a frame known to be
+    small, by one global window (``successor="window"``).
     """
-    w = Window.partitionBy(group).orderBy(*_group_order(group, date, tie_breakers))
-    inner = df.withColumn("_lead_in", F.lead(date).over(w)).withColumn(
+    # null-safe group key as two plain columns, so the window's partitioning
+    # also serves the join back and the fact is shuffled once
+    gk = df.withColumn("_gk", F.coalesce(F.col(group).cast("string"), F.lit(""))).withColumn(
+        "_gn", F.col(group).isNull()
+    )
+    w = Window.partitionBy("_gk", "_gn").orderBy(*_group_order(group, date, tie_breakers))
+    inner = gk.withColumn("_lead_in", F.lead(date).over(w)).withColumn(
         "_is_last", F.lead(F.lit(1)).over(w).isNull()
     )
     first = F.when(F.count(F.lit(1)) > F.count(F.col(date)), F.lit(None)).otherwise(F.max(date))
     groups = df.groupBy(group).agg(first.alias("_first"))
+    if successor == "window":
+        groups = groups.withColumn(
+            "_next_first", F.lead("_first").over(Window.orderBy(F.col(group).asc_nulls_last()))
+        )
+    else:
+        groups = next_in_order(groups, group, "_first", "_next_first")
     groups = groups.select(
-        F.col(group).alias("_g"),
-        F.lead("_first").over(Window.orderBy(F.col(group).asc_nulls_last())).alias("_next_first"),
+        F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_gk2"),
+        F.col(group).isNull().alias("_gn2"),
+        "_next_first",
     )
-    joined = inner.join(groups, inner[group].eqNullSafe(F.col("_g")), "left")
+    joined = inner.join(groups, (F.col("_gk") == F.col("_gk2")) & (F.col("_gn") == F.col("_gn2")), "left")
     return joined.withColumn(
         out, F.when(F.col("_is_last"), F.col("_next_first")).otherwise(F.col("_lead_in"))
-    ).drop("_lead_in", "_is_last", "_g", "_next_first")
+    ).drop("_gk", "_gn", "_gk2", "_gn2", "_lead_in", "_is_last", "_next_first")
 
 
 # ---------------------------------------------------------------- J6

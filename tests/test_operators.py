@@ -213,3 +213,24 @@ def test_required_column_violations(spark):
     empty = df.where("false")
     out = rows(required_column_violations({"t": (df, ["a", "b"]), "e": (empty, ["a"])}))
     assert out == sorted([("t", "a", 1), ("t", "b", 2), ("e", "a", 0)], key=repr)
+
+
+def test_next_in_order_across_ranges(spark):
+    from stockroom.operators.intervals import next_in_order
+
+    keys = [f"k{i:04d}" for i in range(0, 400, 3)] + [None]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v bigint")
+    got = dict((r["k"], r["nxt"]) for r in next_in_order(df, "k", "v", "nxt", buckets=5).collect())
+    order = sorted(keys, key=lambda k: (k is None, k or ""))
+    expected = {k: (dict(zip(keys, range(len(keys))))[order[i + 1]] if i + 1 < len(order) else None)
+                for i, k in enumerate(order)}
+    assert got == expected
+
+
+def test_lead_across_groups_window_successor(spark):
+    rnd = random.Random(8)
+    data = [(f"g{rnd.randint(0, 30)}", D(2024, 1, rnd.randint(1, 28)), i) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, d date, id bigint")
+    a = rows(lead_across_groups_literal(df, "g", "d", ["id"], "prev"))
+    b = rows(lead_across_groups(df, "g", "d", ["id"], "prev", successor="window"))
+    assert a == b
