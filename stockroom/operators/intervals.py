@@ -72,19 +72,33 @@ def lead_across_groups_literal(
     return df.withColumn(out, F.lead(date).over(w))
 
 
-def next_in_order(df: DataFrame, key: str, value: str, out: str, buckets: int | None = None) -> DataFrame:
+# Largest frame ordered in a single task by ``next_in_order``.
+SINGLE_TASK_ORDER_ROWS = 1_000_000
+
+
+def next_in_order(
+    df: DataFrame,
+    key: str,
+    value: str,
+    out: str,
+    buckets: int | None = None,
+    single_task_rows: int = SINGLE_TASK_ORDER_ROWS,
+) -> DataFrame:
     """For a frame with one row per ``key``: ``out`` = ``value`` of the next row
-    in ``key ASC NULLS LAST`` order (``LEAD(value) OVER (ORDER BY key)``)
-    without sending the frame through one task.
+    in ``key ASC NULLS LAST`` order (``LEAD(value) OVER (ORDER BY key)``).
 
-    Rows are range-partitioned on the key (bounds sampled by Spark, so each
+    The frame is counted first.  Up to ``single_task_rows`` rows (a measured
+    bound) one global window orders it.  Beyond that it never passes through
+    one task: rows are range-partitioned on the key (bounds sampled by Spark, so each
     range holds about ``1/buckets`` of the rows) and the range number is frozen
     by a checkpoint in the shared checkpoint folder.  Inside a range the next
     row is a partitioned lead; the last row of a range takes the first value of
     the next non-empty range, read from a frame with one row per range.
     """
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asc = F.col(key).asc_nulls_last()
+    if buckets is None and df.count() <= single_task_rows:
+        return df.withColumn(out, F.lead(value).over(Window.orderBy(asc)))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, asc).withColumn("_rng", F.spark_partition_id()).checkpoint(eager=True)
     w = Window.partitionBy("_rng").orderBy(asc)
     inner = ranged.withColumn("_nv", F.lead(value).over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
