@@ -9,9 +9,10 @@ gives the same rows but its struct buffer forces a sort-based aggregate,
 which measured slower; it stays available as ``latest_per_key_agg``.)
 
 ``rank_versions`` keeps every version with its rank (``ROW_NUMBER()`` selected,
-not filtered).  Ranks need all rows of a key in order; ``rank_versions_bucketed``
-computes them for keys too large for one task by splitting each key into
-time buckets and adding per-bucket offsets.
+not filtered).  Ranks need all rows of a key in order; it computes them
+without one task per key by splitting each key into time buckets and adding
+per-bucket offsets (measured at the same cost as the plain window,
+``rank_versions_window``).
 """
 
 from __future__ import annotations
@@ -85,19 +86,20 @@ def latest_per_key_per_day(
     return latest_per_key(with_day, [*keys, day_col], ts, tie_breakers, cols)
 
 
-def rank_versions(
+def rank_versions_window(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     tie_breakers: Sequence[str] = (),
     rn: str = "rn",
 ) -> DataFrame:
-    """Every row with its version number, 1 = newest (window form)."""
+    """Every row with its version number, 1 = newest (one window; all rows of
+    a key in one task)."""
     w = Window.partitionBy(*keys).orderBy(*newest_first(ts, tie_breakers))
     return df.withColumn(rn, F.row_number().over(w))
 
 
-def rank_versions_bucketed(
+def rank_versions(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
@@ -105,7 +107,8 @@ def rank_versions_bucketed(
     rn: str = "rn",
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Same ranks as ``rank_versions`` without sending all rows of a key to one task.
+    """Every row with its version number, 1 = newest: the ranks of
+    ``rank_versions_window`` without sending all rows of a key to one task.
 
     Rows are ranked inside (key, bucket) where ``bucket`` is a non-decreasing
     function of ``ts`` (default: its calendar day, nulls in a bucket of their

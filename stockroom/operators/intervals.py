@@ -114,10 +114,73 @@ def next_in_order(
     )
 
 
+def _asc_nulls_last_struct(cols: Sequence[str]) -> Column:
+    # max() of this struct is the last row under ASC NULLS LAST ordering
+    fields = []
+    for i, c in enumerate(cols):
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*fields)
+
+
 def lead_across_groups(
     df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, successor: str = "range"
 ) -> DataFrame:
-    """Same values as ``lead_across_groups_literal``.
+    """Same values as ``lead_across_groups_literal``, built from aggregates so
+    that no group, date or repeated row has to sit in one task.
+
+    ``group``, ``date`` and ``tie_breakers`` must cover every column (then the
+    order is total up to identical rows).  In (group, date DESC, ties) order
+    the next row of any row has the same date, except for the last copy of the
+    last tie tuple of a (group, date) pair, whose next row opens the next pair
+    of the group or, after the group's last pair, the next group.  So:
+
+    1. identical rows collapse to one row with a multiplicity (partial
+       aggregation);
+    2. per (group, date) pair, the last tie tuple (a max aggregate);
+    3. per group, the next pair's date: a window over the group's distinct
+       dates only;
+    4. after the last pair, the next group's first date (``next_in_order``);
+    5. rows meet their pair again in a join that AQE can split when skewed,
+       and multiplicities expand back to rows.
+    """
+    if set(df.columns) != {group, date, *tie_breakers}:
+        return lead_across_groups_window(df, group, date, tie_breakers, out, successor)
+    cols = df.columns
+    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = rows.groupBy(group, date).agg(F.max(_asc_nulls_last_struct(tie_breakers)).alias("_last_tb"))
+    w = Window.partitionBy(group).orderBy(F.col(date).desc_nulls_first())
+    pairs = pairs.withColumn("_pair_next", F.lead(date).over(w)).withColumn(
+        "_last_pair", F.lead(F.lit(1)).over(w).isNull()
+    )
+    # a group's first row in date DESC NULLS FIRST order: one aggregate of the input
+    first = F.when(F.count(F.lit(1)) > F.count(F.col(date)), F.lit(None)).otherwise(F.max(date))
+    groups = df.groupBy(group).agg(first.alias("_first"))
+    if successor == "window":
+        groups = groups.withColumn(
+            "_next_first", F.lead("_first").over(Window.orderBy(F.col(group).asc_nulls_last()))
+        )
+    else:
+        groups = next_in_order(groups, group, "_first", "_next_first")
+    pairs = pairs.join(
+        groups.select(F.col(group).alias("_g"), "_next_first"), pairs[group].eqNullSafe(F.col("_g")), "left"
+    )
+    pairs = pairs.select(
+        F.col(group).alias("_pg"), F.col(date).alias("_pd"), "_last_tb",
+        F.when(F.col("_last_pair"), F.col("_next_first")).otherwise(F.col("_pair_next")).alias("_pair_lead"),
+    )
+    on = rows[group].eqNullSafe(pairs["_pg"]) & rows[date].eqNullSafe(pairs["_pd"])
+    joined = rows.join(pairs, on, "left")
+    is_last_tuple = _asc_nulls_last_struct(tie_breakers) == F.col("_last_tb")
+    copies = joined.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    lead = F.when(is_last_tuple & (F.col("_i") == F.col("_n")), F.col("_pair_lead")).otherwise(F.col(date))
+    return copies.withColumn(out, lead).select(*cols, out)
+
+
+def lead_across_groups_window(
+    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, successor: str = "range"
+) -> DataFrame:
+    """Same values as ``lead_across_groups_literal``, with all rows of a group
+    in one task.
 
     Inside a group the lead is a partitioned window.  The last row of a group
     takes the first date of the next group, read from a frame with one row per

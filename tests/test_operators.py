@@ -25,11 +25,12 @@ from stockroom.operators.dedup import (
     latest_per_key_per_day,
     newest_first,
     rank_versions,
-    rank_versions_bucketed,
+    rank_versions_window,
 )
 from stockroom.operators.intervals import (
     lead_across_groups,
     lead_across_groups_literal,
+    lead_across_groups_window,
     lead_month,
     lead_month_literal,
     spine_join_literal,
@@ -134,8 +135,8 @@ def test_bucketed_ranks_equal_window_ranks_with_a_hot_key(spark):
         ts = None if rnd.random() < .02 else T(2024, 1, rnd.randint(1, 20), rnd.randint(0, 23))
         data.append((k, ts, f"{i:05d}", str(i)))
     df = spark.createDataFrame(data, HIST_SCHEMA)
-    a = rows(rank_versions(df, ["k"], "ts", ["seq"], "rn"), "v", "rn")
-    b = rows(rank_versions_bucketed(df, ["k"], "ts", ["seq"], "rn"), "v", "rn")
+    a = rows(rank_versions_window(df, ["k"], "ts", ["seq"], "rn"), "v", "rn")
+    b = rows(rank_versions(df, ["k"], "ts", ["seq"], "rn"), "v", "rn")
     assert a == b
 
 
@@ -234,3 +235,17 @@ def test_lead_across_groups_window_successor(spark):
     a = rows(lead_across_groups_literal(df, "g", "d", ["id"], "prev"))
     b = rows(lead_across_groups(df, "g", "d", ["id"], "prev", successor="window"))
     assert a == b
+
+
+def test_lead_across_groups_with_duplicates_and_a_hot_group(spark):
+    rnd = random.Random(21)
+    data = []
+    for i in range(2000):
+        g = "hot" if i < 700 else (f"g{rnd.randint(0, 40):02d}" if rnd.random() > .02 else None)
+        d = D(2024, 1, rnd.randint(1, 5)) if rnd.random() > .03 else None
+        data.append((g, d, rnd.choice(["a", "b", None]), rnd.randint(0, 3)))   # many identical rows
+    df = spark.createDataFrame(data, "g string, d date, loc string, q int")
+    a = rows(lead_across_groups_literal(df, "g", "d", ["loc", "q"], "prev"))
+    b = rows(lead_across_groups(df, "g", "d", ["loc", "q"], "prev"))
+    c = rows(lead_across_groups_window(df, "g", "d", ["loc", "q"], "prev"))
+    assert a == b == c
