@@ -18,6 +18,7 @@ from stockroom.operators.conform import required_column_violations as _violation
 from stockroom.plans import audit, calendar, catalog, category, channel, inventory, items, locations, marts, orders
 from stockroom.plans.schemas import REQUIRED
 from stockroom.sources.fixtures import Inputs
+from stockroom.session import ensure_checkpoint_dir
 from stockroom.sources.sinks import materialize
 
 AS_OF = dt.date(2001, 12, 31)
@@ -141,6 +142,10 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
 
 def _runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # epoch and date conversions are defined in UTC; the checkpoint folder
+        # is the cluster's own when set, a scratch folder only when unset
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
         return _BUILDERS[name](Mart(spark, sf_dir))
 
     run.__name__ = name
