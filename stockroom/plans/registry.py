@@ -35,9 +35,11 @@ class Mart:
     interval lead, the range successor) read files instead of recomputing it.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize_facts: bool = True):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, materialize_facts: bool = True, staged_dir: str | None = None
+    ):
         self.spark = spark
-        self.inp = Inputs(spark, sf_dir)
+        self.inp = Inputs(spark, sf_dir, staged_dir)
         self.materialize_facts = materialize_facts
         self._cache: dict[str, DataFrame] = {}
 
@@ -140,13 +142,19 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
 }
 
 
+def build(name: str, spark: SparkSession, sf_dir: str, staged_dir: str | None = None) -> DataFrame:
+    """The DataFrame of one query key; inputs projected from ``sf_dir`` or, with
+    ``staged_dir``, read from inputs staged there by ``stage_inputs``."""
+    # epoch and date conversions are defined in UTC; the checkpoint folder is
+    # the cluster's own when set, a scratch folder only when unset
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return _BUILDERS[name](Mart(spark, sf_dir, staged_dir=staged_dir))
+
+
 def _runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # epoch and date conversions are defined in UTC; the checkpoint folder
-        # is the cluster's own when set, a scratch folder only when unset
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        ensure_checkpoint_dir(spark)
-        return _BUILDERS[name](Mart(spark, sf_dir))
+        return build(name, spark, sf_dir)
 
     run.__name__ = name
     return run

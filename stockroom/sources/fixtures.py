@@ -566,11 +566,17 @@ for _name, _flag in (("audit_pos", "A"), ("audit_shop", "N"), ("audit_ecom", "R"
 
 
 class Inputs:
-    """Lazily built source-shaped DataFrames over one driver data folder."""
+    """Lazily built source-shaped DataFrames over one driver data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``staged_dir`` the inputs are read from Parquet tables written by
+    ``stage_inputs`` (what a deployment reads: stored source tables) instead of
+    being projected from the driver tables on every use.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, staged_dir: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.staged_dir = staged_dir.rstrip("/") if staged_dir else None
         self._tables: dict[str, DataFrame] = {}
         self._sources: dict[str, DataFrame] = {}
         self._latest: dict[tuple, DataFrame] = {}
@@ -582,8 +588,11 @@ class Inputs:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._sources:
-            src = SOURCES[name]
-            self._sources[name] = src.spark_base(self.table).selectExpr(*src.spark_exprs())
+            if self.staged_dir:
+                self._sources[name] = self.spark.read.parquet(f"{self.staged_dir}/{name}")
+            else:
+                src = SOURCES[name]
+                self._sources[name] = src.spark_base(self.table).selectExpr(*src.spark_exprs())
         return self._sources[name]
 
     def latest(self, name: str, keys: tuple[str, ...] = ("id",), ts: str = "updated_time") -> DataFrame:
@@ -600,3 +609,11 @@ class Inputs:
         if name in SOURCES:
             return self[name]
         raise AttributeError(name)
+
+
+def stage_inputs(spark: SparkSession, sf_dir: str, out_dir: str, files: int) -> None:
+    """Write every source-shaped input as a Parquet table of ``files`` files
+    under ``out_dir`` (one folder per input)."""
+    inp = Inputs(spark, sf_dir)
+    for name in SOURCES:
+        inp[name].repartition(files).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")

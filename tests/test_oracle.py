@@ -40,3 +40,13 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
     assert "weekending" in df.columns
+
+
+def test_staged_inputs_give_the_same_rows(spark, tmp_dir):
+    from stockroom.compare import spark_rows
+    from stockroom.plans.registry import build
+    from stockroom.sources.fixtures import stage_inputs
+
+    stage_inputs(spark, SF_SMALL, f"{tmp_dir}/staged", 3)
+    for key in ("sales_weekly", "inventory_weekly", "channel_inventory"):
+        assert spark_rows(build(key, spark, SF_SMALL, f"{tmp_dir}/staged")) == spark_rows(build(key, spark, SF_SMALL))
