@@ -50,3 +50,17 @@ def test_staged_inputs_give_the_same_rows(spark, tmp_dir):
     stage_inputs(spark, SF_SMALL, f"{tmp_dir}/staged", 3)
     for key in ("sales_weekly", "inventory_weekly", "channel_inventory"):
         assert spark_rows(build(key, spark, SF_SMALL, f"{tmp_dir}/staged")) == spark_rows(build(key, spark, SF_SMALL))
+
+
+_SPARK_TYPES = {"integer": "int", "long": "bigint", "timestamp_ntz": "timestamp", "string": "str", "boolean": "bool"}
+_DUCK_TYPES = {"integer": "int", "varchar": "str", "boolean": "bool"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_types_match_oracle(spark, con, key):
+    df = entry_mod.queries()[key](spark, SF)
+    got = {f.name.lower(): _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in df.schema.fields}
+    rel = con.sql(entry_mod.oracle_sql()[key])
+    want = {c.lower(): _DUCK_TYPES.get(str(t).lower(), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+    assert got == want
