@@ -249,3 +249,30 @@ def test_lead_across_groups_with_duplicates_and_a_hot_group(spark):
     b = rows(lead_across_groups(df, "g", "d", ["loc", "q"], "prev"))
     c = rows(lead_across_groups_window(df, "g", "d", ["loc", "q"], "prev"))
     assert a == b == c
+
+
+def test_weekly_pieces_equal_day_level_weekly(spark):
+    from stockroom.plans.marts import inventory_weekly, inventory_weekly_by_day
+
+    as_of = D(2024, 3, 15)
+    first, last, _ = spine_bounds(as_of, years_back=0, years_forward=0)
+    spine = date_dim(spark, as_of, years_back=0, years_forward=0)
+    rnd = random.Random(13)
+    ivs = []
+    for i in range(400):
+        hi = D(2023, 12, 20) + dt.timedelta(days=rnd.randint(0, 120))
+        lo = None if rnd.random() < .05 else hi - dt.timedelta(days=rnd.randint(0, 30))
+        qoh = None if rnd.random() < .1 else rnd.randint(0, 50)
+        cost = None if rnd.random() < .1 else Decimal(rnd.randint(100, 99999)) / 100
+        ivs.append((hi, f"sku{i % 7}", f"item{rnd.randint(0, 12)}", qoh, rnd.randint(0, 3), cost,
+                    rnd.choice(["1", "2", None]), "cat", "pos", None, lo))
+    schema = ("date date, sku string, itemuuid string, qoh bigint, backorder bigint, cost decimal(6,2), "
+              "locationid string, categoryid string, source string, previousrecorddate date, startrecorddate date")
+    iv = spark.createDataFrame(ivs, schema)
+    items = spark.createDataFrame(
+        [(f"item{i}", f"b{i % 3}", "d", "c", "s", "a") for i in range(0, 12, 2)],
+        "uuid string, brandname string, description string, color string, size string, attribute3 string")
+    locs = spark.createDataFrame([("1", "north"), ("2", "south")], "locationid string, category string")
+    a = rows(inventory_weekly_by_day(spine, iv, items, locs, (first, last)))
+    b = rows(inventory_weekly(spine, iv, items, locs, (first, last)))
+    assert a == b
