@@ -95,4 +95,4 @@ def channel_inventory(inp: Inputs) -> DataFrame:
     """Every version of point-of-sale stock per item and shop (with its version
     number) joined to the newest item, category and shop, plus e-commerce stock
     levels, in one 23-column layout."""
-    return _pos_branch(inp).unionByName(_ecom_branch(inp))
+    return _pos_branch(inp).unionByName(_ecom_branch(inp)).select(*CHANNEL_COLUMNS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions import ITEM_UUID_SEP, as_text, epoch_to_date, epoch_to_timestamp, item_uuid, month_end, typed_null
 from stockroom.operators.conform import conform, union_conformed
-from stockroom.operators.dedup import latest_per_key, latest_per_key_per_day
+from stockroom.operators.dedup import latest_per_key_per_day
 from stockroom.operators.intervals import asof_join, lead_month, lead_month_literal, start_after_previous
 from stockroom.plans.items import shop_category_ids
 from stockroom.plans.schemas import INVENTORY_FACT, POS, SHOP, STOCK_SNAPSHOT
