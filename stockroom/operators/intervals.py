@@ -35,12 +35,14 @@ def lead_month(df: DataFrame, month: str, key: str, out: str) -> DataFrame:
     older month.  So only one row per month (its smallest key) needs the global
     order, and that frame is bounded by the number of calendar months present.
     """
-    months = df.groupBy(month).agg(F.min(key).alias("_last_key"))
-    months = months.withColumn(
-        "_next_month", F.lead(month).over(Window.orderBy(F.col(month).desc_nulls_first()))
-    ).select(F.col(month).alias("_m"), "_last_key", "_next_month")
+    # the smallest key of each month, as a window over the (already aggregated)
+    # input, so the month summary below reuses its exchange instead of
+    # aggregating the source a second time
+    with_last = df.withColumn("_last_key", F.min(key).over(Window.partitionBy(month)))
+    months = with_last.select(F.col(month).alias("_m")).distinct()
+    months = months.withColumn("_next_month", F.lead("_m").over(Window.orderBy(F.col("_m").desc_nulls_first())))
     # one row per calendar month: a proven-small side, broadcast to every task
-    joined = df.join(F.broadcast(months), df[month].eqNullSafe(F.col("_m")), "left")
+    joined = with_last.join(F.broadcast(months), with_last[month].eqNullSafe(F.col("_m")), "left")
     is_last = F.col(key).eqNullSafe(F.col("_last_key"))
     return joined.withColumn(out, F.when(is_last, F.col("_next_month")).otherwise(F.col(month))).drop(
         "_m", "_last_key", "_next_month"
