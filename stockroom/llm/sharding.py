@@ -41,7 +41,7 @@ ROUNDS = 4
 KEY = ("key_hash", "key_doc", "salt")
 
 
-def _order_key(*parts: pa.Array) -> np.ndarray:
+def order_key(*parts: pa.Array) -> np.ndarray:
     """Signed 64-bit columns as one byte string per row that sorts the same way."""
     columns = [np.asarray(p).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63) for p in parts]
     return np.ascontiguousarray(np.stack(columns, axis=1).astype(">u8")).view(f"S{8 * len(parts)}").ravel()
@@ -53,7 +53,7 @@ def _with_range(rows: DataFrame, splitters: np.ndarray, out: str) -> DataFrame:
     @F.arrow_udf("int")
     def udf(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for parts in batches:
-            yield pa.array(np.searchsorted(splitters, _order_key(*parts), side="right"), pa.int32())
+            yield pa.array(np.searchsorted(splitters, order_key(*parts), side="right"), pa.int32())
 
     return rows.withColumn(out, udf(*KEY))
 
@@ -67,10 +67,10 @@ def _sample(rows: DataFrame, weight: F.Column, n: int) -> np.ndarray:
     u = (F.shiftrightunsigned(F.xxhash64(*KEY, F.lit(11)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     drawn = rows.select(*KEY, (-F.log(u) / weight).alias("draw")).orderBy("draw", *KEY).limit(n).select(*KEY)
     got = drawn.collect()
-    return np.sort(_order_key(*(pa.array([r[k] for r in got], pa.int64()) for k in KEY)))
+    return np.sort(order_key(*(pa.array([r[k] for r in got], pa.int64()) for k in KEY)))
 
 
-def _quantiles(keys: np.ndarray, parts: int) -> np.ndarray:
+def quantiles(keys: np.ndarray, parts: int) -> np.ndarray:
     if len(keys) == 0:
         return keys
     at = np.linspace(0, len(keys), parts + 1)[1:-1].astype(int)
@@ -82,7 +82,7 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
     ranges = max(RANGES, count // ROWS_PER_RANGE)
     mean = total / max(count, 1)
     weight = F.col("size") + F.lit(mean)  # bytes and rows count half each
-    splitters = _quantiles(_sample(rows, weight, ranges * SAMPLES_PER_RANGE), ranges)
+    splitters = quantiles(_sample(rows, weight, ranges * SAMPLES_PER_RANGE), ranges)
     limit = OVERFULL * 2 * total / ranges
     ranged, totals = rows, []
     for _ in range(ROUNDS):
@@ -101,7 +101,7 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
             ranged.filter(F.col("range").isin(list(overfull))), weight, sum(overfull.values()) * SAMPLES_PER_RANGE
         )
         number = np.searchsorted(splitters, more, side="right")
-        new = [_quantiles(more[number == r], 2 * parts) for r, parts in overfull.items()]
+        new = [quantiles(more[number == r], 2 * parts) for r, parts in overfull.items()]
         grown = np.unique(np.concatenate([splitters, *new]))
         if len(grown) == len(splitters):
             break
