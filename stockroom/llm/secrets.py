@@ -9,7 +9,8 @@ already touches it.
 Labelled samples: random are the values of the base spans of the whole table
 and ``RANDOM_STRINGS`` strings drawn with a fixed seed from four alphabets;
 ordinary are all tokens of ``MIN_IDENTIFIER``+ characters of the whole table
-outside base spans.  Only character-pair counts (at most 2 x 68 x 68 numbers)
+that are words, joined by ``_`` or ``-`` and perhaps numbered, outside base
+spans, and as many identifiers composed of ``WORDS`` in the usual spellings.  Only character-pair counts (at most 2 x 68 x 68 numbers)
 reach the driver.
 
 Defined results: a null text counts as empty and has no span; an empty table
@@ -47,11 +48,23 @@ MIN_IDENTIFIER = 8
 MIN_TOKEN = 20
 RANDOM_STRINGS = 4000
 RANDOM_LENGTH = 32
+WORDS = (
+    "account active address amount array author buffer build byte cache category channel check client code column "
+    "command config content context count country create currency current customer data date default delete detail "
+    "device document domain element email error event export field file filter first format function group handler "
+    "header height history image import index input instance item key label language last length level limit line "
+    "link list local location manager map message method model module name network node number object option order "
+    "output page parent password path payment price process product profile project property query queue range record "
+    "reference region release request resource response result return role root rule schema screen search section "
+    "select server service session setting shape size source start state status step store string style system table "
+    "target template text time title token total type update upload user value vendor version view width window"
+).split()
 # A token is reported when the ratio reaches both bounds (natural logarithms).
 MIN_RATIO = 12.0
 MIN_RATIO_PER_CHARACTER = 0.4
 
 _IDENTIFIER = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_IDENTIFIER},}}")
+_WORDS = re.compile("[A-Za-z]+(?:[_-][A-Za-z]+)*[0-9]{0,4}")
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}")
 _CODE = np.full(256, START, np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
@@ -116,6 +129,18 @@ def drawn_strings(n: int = RANDOM_STRINGS, length: int = RANDOM_LENGTH, seed: in
     return ["".join(rng.choice(list(sets[i % 4]), length)) for i in range(n)]
 
 
+def composed_identifiers(n: int = RANDOM_STRINGS, seed: int = 8) -> list[str]:
+    """Labelled ordinary identifiers: snake, kebab, camel, Pascal and upper case by turns."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        parts = rng.choice(WORDS, rng.integers(2, 5)).tolist()
+        title = [p.capitalize() for p in parts]
+        spellings = ["_".join(parts), "-".join(parts), parts[0] + "".join(title[1:]), "".join(title), "_".join(parts).upper()]
+        out.append(spellings[i % 5])
+    return out
+
+
 def fit(random: np.ndarray, ordinary: np.ndarray) -> MarkovModel:
     """From pair counts of the two classes; add-one smoothing per state."""
 
@@ -138,7 +163,7 @@ def train(docs: DataFrame, text: str = "text") -> MarkovModel:
                 if not t:
                     continue
                 spans = base_spans(t)
-                words = [t[s:e] for s, e in _outside(t, spans, _IDENTIFIER)]
+                words = [t[s:e] for s, e in _outside(t, spans, _IDENTIFIER) if _WORDS.fullmatch(t, s, e)]
                 for label, tokens in ((0, words), (1, _values(t, spans) if spans else ())):
                     if tokens:
                         tables[label] += np.bincount(_pairs(tokens), minlength=STATES * STATES)
@@ -153,7 +178,8 @@ def train(docs: DataFrame, text: str = "text") -> MarkovModel:
     # at most 2 x STATES x STATES rows, whatever the size of the table
     for r in rows.groupBy("label", "pair").agg(F.sum("n").alias("n")).collect():
         tables[r["label"], r["pair"]] = r["n"]
-    tables[1] += np.bincount(_pairs(drawn_strings()), minlength=STATES * STATES)
+    for label, sample in ((0, composed_identifiers()), (1, drawn_strings())):
+        tables[label] += np.bincount(_pairs(sample), minlength=STATES * STATES)
     return fit(tables[1], tables[0])
 
 

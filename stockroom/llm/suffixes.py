@@ -260,7 +260,8 @@ def _suffix_rating(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _equal_rating(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left == right).all(axis=1).astype(np.int64)
+    """1: the same string, by its leading bytes and 128-bit hash."""
+    return (left[:, :3] == right[:, :3]).all(axis=1).astype(np.int64)
 
 
 def multikey_repeats(classes: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
