@@ -4,15 +4,12 @@
 Catalyst plans the filtered ``row_number`` as a partial ``WindowGroupLimit``
 before the shuffle and a final one after it, so every map task first reduces
 its rows to one per key: a key that holds a large share of all rows sends one
-row per map task, not all its rows, to its reducer.  (``max_by`` over a struct
-gives the same rows but its struct buffer forces a sort-based aggregate,
-which measured slower; it stays available as ``latest_per_key_agg``.)
+row per map task, not all its rows, to its reducer.
 
 ``rank_versions`` keeps every version with its rank (``ROW_NUMBER()`` selected,
 not filtered).  Ranks need all rows of a key in order; it computes them
 without one task per key by splitting each key into time buckets and adding
-per-bucket offsets (measured at the same cost as the plain window,
-``rank_versions_window``).
+per-bucket offsets (measured at the same cost as one plain window).
 """
 
 from __future__ import annotations
@@ -33,15 +30,6 @@ def newest_first(ts: str | Column, tie_breakers: Sequence[str | Column] = ()) ->
     return [_c(c).desc_nulls_first() for c in (ts, *tie_breakers)]
 
 
-def _newest_struct(ts, tie_breakers) -> Column:
-    # max() of this struct is the first row under newest_first(): a null sorts
-    # before any value in DESC NULLS FIRST, so its "is null" flag leads.
-    fields = []
-    for i, c in enumerate((ts, *tie_breakers)):
-        fields += [_c(c).isNull().alias(f"n{i}"), _c(c).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -57,21 +45,6 @@ def latest_per_key(
     return ranked.where(F.col("_rn") == 1).select(*keys, *payload)
 
 
-def latest_per_key_agg(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie_breakers: Sequence[str] = (),
-    columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """Same rows as ``latest_per_key``, as a ``max_by`` aggregate."""
-    keys = list(keys)
-    payload = [c for c in (columns or df.columns) if c not in keys]
-    latest = F.max_by(F.struct(*[F.col(c) for c in payload]), _newest_struct(ts, tie_breakers))
-    out = df.groupBy(*keys).agg(latest.alias("_latest"))
-    return out.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in payload])
-
-
 def latest_per_key_per_day(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,19 +59,6 @@ def latest_per_key_per_day(
     return latest_per_key(with_day, [*keys, day_col], ts, tie_breakers, cols)
 
 
-def rank_versions_window(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie_breakers: Sequence[str] = (),
-    rn: str = "rn",
-) -> DataFrame:
-    """Every row with its version number, 1 = newest (one window; all rows of
-    a key in one task)."""
-    w = Window.partitionBy(*keys).orderBy(*newest_first(ts, tie_breakers))
-    return df.withColumn(rn, F.row_number().over(w))
-
-
 def rank_versions(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,17 +67,17 @@ def rank_versions(
     rn: str = "rn",
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Every row with its version number, 1 = newest: the ranks of
-    ``rank_versions_window`` without sending all rows of a key to one task.
+    """Every row with its version number, 1 = newest: ``row_number`` over the key
+    without sending all rows of a key to one task.
 
     Rows are ranked inside (key, bucket) where ``bucket`` is a non-decreasing
-    function of ``ts`` (default: its calendar day, nulls in a bucket of their
+    function of ``ts`` (default: its hour, nulls in a bucket of their
     own that sorts first); the count of each (key, bucket) is summed over the
     newer buckets of the same key and added.  The largest task holds one
     bucket of one key; the offset window holds one row per bucket.
     """
     keys = list(keys)
-    b = bucket if bucket is not None else F.to_date(F.col(ts))
+    b = bucket if bucket is not None else F.date_trunc("hour", F.col(ts))
     tmp = df.withColumn("_bkt", b).withColumn("_bnull", F.col("_bkt").isNull())
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(*newest_first(ts, tie_breakers))
     local = tmp.withColumn("_local_rn", F.row_number().over(w_local))

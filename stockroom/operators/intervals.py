@@ -2,9 +2,9 @@
 join, and the spread of intervals over a date spine.
 
 The source computes its intervals with ``LEAD`` over an *un-partitioned*
-window, which Spark can only run in a single task.  The ``*_literal``
-functions keep that literal form for equivalence tests; the default forms give
-the same rows with partitioned windows plus small per-group summaries.
+window, which Spark can only run in a single task.  The functions here give the
+same rows in a distributed way; the literal forms they are tested against are
+in ``tests/literal_forms.py``.
 """
 
 from __future__ import annotations
@@ -15,34 +15,37 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.sources.sinks import materialize
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 # ---------------------------------------------------------------- W6
-def lead_month_literal(df: DataFrame, month: str, key: str, out: str) -> DataFrame:
-    """``LEAD(month) OVER (ORDER BY month DESC, key DESC)`` - one global partition."""
-    w = Window.orderBy(F.col(month).desc_nulls_first(), F.col(key).desc_nulls_first())
-    return df.withColumn(out, F.lead(month).over(w))
+def month_successors(rows: DataFrame, month: str, key: str) -> DataFrame:
+    """(_m, _last_key, _next_month): per month its smallest key (null if it has a
+    null key, which sorts last in key DESC NULLS FIRST only when it is alone) and
+    the next older month.
+
+    The minimum is aggregated partially, so every map task sends one row per
+    month; only that frame, bounded by the calendar, is ordered as a whole.
+    """
+    months = rows.groupBy(F.col(month).alias("_m")).agg(F.min(key).alias("_last_key"))
+    return months.withColumn("_next_month", F.lead("_m").over(Window.orderBy(F.col("_m").desc_nulls_first())))
 
 
-def lead_month(df: DataFrame, month: str, key: str, out: str) -> DataFrame:
-    """Same values as ``lead_month_literal`` for rows unique on (month, key).
+def lead_month(df: DataFrame, month: str, key: str, out: str, successors: DataFrame | None = None) -> DataFrame:
+    """``LEAD(month) OVER (ORDER BY month DESC, key DESC)`` for rows unique on (month, key).
 
-    In (month DESC, key DESC) order the next row of any key but the smallest of
-    its month is in the same month; the smallest key's next row opens the next
-    older month.  So only one row per month (its smallest key) needs the global
-    order, and that frame is bounded by the number of calendar months present.
+    In that order the next row of any key but the smallest of its month is in
+    the same month; the smallest key's next row opens the next older month.
+    ``successors`` (``month_successors`` of all rows) lets ``df`` hold a part of
+    the keys only.
     """
-    # the smallest key of each month, as a window over the (already aggregated)
-    # input, so the month summary below reuses its exchange instead of
-    # aggregating the source a second time
-    with_last = df.withColumn("_last_key", F.min(key).over(Window.partitionBy(month)))
-    months = with_last.select(F.col(month).alias("_m")).distinct()
-    months = months.withColumn("_next_month", F.lead("_m").over(Window.orderBy(F.col("_m").desc_nulls_first())))
+    months = successors if successors is not None else month_successors(df, month, key)
     # one row per calendar month: a proven-small side, broadcast to every task
-    joined = with_last.join(F.broadcast(months), with_last[month].eqNullSafe(F.col("_m")), "left")
+    joined = df.join(F.broadcast(months), df[month].eqNullSafe(F.col("_m")), "left")
     is_last = F.col(key).eqNullSafe(F.col("_last_key"))
     return joined.withColumn(out, F.when(is_last, F.col("_next_month")).otherwise(F.col(month))).drop(
         "_m", "_last_key", "_next_month"
@@ -62,160 +65,36 @@ def record_start(prev: str | Column, record: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- W5
-def _group_order(group: str, date: str, tie_breakers: Sequence[str]) -> list[Column]:
-    return [F.col(date).desc_nulls_first(), *[F.col(t).asc_nulls_last() for t in tie_breakers]]
-
-
-def lead_across_groups_literal(
-    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str
-) -> DataFrame:
-    """``LEAD(date) OVER (ORDER BY group, date DESC, ties...)`` - one global partition."""
-    w = Window.orderBy(F.col(group).asc_nulls_last(), *_group_order(group, date, tie_breakers))
-    return df.withColumn(out, F.lead(date).over(w))
-
-
-# Largest frame ordered in a single task by ``next_in_order``.
-SINGLE_TASK_ORDER_ROWS = 1_000_000
-
-
-def next_in_order(
-    df: DataFrame,
-    key: str,
-    value: str,
-    out: str,
-    buckets: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ORDER_ROWS,
-) -> DataFrame:
-    """For a frame with one row per ``key``: ``out`` = ``value`` of the next row
-    in ``key ASC NULLS LAST`` order (``LEAD(value) OVER (ORDER BY key)``).
-
-    The frame is counted first.  Up to ``single_task_rows`` rows (a measured
-    bound) one global window orders it.  Beyond that it never passes through
-    one task: rows are range-partitioned on the key (bounds sampled by Spark, so each
-    range holds about ``1/buckets`` of the rows) and the range number is frozen
-    by a checkpoint in the shared checkpoint folder.  Inside a range the next
-    row is a partitioned lead; the last row of a range takes the first value of
-    the next non-empty range, read from a frame with one row per range.
-    """
-    asc = F.col(key).asc_nulls_last()
-    if buckets is None and df.count() <= single_task_rows:
-        return df.withColumn(out, F.lead(value).over(Window.orderBy(asc)))
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, asc).withColumn("_rng", F.spark_partition_id()).checkpoint(eager=True)
-    w = Window.partitionBy("_rng").orderBy(asc)
-    inner = ranged.withColumn("_nv", F.lead(value).over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
-    # first row of a range: its smallest key, or the null key when that is all it holds
-    heads = ranged.groupBy("_rng").agg(
-        F.when(F.count(key) > 0, F.min_by(value, key)).otherwise(F.max(value)).alias("_head")
-    )
-    heads = heads.select("_rng", F.lead("_head").over(Window.orderBy("_rng")).alias("_next_head"))
-    # at most `buckets` rows
-    joined = inner.join(F.broadcast(heads), "_rng")
-    return joined.withColumn(out, F.when(F.col("_last"), F.col("_next_head")).otherwise(F.col("_nv"))).drop(
-        "_rng", "_nv", "_last", "_next_head"
-    )
-
-
-def _asc_nulls_last_struct(cols: Sequence[str]) -> Column:
-    # max() of this struct is the last row under ASC NULLS LAST ordering
-    fields = []
-    for i, c in enumerate(cols):
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def lead_across_groups(
-    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, successor: str = "range"
-) -> DataFrame:
-    """Same values as ``lead_across_groups_literal``, built from aggregates so
-    that no group, date or repeated row has to sit in one task.
-
-    ``group``, ``date`` and ``tie_breakers`` must cover every column (then the
-    order is total up to identical rows).  In (group, date DESC, ties) order
-    the next row of any row has the same date, except for the last copy of the
-    last tie tuple of a (group, date) pair, whose next row opens the next pair
-    of the group or, after the group's last pair, the next group.  So:
-
-    1. identical rows collapse to one row with a multiplicity (partial
-       aggregation);
-    2. per (group, date) pair, the last tie tuple (a max aggregate);
-    3. per group, the next pair's date: a window over the group's distinct
-       dates only;
-    4. after the last pair, the next group's first date (``next_in_order``);
-    5. rows meet their pair again in a join that AQE can split when skewed,
-       and multiplicities expand back to rows.
-    """
-    if set(df.columns) != {group, date, *tie_breakers}:
-        return lead_across_groups_window(df, group, date, tie_breakers, out, successor)
-    cols = df.columns
-    rows = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = rows.groupBy(group, date).agg(F.max(_asc_nulls_last_struct(tie_breakers)).alias("_last_tb"))
-    w = Window.partitionBy(group).orderBy(F.col(date).desc_nulls_first())
-    pairs = pairs.withColumn("_pair_next", F.lead(date).over(w)).withColumn(
-        "_last_pair", F.lead(F.lit(1)).over(w).isNull()
-    )
-    # a group's first row in date DESC NULLS FIRST order: one aggregate of the input
-    first = F.when(F.count(F.lit(1)) > F.count(F.col(date)), F.lit(None)).otherwise(F.max(date))
-    groups = df.groupBy(group).agg(first.alias("_first"))
-    if successor == "window":
-        groups = groups.withColumn(
-            "_next_first", F.lead("_first").over(Window.orderBy(F.col(group).asc_nulls_last()))
-        )
-    else:
-        groups = next_in_order(groups, group, "_first", "_next_first")
-    pairs = pairs.join(
-        groups.select(F.col(group).alias("_g"), "_next_first"), pairs[group].eqNullSafe(F.col("_g")), "left"
-    )
-    pairs = pairs.select(
-        F.col(group).alias("_pg"), F.col(date).alias("_pd"), "_last_tb",
-        F.when(F.col("_last_pair"), F.col("_next_first")).otherwise(F.col("_pair_next")).alias("_pair_lead"),
-    )
-    on = rows[group].eqNullSafe(pairs["_pg"]) & rows[date].eqNullSafe(pairs["_pd"])
-    joined = rows.join(pairs, on, "left")
-    is_last_tuple = _asc_nulls_last_struct(tie_breakers) == F.col("_last_tb")
-    copies = joined.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    lead = F.when(is_last_tuple & (F.col("_i") == F.col("_n")), F.col("_pair_lead")).otherwise(F.col(date))
-    return copies.withColumn(out, lead).select(*cols, out)
-
-
-def lead_across_groups_window(
-    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, successor: str = "range"
-) -> DataFrame:
-    """Same values as ``lead_across_groups_literal``, with all rows of a group
-    in one task.
-
-    Inside a group the lead is a partitioned window.  The last row of a group
-    takes the first date of the next group, read from a frame with one row per
-    group (its first date in DESC NULLS FIRST order) whose successor is found
-    by ``next_in_order`` (``successor="range"``) or, for a frame known to be
-    small, by one global window (``successor="window"``).
+def lead_across_groups(df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str) -> DataFrame:
+    """``LEAD(date) OVER (ORDER BY group, date DESC, ties...)`` over the whole frame.
+
+    Rows are range-partitioned on the full order, whose last key is a number
+    per row, so a hot group, a hot day or a row repeated many times spreads
+    over several ranges.  The ranges are frozen by one written table.  Inside a
+    range the next row is a partitioned lead; the last row of a range takes the
+    first date of the next range that has rows, from a list with one date per
+    range.
     """
-    # null-safe group key as two plain columns, so the window's partitioning
-    # also serves the join back and the fact is shuffled once
-    gk = df.withColumn("_gk", F.coalesce(F.col(group).cast("string"), F.lit(""))).withColumn(
-        "_gn", F.col(group).isNull()
-    )
-    w = Window.partitionBy("_gk", "_gn").orderBy(*_group_order(group, date, tie_breakers))
-    inner = gk.withColumn("_lead_in", F.lead(date).over(w)).withColumn(
-        "_is_last", F.lead(F.lit(1)).over(w).isNull()
-    )
-    first = F.when(F.count(F.lit(1)) > F.count(F.col(date)), F.lit(None)).otherwise(F.max(date))
-    groups = df.groupBy(group).agg(first.alias("_first"))
-    if successor == "window":
-        groups = groups.withColumn(
-            "_next_first", F.lead("_first").over(Window.orderBy(F.col(group).asc_nulls_last()))
-        )
-    else:
-        groups = next_in_order(groups, group, "_first", "_next_first")
-    groups = groups.select(
-        F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_gk2"),
-        F.col(group).isNull().alias("_gn2"),
-        "_next_first",
+    spark = df.sparkSession
+    order = [
+        F.col(group).asc_nulls_last(), F.col(date).desc_nulls_first(),
+        *[F.col(t).asc_nulls_last() for t in tie_breakers], F.col("_row"),
+    ]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    ranged = materialize(
+        numbered.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "interval-order"
     )
-    joined = inner.join(groups, (F.col("_gk") == F.col("_gk2")) & (F.col("_gn") == F.col("_gn2")), "left")
-    return joined.withColumn(
-        out, F.when(F.col("_is_last"), F.col("_next_first")).otherwise(F.col("_lead_in"))
-    ).drop("_gk", "_gn", "_gk2", "_gn2", "_lead_in", "_is_last", "_next_first")
+    w = Window.partitionBy("_range").orderBy(*order)
+    led = ranged.withColumns({
+        "_first": F.row_number().over(w) == 1, "_next": F.lead(date).over(w), "_last": F.lead(F.lit(1)).over(w).isNull(),
+    })
+    # one row per range, taken to the driver: as many as there are partitions
+    heads = sorted(led.filter("_first").select("_range", F.col(date).alias("_head")).collect())
+    following = [(a["_range"], b["_head"]) for a, b in zip(heads, heads[1:], strict=False)]
+    after = spark.createDataFrame(following, "_r int, _head date")
+    joined = led.join(F.broadcast(after), F.col("_range") == F.col("_r"), "left")
+    return joined.withColumn(out, F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next"))).select(*df.columns, out)
 
 
 # ---------------------------------------------------------------- J6
@@ -228,49 +107,67 @@ def asof_join(
     hi: str,
     how: str = "inner",
 ) -> DataFrame:
-    """Equi-join on ``on`` plus ``lo <= point <= hi``: a hash/sort-merge join on
-    the key with the range as a residual predicate, so work per key is bounded
-    by that key's rows and intervals."""
+    """Join on ``on`` plus ``lo <= point <= hi``.
+
+    Each interval is expanded to the months it touches, so the month is an
+    equality key and a row meets only the intervals of its own month; the range
+    itself is checked on those.
+    """
+    right = right.where(F.col(lo) <= F.col(hi)).withColumn(
+        "_month", F.explode(F.sequence(F.trunc(lo, "month"), F.trunc(hi, "month"), F.expr("INTERVAL 1 MONTH")))
+    )
     cond = [left[a] == right[b] for a, b in on]
-    cond += [left[point] <= right[hi], left[point] >= right[lo]]
-    return left.join(right, cond, how)
+    cond += [F.trunc(left[point], "month") == right["_month"], left[point] <= right[hi], left[point] >= right[lo]]
+    return left.join(right, cond, how).drop("_month")
 
 
 # ---------------------------------------------------------------- J7
-def spine_join_literal(spine: DataFrame, intervals: DataFrame, day: str, lo: str, hi: str) -> DataFrame:
-    """``spine LEFT JOIN intervals ON day >= lo AND day <= hi`` as written (nested loop)."""
-    return spine.join(intervals, (spine[day] >= intervals[lo]) & (spine[day] <= intervals[hi]), "left")
+def clip(intervals: DataFrame, lo: str, hi: str, bounds: tuple[dt.date, dt.date]) -> DataFrame:
+    """Intervals that touch ``bounds``, with ``_lo`` and ``_hi`` cut to them."""
+    # greatest/least skip nulls, so intervals with a null end (which match no
+    # day) are dropped first
+    return (
+        intervals.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+        .withColumn("_lo", F.greatest(F.col(lo), F.lit(bounds[0])))
+        .withColumn("_hi", F.least(F.col(hi), F.lit(bounds[1])))
+        .where(F.col("_lo") <= F.col("_hi"))
+    )
+
+
+def uncovered_days(spine: DataFrame, clipped: DataFrame, day: str) -> DataFrame:
+    """Spine rows of the days that no clipped interval covers.
+
+    Intervals become +1/-1 edges summed per day (at most one row per spine day
+    and map task) and a running total over the spine, whose size is fixed by
+    its definition.
+    """
+    edges = clipped.select(F.explode(F.array(
+        F.struct(F.col("_lo").alias("_e"), F.lit(1).alias("_delta")),
+        F.struct(F.date_add("_hi", 1).alias("_e"), F.lit(-1).alias("_delta")),
+    )).alias("_edge")).groupBy(F.col("_edge._e").alias("_e")).agg(F.sum("_edge._delta").alias("_delta"))
+    running = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    free = (
+        spine.select(F.col(day).alias("_d")).join(edges, F.col("_d") == F.col("_e"), "left")
+        .withColumn("_open", F.sum(F.coalesce("_delta", F.lit(0))).over(running))
+        .where(F.col("_open") == 0).select("_d")
+    )
+    return spine.join(F.broadcast(free), spine[day] == F.col("_d"), "left_semi")
 
 
 def spread_over_spine(
-    spine: DataFrame,
-    intervals: DataFrame,
-    day: str,
-    lo: str,
-    hi: str,
-    bounds: tuple[dt.date, dt.date] | None = None,
+    spine: DataFrame, intervals: DataFrame, day: str, lo: str, hi: str, bounds: tuple[dt.date, dt.date]
 ) -> DataFrame:
-    """Same rows as ``spine_join_literal``, with cost proportional to the output.
-
-    Each interval (clipped to the spine's first and last day when ``bounds`` are
-    given) becomes one row per day; those rows meet the spine in an equi-join on
-    the day, with the spine broadcast (its size is fixed by its definition).
-    Spine days that no interval covers are added back with null interval
-    columns, found by an anti-join against the distinct covered days (at most
-    one row per spine day).
+    """``spine LEFT JOIN intervals ON day BETWEEN lo AND hi``, with cost proportional to the output.
+
+    Each interval, clipped to the spine's first and last day (``bounds``),
+    becomes one row per day; those rows meet the spine in an equi-join on the
+    day, with the spine broadcast (its size is fixed by its definition).  Spine
+    days that no interval covers are added with null interval columns.
     """
-    lo_c, hi_c = F.col(lo), F.col(hi)
-    if bounds is not None:
-        lo_c = F.greatest(lo_c, F.lit(bounds[0]))
-        hi_c = F.least(hi_c, F.lit(bounds[1]))
-    # greatest/least skip nulls, so intervals with a null end (which match no
-    # day) are dropped before clipping
-    bounded = intervals.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
-    days = bounded.where(lo_c <= hi_c).withColumn("_day", F.explode(F.sequence(lo_c, hi_c)))
+    clipped = clip(intervals, lo, hi, bounds)
+    days = clipped.withColumn("_day", F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi")
     matched = days.join(F.broadcast(spine), days["_day"] == spine[day], "inner").drop("_day")
-    covered = days.select(F.col("_day")).distinct()
-    uncovered = spine.join(F.broadcast(covered), spine[day] == covered["_day"], "left_anti")
-    return matched.unionByName(uncovered, allowMissingColumns=True)
+    return matched.unionByName(uncovered_days(spine, clipped, day), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- J7, weekly form
@@ -284,7 +181,7 @@ def spread_over_weeks(
     piece_keys: Sequence[Column],
     weight: str = "_days",
 ) -> DataFrame:
-    """``spine_join_literal`` pre-aggregated for reporting by week.
+    """``spread_over_spine`` pre-aggregated for reporting by week.
 
     ``piece_keys`` are spine attributes, one of them the week ending; days
     sharing all of them form a "piece" (the days of one week inside one month
@@ -292,25 +189,15 @@ def spread_over_weeks(
     per piece it touches, with the number of covered days in ``weight``; spine
     days that no interval covers give one row each (weight 1, null interval
     columns).  Sums over days are then ``sum(x * weight)``.
-
-    Uncovered days are found from +1/-1 edges at interval starts and ends
-    summed per day (at most one row per spine day, aggregated map-side) and a
-    running total over the spine, whose size is fixed by its definition.
     """
-    lo_c = F.greatest(F.col(lo), F.lit(bounds[0]))
-    hi_c = F.least(F.col(hi), F.lit(bounds[1]))
-    iv = (
-        intervals.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
-        .withColumn("_lo", lo_c).withColumn("_hi", hi_c)
-        .where(F.col("_lo") <= F.col("_hi"))
-    )
-    keyed = spine.select(F.col(day).alias("_d"), *piece_keys)
-    names = [c for c in keyed.columns if c != "_d"]
+    clipped = clip(intervals, lo, hi, bounds)
+    keyed = spine.select(F.col(day).alias("_sd"), *piece_keys)
+    names = [c for c in keyed.columns if c != "_sd"]
     # a piece lies inside one Monday..Sunday week, so its week end is the
     # week end of its first day
-    pieces = keyed.groupBy(*names).agg(F.min("_d").alias("_p_lo"), F.max("_d").alias("_p_hi"))
+    pieces = keyed.groupBy(*names).agg(F.min("_sd").alias("_p_lo"), F.max("_sd").alias("_p_hi"))
     pieces = pieces.withColumn("_p_week", F.date_add(F.trunc("_p_lo", "week"), 6))
-    weeks = iv.withColumn(
+    weeks = clipped.withColumn(
         "_week",
         F.explode(F.sequence(F.date_add(F.trunc("_lo", "week"), 6), F.date_add(F.trunc("_hi", "week"), 6),
                              F.expr("INTERVAL 7 DAYS"))),
@@ -319,17 +206,5 @@ def spread_over_weeks(
     covered_days = F.datediff(F.least("_hi", "_p_hi"), F.greatest("_lo", "_p_lo")) + 1
     touched = touched.withColumn(weight, covered_days).where(F.col(weight) > 0)
     touched = touched.drop("_lo", "_hi", "_week", "_p_lo", "_p_hi", "_p_week")
-
-    edges = iv.select(F.explode(F.array(
-        F.struct(F.col("_lo").alias("_e"), F.lit(1).alias("_delta")),
-        F.struct(F.date_add("_hi", 1).alias("_e"), F.lit(-1).alias("_delta")),
-    )).alias("_edge")).groupBy(F.col("_edge._e").alias("_e")).agg(F.sum("_edge._delta").alias("_delta"))
-    running = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
-    depth = (
-        keyed.select("_d").join(edges, F.col("_d") == F.col("_e"), "left")
-        .withColumn("_open", F.sum(F.coalesce("_delta", F.lit(0))).over(running))
-        .where(F.col("_open") == 0).select(F.col("_d").alias("_ud"))
-    )
-    uncovered = keyed.join(F.broadcast(depth), F.col("_d") == F.col("_ud"), "left_semi").drop("_d")
-    uncovered = uncovered.withColumn(weight, F.lit(1))
+    uncovered = uncovered_days(keyed, clipped, "_sd").drop("_sd").withColumn(weight, F.lit(1))
     return touched.unionByName(uncovered, allowMissingColumns=True)

@@ -53,21 +53,17 @@ def date_dim(
     years_back: int = YEARS_BACK,
     years_forward: int = YEARS_FORWARD,
 ) -> DataFrame:
-    """Calendar for a run on ``as_of`` (default: today).  At most 366 + 365 *
-    ``years_back`` rows, generated in one partition."""
-    as_of = as_of or dt.date.today()
-    _, last, n = spine_bounds(as_of, years_back, years_forward)
-    days = spark.range(0, n, 1, numPartitions=1).select(
-        F.date_sub(F.lit(last), F.col("id").cast("int")).alias("date")
-    )
-    return _with_attributes(days)
+    """Calendar for a run on ``as_of`` (default: the session's current date)."""
+    today = F.current_date() if as_of is None else F.lit(as_of)
+    return date_dim_for_anchor(spark.range(1).select(today.alias("as_of")), "as_of", years_back, years_forward)
 
 
 def date_dim_for_anchor(
     anchor: DataFrame, as_of_col: str = "as_of", years_back: int = YEARS_BACK, years_forward: int = YEARS_FORWARD
 ) -> DataFrame:
     """Calendar whose run date is read from a one-row frame (e.g. the latest
-    day present in the landed data), evaluated lazily by Spark."""
+    day present in the landed data), evaluated lazily by Spark.  At most 366 +
+    365 * ``years_back`` rows."""
     a = F.col(as_of_col)
     last = F.add_months(a, 12 * years_forward)
     first = F.date_sub(last, F.dayofyear(a) + 365 * years_back - 1)

@@ -7,62 +7,63 @@ from pyspark.sql import functions as F
 
 from stockroom.sources.fixtures import Inputs
 
+# Output columns of the two views, in order, per relation.
 PRODUCT_INFO_COLUMNS = [
-    ("br", "brand_code"), ("p", "prod_sku"), ("pi", "image"), ("pi", "thumbnail"), ("pss", "prod_name"),
-    ("pss", "prod_active"), ("p", "prod_id"), ("p", "prod_brand"), ("pss", "prod_description"),
-    ("p", "wholesale_price"), ("pss", "prod_price"), ("pss", "original_price"), ("pss", "show_adjust"),
-    ("pss", "discount_percent"), ("pss", "discount_group_id"), ("u", "url"), ("p", "made_in_usa"),
-    ("pss", "prod_new"), ("pss", "prod_coming_soon"), ("pi", "hi_rez"), ("p", "product_set"),
-    ("v2", "name"), ("p", "in_stock"), ("pss", "meta_title"), ("pss", "notify_off"), ("p", "exclusive"),
-    ("p", "limited_edition"), ("pss", "plus_size"), ("p", "sexy_rating"), ("pss", "meta_keywords"),
-    ("p", "size_chart_id"), ("pi", "option_color"), ("p", "pla_filter"), ("p", "discontinued"),
-    ("pss", "date_added"), ("pss", "intro_text"), ("br", "brand_name"), ("p", "ptype"), ("p", "n2"),
-    ("pi", "has_logo"), ("pss", "prod_fabric"), ("p", "google_feed"), ("pss", "meta_description"),
-    ("pss", "secret_keywords"), ("p", "usp"), ("p", "sales_rank"), ("pss", "prod_pending"),
+    ("brand", "brand_code"), ("product", "prod_sku"), ("picture", "image"), ("picture", "thumbnail"), ("here", "prod_name"),
+    ("here", "prod_active"), ("product", "prod_id"), ("product", "prod_brand"), ("here", "prod_description"),
+    ("product", "wholesale_price"), ("here", "prod_price"), ("here", "original_price"), ("here", "show_adjust"),
+    ("here", "discount_percent"), ("here", "discount_group_id"), ("link", "url"), ("product", "made_in_usa"),
+    ("here", "prod_new"), ("here", "prod_coming_soon"), ("picture", "hi_rez"), ("product", "product_set"),
+    ("shade", "name"), ("product", "in_stock"), ("here", "meta_title"), ("here", "notify_off"), ("product", "exclusive"),
+    ("product", "limited_edition"), ("here", "plus_size"), ("product", "sexy_rating"), ("here", "meta_keywords"),
+    ("product", "size_chart_id"), ("picture", "option_color"), ("product", "pla_filter"), ("product", "discontinued"),
+    ("here", "date_added"), ("here", "intro_text"), ("brand", "brand_name"), ("product", "ptype"), ("product", "n2"),
+    ("picture", "has_logo"), ("here", "prod_fabric"), ("product", "google_feed"), ("here", "meta_description"),
+    ("here", "secret_keywords"), ("product", "usp"), ("product", "sales_rank"), ("here", "prod_pending"),
 ]
 
 # (alias, column, output name)
 OPTION_INFO_COLUMNS = [
-    ("br", "brand_name", None), ("br", "brand_code", None), ("p", "prod_id", None), ("p", "prod_sku", None),
-    ("po", "option_sku", None), ("color", "name", "color"), ("size", "name", "size"),
-    ("style", "name", "style"), ("po", "option_inv", None), ("po", "prod_option_id", None),
-    ("pss", "prod_price", None), ("po", "la_upc", None), ("pss", "prod_active", None),
-    ("pss", "prod_description", None), ("p", "wholesale_price", None),
-    ("color", "variant_id", "option_color"), ("size", "variant_order", None), ("po", "discontinued", None),
-    ("po", "la_sku", None), ("po", "option_active", None), ("po", "asin_size", None),
-    ("po", "asin_color", None), ("br", "brand_id", None), ("po", "asin_brand", "brand2"),
+    ("brand", "brand_name", None), ("brand", "brand_code", None), ("product", "prod_id", None), ("product", "prod_sku", None),
+    ("choice", "option_sku", None), ("color", "name", "color"), ("size", "name", "size"),
+    ("style", "name", "style"), ("choice", "option_inv", None), ("choice", "prod_option_id", None),
+    ("here", "prod_price", None), ("choice", "la_upc", None), ("here", "prod_active", None),
+    ("here", "prod_description", None), ("product", "wholesale_price", None),
+    ("color", "variant_id", "option_color"), ("size", "variant_order", None), ("choice", "discontinued", None),
+    ("choice", "la_sku", None), ("choice", "option_active", None), ("choice", "asin_size", None),
+    ("choice", "asin_color", None), ("brand", "brand_id", None), ("choice", "asin_brand", "brand2"),
     ("size", "variant_id", "option_size"), ("style", "variant_id", "option_style"),
-    ("pss", "prod_name", None), ("po", "asin", None), ("po", "option_wholesale", None),
-    ("po", "option_price", None), ("pss", "discount_percent", None), ("pss", "discount_group_id", None),
-    ("po", "wmarked", None), ("po", "dropshippable", None), ("po", "pleaser_inv", None),
-    ("po", "sizes_table_id", None), ("size", "general_size", None), ("po", "last_certify", None),
-    ("po", "wmarked_tmp", None), ("p", "discontinued", "prod_discontinued"), ("pss", "date_added", None),
-    ("po", "offsite_inv", None), ("po", "bin_capacity", None), ("po", "is_club", None), ("po", "accy", None),
-    ("po", "exclusive", None), ("po", "ell_color_code", None), ("br", "discount_percent", "brand_discount"),
-    ("po", "bin_current", None), ("po", "sale_speed", None), ("po", "bo_schedule", None),
-    ("po", "on_way", None), ("pss", "original_price", None), ("p", "ptype", None), ("po", "extra_upc", None),
-    ("po", "on_order", None), ("p", "n2", None), ("po", "wholesale_price2", None),
-    ("po", "catalog_price", None), ("po", "catalog_discount", None), ("po", "vendor_discontinued", None),
-    ("po", "closeout", None), ("po", "spd_rank", None), ("po", "fba_inventory", None),
-    ("po", "oos_until", None), ("po", "inventory_status", None), ("ps", "scs_id", None),
-    ("po", "inception", None),
+    ("here", "prod_name", None), ("choice", "asin", None), ("choice", "option_wholesale", None),
+    ("choice", "option_price", None), ("here", "discount_percent", None), ("here", "discount_group_id", None),
+    ("choice", "wmarked", None), ("choice", "dropshippable", None), ("choice", "pleaser_inv", None),
+    ("choice", "sizes_table_id", None), ("size", "general_size", None), ("choice", "last_certify", None),
+    ("choice", "wmarked_tmp", None), ("product", "discontinued", "prod_discontinued"), ("here", "date_added", None),
+    ("choice", "offsite_inv", None), ("choice", "bin_capacity", None), ("choice", "is_club", None), ("choice", "accy", None),
+    ("choice", "exclusive", None), ("choice", "ell_color_code", None), ("brand", "discount_percent", "brand_discount"),
+    ("choice", "bin_current", None), ("choice", "sale_speed", None), ("choice", "bo_schedule", None),
+    ("choice", "on_way", None), ("here", "original_price", None), ("product", "ptype", None), ("choice", "extra_upc", None),
+    ("choice", "on_order", None), ("product", "n2", None), ("choice", "wholesale_price2", None),
+    ("choice", "catalog_price", None), ("choice", "catalog_discount", None), ("choice", "vendor_discontinued", None),
+    ("choice", "closeout", None), ("choice", "spd_rank", None), ("choice", "fba_inventory", None),
+    ("choice", "oos_until", None), ("choice", "inventory_status", None), ("variant_link", "scs_id", None),
+    ("choice", "inception", None),
 ]
 
 
 def product_info(inp: Inputs, site_id: int = 1) -> DataFrame:
     """Product, brand, main image, url, colour name and site attributes."""
-    p = inp.shop_products.alias("p")
-    br = inp.shop_brands.alias("br")
-    pi = inp.shop_images.alias("pi")
-    u = inp.shop_urls.alias("u")
-    v2 = inp.shop_option_variants.alias("v2")
-    pss = inp.shop_products_site.alias("pss")
+    p = inp.shop_products.alias("product")
+    br = inp.shop_brands.alias("brand")
+    pi = inp.shop_images.alias("picture")
+    u = inp.shop_urls.alias("link")
+    v2 = inp.shop_option_variants.alias("shade")
+    pss = inp.shop_products_site.alias("here")
     j = (
-        p.join(br, F.col("br.brand_id") == F.col("p.prod_brand"))
-        .join(pi, (F.col("pi.prod_id") == F.col("p.prod_id")) & F.col("pi.main_image") & (F.col("pi.site_id") == site_id), "left")
-        .join(u, (F.col("u.associated_id") == F.col("p.prod_id")) & (F.col("u.type") == 1) & (F.col("u.site_id") == site_id), "left")
-        .join(v2, F.col("v2.variant_id") == F.col("pi.option_color"), "left")
-        .join(pss, (F.col("pss.prod_id") == F.col("p.prod_id")) & (F.col("pss.site_id") == site_id))
+        p.join(br, F.col("brand.brand_id") == F.col("product.prod_brand"))
+        .join(pi, (F.col("picture.prod_id") == F.col("product.prod_id")) & F.col("picture.main_image") & (F.col("picture.site_id") == site_id), "left")
+        .join(u, (F.col("link.associated_id") == F.col("product.prod_id")) & (F.col("link.type") == 1) & (F.col("link.site_id") == site_id), "left")
+        .join(v2, F.col("shade.variant_id") == F.col("picture.option_color"), "left")
+        .join(pss, (F.col("here.prod_id") == F.col("product.prod_id")) & (F.col("here.site_id") == site_id))
     )
     return j.select(*[F.col(f"{a}.{c}").alias(c) for a, c in PRODUCT_INFO_COLUMNS])
 
@@ -70,22 +71,22 @@ def product_info(inp: Inputs, site_id: int = 1) -> DataFrame:
 def option_info(inp: Inputs, site_id: int = 1) -> DataFrame:
     """Option, product, brand and the three variant roles (size, style, colour),
     ordered by colour name then size order."""
-    po = inp.shop_product_options.alias("po")
-    p = inp.shop_products.alias("p")
-    pss = inp.shop_products_site.alias("pss")
-    ps = inp.shop_platform_link.alias("ps")
-    br = inp.shop_brands.alias("br")
+    po = inp.shop_product_options.alias("choice")
+    p = inp.shop_products.alias("product")
+    pss = inp.shop_products_site.alias("here")
+    ps = inp.shop_platform_link.alias("variant_link")
+    br = inp.shop_brands.alias("brand")
     variants = inp.shop_option_variants
     size, style, color = variants.alias("size"), variants.alias("style"), variants.alias("color")
     j = (
-        po.join(p, F.col("p.prod_id") == F.col("po.prod_id"))
-        .join(pss, (F.col("p.prod_id") == F.col("pss.prod_id")) & (F.col("pss.site_id") == site_id), "left")
-        .join(ps, (F.col("ps.id") == F.col("po.prod_option_id")) & (F.col("ps.type").cast("string") == "variant")
-              & (F.col("ps.site_id") == site_id), "left")
-        .join(br, F.col("br.brand_id") == F.col("p.prod_brand"))
-        .join(size, F.col("size.variant_id") == F.col("po.option_size"), "left")
-        .join(style, F.col("style.variant_id") == F.col("po.option_style"), "left")
-        .join(color, F.col("color.variant_id") == F.col("po.option_color"), "left")
+        po.join(p, F.col("product.prod_id") == F.col("choice.prod_id"))
+        .join(pss, (F.col("product.prod_id") == F.col("here.prod_id")) & (F.col("here.site_id") == site_id), "left")
+        .join(ps, (F.col("variant_link.id") == F.col("choice.prod_option_id")) & (F.col("variant_link.type").cast("string") == "variant")
+              & (F.col("variant_link.site_id") == site_id), "left")
+        .join(br, F.col("brand.brand_id") == F.col("product.prod_brand"))
+        .join(size, F.col("size.variant_id") == F.col("choice.option_size"), "left")
+        .join(style, F.col("style.variant_id") == F.col("choice.option_style"), "left")
+        .join(color, F.col("color.variant_id") == F.col("choice.option_color"), "left")
     )
     out = j.select(*[F.col(f"{a}.{c}").alias(o or c) for a, c, o in OPTION_INFO_COLUMNS])
     return out.orderBy(F.col("color").asc_nulls_last(), F.col("variant_order").asc_nulls_last())

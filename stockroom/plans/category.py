@@ -54,6 +54,6 @@ def active_product_types(inp: Inputs) -> DataFrame:
     return p.join(v, p["id"] == v["product_id"]).select("product_type").distinct()
 
 
-def table_passthrough(inp: Inputs) -> DataFrame:
-    """``SELECT *`` of the category mapping table."""
-    return inp.category_mapping
+def table_passthrough(inp: Inputs, table: str = "category_mapping") -> DataFrame:
+    """``SELECT *`` of a table: the category mapping, or the e-commerce product tags."""
+    return inp[table]

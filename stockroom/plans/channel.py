@@ -22,26 +22,26 @@ _STOCK_COLS = ["qoh", "backorder", "component_qoh", "component_backorder", "reor
 
 
 def _pos_branch(inp: Inputs) -> DataFrame:
-    # Each history is first reduced to distinct versions (the source groups by
-    # every selected column); the version order then breaks timestamp ties on
-    # the remaining columns.
-    items = inp.pos_item_history.select("id", "updated_time", *_ITEM_COLS).distinct()
-    item = latest_per_key(items, ["id"], "updated_time", _ITEM_COLS)
+    # The source groups each history by every selected column.  For a newest
+    # row, whose order covers all those columns, that changes nothing; the stock
+    # history, whose ranks are kept, needs it.
+    item = latest_per_key(inp.pos_item_history, ["id"], "updated_time", _ITEM_COLS, _ITEM_COLS)
     stock = inp.pos_item_shop_history.select("id", "item_id", "shop_id", "updated_time", *_STOCK_COLS).distinct()
-    stock = rank_versions(stock, ["id", "item_id", "shop_id"], "updated_time", _STOCK_COLS, "rn")
-    shops = inp.pos_shop_history.select("id", "updated_time", "name", "time_zone").distinct()
-    shop = latest_per_key(shops, ["id"], "updated_time", ["name", "time_zone"])
-    cats = inp.pos_category_history.select("id", "updated_time", "name", "full_path_name").distinct()
-    cat = latest_per_key(cats, ["id"], "updated_time", ["name", "full_path_name"])
+    shop = latest_per_key(inp.pos_shop_history, ["id"], "updated_time", ["name", "time_zone"], ["name", "time_zone"])
+    cat = latest_per_key(inp.pos_category_history, ["id"], "updated_time", ["name", "full_path_name"], ["name"])
 
     it = item.select(F.col("id").alias("item_key"), *[F.col(c) for c in _ITEM_COLS])
     ct = cat.select(F.col("id").alias("_cat_id"), F.col("name").alias("_cat_name"))
     sh = shop.select(F.col("id").alias("_shop_id"), F.col("name").alias("shopname"), "time_zone")
-    j = (
-        stock.join(it, stock["item_id"] == it["item_key"])
-        .join(ct, it["category_id"] == ct["_cat_id"])
-        .join(sh, stock["shop_id"] == sh["_shop_id"])
+    # the few shops and categories meet the newest item of each (item, shop)
+    # pair; the wide history then needs one join, on the fine pair key
+    pairs = stock.select(F.col("item_id").alias("_item"), F.col("shop_id").alias("_shop")).distinct()
+    about = (
+        pairs.join(it.join(ct, it["category_id"] == ct["_cat_id"]), F.col("_item") == F.col("item_key"))
+        .join(sh, F.col("_shop") == sh["_shop_id"])
     )
+    ranked = rank_versions(stock, ["id", "item_id", "shop_id"], "updated_time", _STOCK_COLS, "rn")
+    j = ranked.join(about, (ranked["item_id"] == about["_item"]) & (ranked["shop_id"] == about["_shop"]))
     t = F.col("updated_time")
     return j.select(
         F.lit(POS).alias("source"),

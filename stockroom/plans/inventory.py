@@ -3,33 +3,40 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions import ITEM_UUID_SEP, as_text, epoch_to_date, epoch_to_timestamp, item_uuid, month_end, typed_null
 from stockroom.operators.conform import conform, union_conformed
-from stockroom.operators.dedup import latest_per_key_per_day
-from stockroom.operators.intervals import asof_join, lead_month, lead_month_literal, start_after_previous
+from stockroom.operators.dedup import latest_per_key, latest_per_key_per_day
+from stockroom.operators.intervals import asof_join, lead_month, month_successors, start_after_previous
 from stockroom.plans.items import shop_category_ids
 from stockroom.plans.schemas import INVENTORY_FACT, POS, SHOP, STOCK_SNAPSHOT
 from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
+from stockroom.sources.sinks import append_snapshot, read_table
 
 # Option whose cost history the source's inspection queries look at.
 INSPECTED_OPTION = 176
 
 
-def stock_snapshot(inp: Inputs, as_of: dt.date) -> DataFrame:
-    """Daily snapshot run on ``as_of``: the last stock row of every item, shop
-    and day with the newest item attributes, row id ``as_of/shop/item``."""
-    item = inp.latest("pos_item_history").select("id", "category_id", "custom_sku", "avg_cost", "description")
+def stock_snapshot(inp: Inputs, as_of: dt.date | None = None) -> DataFrame:
+    """Daily snapshot run on ``as_of`` (default: the session's current date): of
+    the changes up to that day, the last stock row of every item, shop and day
+    with the newest item attributes; row id ``as_of/shop/item``."""
+    run_day = F.current_date() if as_of is None else F.lit(as_of)
+    upto = F.to_date("updated_time") <= run_day
+    item = latest_per_key(
+        inp.pos_item_history.where(upto), ["id"], "updated_time", CHANGE_ORDER,
+        ["category_id", "custom_sku", "avg_cost", "description"],
+    )
     stock = latest_per_key_per_day(
-        inp.pos_item_shop_history, ["id", "item_id", "shop_id"], "updated_time", "inventorydate",
+        inp.pos_item_shop_history.where(upto), ["id", "item_id", "shop_id"], "updated_time", "inventorydate",
         CHANGE_ORDER, ["qoh", "backorder"],
     )
     # a left join whose right side is filtered to its newest rows: an inner join
     j = stock.join(item.withColumnRenamed("id", "_iid"), F.col("item_id") == F.col("_iid"))
-    run_day = F.lit(as_of)
     return conform(
         j.select(
             F.concat(as_text(run_day), F.lit("/"), as_text("shop_id"), F.lit("/"), as_text("item_id")),
@@ -45,6 +52,14 @@ def stock_snapshot(inp: Inputs, as_of: dt.date) -> DataFrame:
     )
 
 
+def stock_snapshot_history(inp: Inputs, run_days: Sequence[dt.date], path: str) -> DataFrame:
+    """The history of the runs on ``run_days``: each run's snapshot appended by
+    the writer to the table at ``path``, read back from there."""
+    for day in run_days:
+        append_snapshot(stock_snapshot(inp, day), path, STOCK_SNAPSHOT)
+    return read_table(inp.spark, path).select(*[f.name for f in STOCK_SNAPSHOT.fields])
+
+
 def moves_last_of_day(inp: Inputs) -> DataFrame:
     """Last inventory move of each option and day."""
     last = latest_per_key_per_day(
@@ -66,15 +81,19 @@ def monthly_avg_cost(inp: Inputs) -> DataFrame:
     ).agg(F.avg("cost_price").alias("monthlycostavg"))
 
 
-def cost_intervals(inp: Inputs, literal: bool = False) -> DataFrame:
+def cost_intervals(inp: Inputs, option_id: int | None = None) -> DataFrame:
     """Validity interval ``[startmonth, monthending]`` of every monthly cost.
 
     ``previousmonthending`` is the next row in (month DESC, option DESC) order
-    over all options, as in the source; see ``lead_month``.
+    over all options, as in the source; see ``lead_month``.  With ``option_id``
+    only that option's ledger is averaged; the month frame stays global.
     """
+    months = inp.shop_cost_ledger.select("prod_option_id", month_end(epoch_to_date("stamped")).alias("monthending"))
+    successors = month_successors(months, "monthending", "prod_option_id")
     m = monthly_avg_cost(inp)
-    lead = lead_month_literal if literal else lead_month
-    m = lead(m, "monthending", "prod_option_id", "previousmonthending")
+    if option_id is not None:
+        m = m.where(F.col("prod_option_id") == option_id)
+    m = lead_month(m, "monthending", "prod_option_id", "previousmonthending", successors)
     return m.select(
         "prod_option_id", "monthending", "monthlycostavg", "previousmonthending",
         start_after_previous("previousmonthending", "monthending").alias("startmonth"),
@@ -82,7 +101,7 @@ def cost_intervals(inp: Inputs, literal: bool = False) -> DataFrame:
 
 
 def cost_interval_for_option(inp: Inputs, option_id: int = INSPECTED_OPTION) -> DataFrame:
-    return cost_intervals(inp).where(F.col("prod_option_id") == option_id)
+    return cost_intervals(inp, option_id)
 
 
 def ledger_for_option(inp: Inputs, option_id: int = INSPECTED_OPTION) -> DataFrame:
@@ -113,20 +132,13 @@ def inventory_costed(inp: Inputs, site_id: int = 1, sep: str = ITEM_UUID_SEP) ->
     )
 
 
-def inventory_fact(
-    inp: Inputs,
-    as_of: dt.date,
-    snapshot_history: DataFrame | None = None,
-    sep: str = ITEM_UUID_SEP,
-) -> DataFrame:
-    """Web-shop daily stock with as-of cost, plus the point-of-sale snapshot
-    history (default: the snapshot of a run on ``as_of``)."""
+def inventory_fact(inp: Inputs, snapshot_history: DataFrame, sep: str = ITEM_UUID_SEP) -> DataFrame:
+    """Web-shop daily stock with as-of cost, plus the point-of-sale snapshot history."""
     shop = inventory_costed(inp, sep=sep).select(
         "inventorydate", "option_sku", item_uuid(SHOP, "prod_id", "prod_option_id", sep=sep), "qoh",
         typed_null("bigint"), "monthlycostavg", typed_null("string"), "categoryid", F.lit(SHOP),
     )
-    snap = snapshot_history if snapshot_history is not None else stock_snapshot(inp, as_of)
-    pos = snap.select(
+    pos = snapshot_history.select(
         "insertdate", "sku", F.concat(F.lit(POS), F.lit(sep), "itemuuid"), "qoh", "backorder", "cost",
         "locationid", as_text("categoryid"), F.lit(POS),
     )

@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions import week_ending
-from stockroom.operators.intervals import (
-    lead_across_groups,
-    lead_across_groups_literal,
-    record_start,
-    spine_join_literal,
-    spread_over_spine,
-    spread_over_weeks,
-)
+from stockroom.operators.intervals import lead_across_groups, record_start, spread_over_spine, spread_over_weeks
 from stockroom.plans.schemas import POS
 
 # Columns that order rows of one item on one day, so that the interval lead is
@@ -23,15 +16,14 @@ from stockroom.plans.schemas import POS
 INTERVAL_TIE_BREAKERS = ["locationid", "source", "sku", "categoryid", "qoh", "backorder", "cost"]
 
 
-def inventory_intervals(inventory: DataFrame, literal: bool = False) -> DataFrame:
+def inventory_intervals(inventory: DataFrame) -> DataFrame:
     """Each stock record covers ``(previous record date, record date]``.
 
     The previous record date is the next row in (item, date DESC) order over
     the whole fact, as in the source: at an item's oldest record it is the
-    newest date of the next item.  The default form partitions by item.
+    newest date of the next item.
     """
-    lead = lead_across_groups_literal if literal else lead_across_groups
-    led = lead(inventory, "itemuuid", "date", INTERVAL_TIE_BREAKERS, "previousrecorddate")
+    led = lead_across_groups(inventory, "itemuuid", "date", INTERVAL_TIE_BREAKERS, "previousrecorddate")
     return led.select(
         "date", "sku", "itemuuid", "qoh", "backorder", "cost", "locationid", "categoryid", "source",
         "previousrecorddate", record_start("previousrecorddate", "date").alias("startrecorddate"),
@@ -42,18 +34,10 @@ def _interval_cols(intervals: DataFrame) -> DataFrame:
     return intervals.withColumnRenamed("date", "record_date")
 
 
-def inventory_on_spine(
-    spine: DataFrame,
-    intervals: DataFrame,
-    bounds: tuple[dt.date, dt.date] | None = None,
-    literal: bool = False,
-) -> DataFrame:
+def inventory_on_spine(spine: DataFrame, intervals: DataFrame, bounds: tuple[dt.date, dt.date]) -> DataFrame:
     """Every spine day with every interval covering it; uncovered days once,
     with null interval columns."""
-    iv = _interval_cols(intervals)
-    if literal:
-        return spine_join_literal(spine, iv, "date", "startrecorddate", "record_date")
-    return spread_over_spine(spine, iv, "date", "startrecorddate", "record_date", bounds)
+    return spread_over_spine(spine, _interval_cols(intervals), "date", "startrecorddate", "record_date", bounds)
 
 
 _WEEKLY_KEYS = [
@@ -67,13 +51,16 @@ _WEEKLY_OUT = [
 ]
 
 
-def _with_dims(frame: DataFrame, items: DataFrame, locations: DataFrame) -> DataFrame:
-    it = items.select(
-        F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3"
+def _with_locations(frame: DataFrame, locations: DataFrame) -> DataFrame:
+    """Left join on the location; rows without one match nothing and are spread
+    over tasks by their item instead of meeting in one."""
+    loc = locations.where(F.col("locationid").isNotNull()).select(
+        F.col("locationid").alias("_loc"), F.lit(True).alias("_has"), F.col("category").alias("georegion")
     )
-    loc = locations.select(F.col("locationid").alias("_locid"), F.col("category").alias("georegion"))
-    j = frame.join(it, frame["itemuuid"] == it["_uuid"], "left")
-    return j.join(loc, j["locationid"] == loc["_locid"], "left").drop("_uuid", "_locid")
+    has = F.col("locationid").isNotNull()
+    keyed = frame.withColumn("_lkey", F.coalesce("locationid", "itemuuid")).withColumn("_lhas", has)
+    on = (keyed["_lkey"] == loc["_loc"]) & (keyed["_lhas"] == loc["_has"])
+    return keyed.join(loc, on, "left").drop("_loc", "_has", "_lkey", "_lhas")
 
 
 def inventory_weekly(
@@ -86,96 +73,90 @@ def inventory_weekly(
     """Stock, backorder, average cost and inventory dollars per week, item and
     location group.
 
-    Same result as grouping the day-level spread (``inventory_weekly_by_day``)
-    but each interval is expanded to the week pieces it touches, weighted by
-    covered days, after the dimension joins: far fewer rows reach the
-    aggregate.  Sums are weighted sums; each average is the weighted sum over
-    the weighted count, divided with the same decimal types as ``avg`` so that
-    rounding is identical.
+    Same result as grouping the day-level spread, but each interval is expanded
+    only to the week pieces it touches, weighted by covered days, and the sums
+    and counts per (piece, item, location) are made before the dimensions are
+    joined, once each; a second small sum regroups by their attributes.  Each
+    average is the sum over the count, divided with the same decimal types as
+    ``avg`` so that rounding is identical.
     """
-    iv = _with_dims(_interval_cols(intervals), items, locations).select(
-        "record_date", "startrecorddate", "itemuuid", "sku", "categoryid", "source", "brandname",
-        "description", "color", "size", "attribute3", "georegion", "qoh", "backorder", "cost",
+    iv = _interval_cols(intervals).select(
+        "record_date", "startrecorddate", "itemuuid", "sku", "categoryid", "source", "locationid", "qoh", "backorder",
+        "cost",
     )
     piece_keys = [F.col("year"), week_ending("date").alias("weekending"), F.col("month"),
                   F.col("month_name"), F.col("week_of_year")]
     rows = spread_over_weeks(spine, iv, "date", "startrecorddate", "record_date", bounds, piece_keys)
     w = F.col("_days")
-    cost_sum = F.sum(F.col("cost") * w).cast("decimal(16,2)")
-    cost_days = F.sum(F.when(F.col("cost").isNotNull(), w)).cast("decimal(20,0)")
-    qoh_avg = (F.sum(F.col("qoh") * w).cast("decimal(30,0)")
-               / F.sum(F.when(F.col("qoh").isNotNull(), w)).cast("decimal(20,0)")).cast("decimal(24,4)")
-    agg = rows.groupBy(*_WEEKLY_KEYS).agg(
-        F.sum(F.col("qoh") * w).alias("qoh_sum"),
-        F.sum(F.col("backorder") * w).alias("backorder_sum"),
+    narrow = rows.groupBy(
+        "year", "weekending", "month", "month_name", "week_of_year", "itemuuid", "sku", "categoryid", "source",
+        "locationid",
+    ).agg(
+        F.sum(F.col("qoh") * w).alias("_qoh"), F.sum(F.when(F.col("qoh").isNotNull(), w)).alias("_qoh_n"),
+        F.sum(F.col("backorder") * w).alias("_backorder"),
+        F.sum(F.col("cost") * w).alias("_cost"), F.sum(F.when(F.col("cost").isNotNull(), w)).alias("_cost_n"),
+    )
+    it = items.select(F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3")
+    joined = _with_locations(narrow.join(it, narrow["itemuuid"] == it["_uuid"], "left").drop("_uuid"), locations)
+    cost_sum = F.sum("_cost").cast("decimal(16,2)")
+    cost_days = F.sum("_cost_n").cast("decimal(20,0)")
+    qoh_avg = (F.sum("_qoh").cast("decimal(30,0)") / F.sum("_qoh_n").cast("decimal(20,0)")).cast("decimal(24,4)")
+    agg = joined.groupBy(*_WEEKLY_KEYS).agg(
+        F.sum("_qoh").alias("qoh_sum"),
+        F.sum("_backorder").alias("backorder_sum"),
         (cost_sum / cost_days).cast("decimal(10,6)").alias("avg_cost"),
         (cost_sum * qoh_avg).alias("inventorydollars"),
     )
     return agg.select(*_WEEKLY_OUT)
 
 
-def inventory_weekly_by_day(
-    spine: DataFrame,
-    intervals: DataFrame,
-    items: DataFrame,
-    locations: DataFrame,
-    bounds: tuple[dt.date, dt.date] | None = None,
-) -> DataFrame:
-    """The source's form: spread to days, join dimensions, group by week."""
-    days = _with_dims(inventory_on_spine(spine, intervals, bounds), items, locations)
-    keyed = days.withColumn("weekending", week_ending("date"))
-    agg = keyed.groupBy(*_WEEKLY_KEYS).agg(
-        F.sum("qoh").alias("qoh_sum"),
-        F.sum("backorder").alias("backorder_sum"),
-        F.avg("cost").alias("avg_cost"),
-        (F.sum("cost") * F.avg(F.col("qoh").cast("decimal(20,0)"))).alias("inventorydollars"),
-    )
-    return agg.select(*_WEEKLY_OUT)
+_SALES_ITEM = ["sku", "brandname", "vendorid", "categoryid", "description", "color", "size", "attribute3"]
 
 
-def _sales_base(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    it = items.select(
-        F.col("uuid"), "sku", "brandname", "vendorid", "categoryid", "description", "color", "size",
-        "attribute3", F.col("source").alias("item_source"),
-    )
+def _on_calendar(spine: DataFrame, orders: DataFrame) -> DataFrame:
     # the calendar is at most 366 + 4 * 365 rows: broadcast to the fact's tasks
-    j = orders.join(F.broadcast(spine), "date")
-    return j.join(it, j["itemuuid"] == it["uuid"], "left")
+    return orders.join(F.broadcast(spine), "date")
 
 
 def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders, quantity, dollars and average discount per week and item.
 
     Location and the item's source are grouping keys that are not output, so
-    visible keys can repeat, as in the source.
+    visible keys can repeat, as in the source.  The fact is aggregated before
+    the item join (so a best-seller's rows shrink in the map tasks); items are
+    collapsed to distinct rows with their number, by which sums grow and to
+    which averages and distinct counts do not react.
     """
-    j = _sales_base(spine, orders, items)
-    keys = [
-        week_ending("date").alias("weekending"), "year", "month", "month_name", "week_of_year",
-        "itemuuid", "uuid", "sku", "locationid", "source", "item_source", "brandname", "vendorid",
-        "categoryid", "description", "color", "size", "attribute3",
-    ]
-    agg = j.groupBy(*keys).agg(
-        F.count_distinct("orderuuid").alias("ordercount"),
-        F.sum("qty_sold").alias("qtysold"),
-        F.sum("price").alias("salesdollars"),
-        F.avg("discount").alias("avgpercentdiscount"),
+    sums = _on_calendar(spine, orders).groupBy(
+        week_ending("date").alias("weekending"), "year", "month", "month_name", "week_of_year", "itemuuid",
+        "locationid", "source",
+    ).agg(
+        F.count_distinct("orderuuid").alias("ordercount"), F.sum("qty_sold").alias("_qty"),
+        F.sum("price").alias("_dollars"), F.avg("discount").alias("avgpercentdiscount"),
     )
-    return agg.select(
+    # item rows that differ in their source only stay apart, as grouping keys
+    it = items.groupBy("uuid", *_SALES_ITEM, F.col("source").alias("item_source")).agg(F.count(F.lit(1)).alias("_n"))
+    j = sums.join(it, sums["itemuuid"] == it["uuid"], "left")
+    n = F.coalesce("_n", F.lit(1))
+    return j.select(
         "weekending", "year", "month", "month_name", "week_of_year", "itemuuid", "ordercount",
-        "qtysold", "salesdollars", "avgpercentdiscount", "source", "sku", "uuid", "brandname",
+        (F.col("_qty") * n).alias("qtysold"), (F.col("_dollars") * n).cast("decimal(20,2)").alias("salesdollars"),
+        "avgpercentdiscount", "source", "sku", "uuid", "brandname",
         "vendorid", "categoryid", "description", "color", "size", "attribute3",
     )
 
 
 def discounted_sales_by_item(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Quantity, dollars and average discount of discounted sales per item and source."""
-    j = _sales_base(spine, orders.where(F.col("discount") > 0), items)
-    return j.groupBy("itemuuid", "source").agg(
-        F.sum("qty_sold").alias("qtysold"),
-        F.sum("price").alias("salesdollars"),
-        F.avg("discount").alias("avgpercentdiscount"),
-    ).select("itemuuid", "qtysold", "salesdollars", "avgpercentdiscount", "source")
+    sums = _on_calendar(spine, orders.where(F.col("discount") > 0)).groupBy("itemuuid", "source").agg(
+        F.sum("qty_sold").alias("_qty"), F.sum("price").alias("_dollars"), F.avg("discount").alias("avgpercentdiscount"),
+    )
+    it = items.groupBy("uuid").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.coalesce("_n", F.lit(1))
+    return sums.join(it, sums["itemuuid"] == it["uuid"], "left").select(
+        "itemuuid", (F.col("_qty") * n).alias("qtysold"), (F.col("_dollars") * n).cast("decimal(20,2)").alias("salesdollars"),
+        "avgpercentdiscount", "source",
+    )
 
 
 def view_lookup_distinct(sales_view: DataFrame, source: str = POS) -> DataFrame:

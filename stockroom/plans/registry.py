@@ -9,6 +9,7 @@ part of the web-shop orders.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ from stockroom.sources.sinks import materialize
 
 AS_OF = dt.date(2001, 12, 31)
 MIN_ORDER_DATE = dt.date(1998, 1, 1)
+# Days of the daily snapshot job whose history the inventory fact is built from.
+RUN_DAYS = [dt.date(2001, 12, 5), dt.date(2001, 12, 12), dt.date(2001, 12, 19), dt.date(2001, 12, 26), AS_OF]
 SPINE_FIRST, SPINE_LAST, SPINE_DAYS = calendar.spine_bounds(AS_OF)
 
 
@@ -64,9 +67,14 @@ class Mart:
     def order_fact(self) -> DataFrame:
         return self._get("order_fact", lambda: orders.order_fact(self.inp, MIN_ORDER_DATE))
 
+    @property
+    def snapshot_history(self) -> DataFrame:
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables/snapshot-history-{uuid.uuid4().hex}"
+        return self._get("snapshot_history", lambda: inventory.stock_snapshot_history(self.inp, RUN_DAYS, path))
+
     @property
     def inventory_fact(self) -> DataFrame:
-        return self._get("inventory_fact", lambda: inventory.inventory_fact(self.inp, AS_OF))
+        return self._get("inventory_fact", lambda: inventory.inventory_fact(self.inp, self.snapshot_history))
 
     @property
     def inventory_fact_table(self) -> DataFrame:
@@ -84,8 +92,8 @@ class Mart:
 
 
 def _date_dimension(m: Mart) -> DataFrame:
-    # run date = the latest day present in the landed order history
-    anchor = m.inp.pos_order_history.agg(F.max(F.to_date("updated_time")).alias("as_of"))
+    # run date = the latest day present in the landed order lines
+    anchor = m.inp.pos_order_line_history.agg(F.max(F.to_date("updated_time")).alias("as_of"))
     return calendar.date_dim_for_anchor(anchor)
 
 
@@ -96,6 +104,7 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "product_type_pairs": lambda m: category.product_type_pairs(m.inp),
     "active_product_types": lambda m: category.active_product_types(m.inp),
     "table_passthrough": lambda m: category.table_passthrough(m.inp),
+    "product_tag_passthrough": lambda m: category.table_passthrough(m.inp, "ecom_product_tag"),
     "pos_items": lambda m: items.pos_items(m.inp),
     "shop_brands": lambda m: items.shop_brands(m.inp),
     "shop_category_ids": lambda m: items.shop_category_ids(m.inp),
@@ -107,6 +116,7 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "location_latest": lambda m: locations.location_latest(m.inp),
     "location_dim": lambda m: m.location_dim,
     "stock_snapshot": lambda m: inventory.stock_snapshot(m.inp, AS_OF),
+    "stock_snapshot_history": lambda m: m.snapshot_history,
     "moves_last_of_day": lambda m: inventory.moves_last_of_day(m.inp),
     "monthly_avg_cost": lambda m: inventory.monthly_avg_cost(m.inp),
     "cost_intervals": lambda m: inventory.cost_intervals(m.inp),
@@ -135,7 +145,7 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "audit_monthly_avg": lambda m: audit.audit_monthly_avg(m.inp),
     "required_column_violations": lambda m: _violations({
         "date_dim": (m.date_dim, REQUIRED["date_dim"]),
-        "inventory_fact": (m.inventory_fact, REQUIRED["inventory_fact"]),
+        "inventory_fact": (m.inventory_fact_table, REQUIRED["inventory_fact"]),
         "item_dim": (m.item_dim, REQUIRED["item_dim"]),
         "location_dim": (m.location_dim, REQUIRED["location_dim"]),
     }),
@@ -145,9 +155,9 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
 def build(name: str, spark: SparkSession, sf_dir: str, staged_dir: str | None = None) -> DataFrame:
     """The DataFrame of one query key; inputs projected from ``sf_dir`` or, with
     ``staged_dir``, read from inputs staged there by ``stage_inputs``."""
-    # epoch and date conversions are defined in UTC; the checkpoint folder is
-    # the cluster's own when set, a scratch folder only when unset
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # epoch and date conversions are defined in UTC
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return _BUILDERS[name](Mart(spark, sf_dir, staged_dir=staged_dir))
 

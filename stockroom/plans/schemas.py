@@ -35,6 +35,7 @@ ECOM = "ecom"
 # Shop name given to e-commerce stock rows.
 ECOM_SHOP_NAME = "ecom store"
 
+# Columns and types of the target tables.
 DATE_DIM = _schema(
     "date DATE, year INT, month INT, month_name STRING, day_of_mon INT, "
     "day_of_week STRING, week_of_year INT, day_of_year INT"
@@ -57,7 +58,24 @@ STOCK_SNAPSHOT = _schema(
     "qoh BIGINT, backorder BIGINT, cost DECIMAL(10,2), locationid STRING, categoryid STRING"
 )
 
-# NOT NULL columns of the declared targets
+# Longest text of the declared columns (255 where not listed) and
+# the NOT NULL columns of the declared targets
+_LONGEST = {
+    "date_dim": {"month_name": 3, "day_of_week": 9},
+    "item_dim": {"sku": 100, "categoryid": 100, "color": 100, "source": 30},
+    "location_dim": {"locationid": 100, "source": 30},
+    "order_fact": {"locationid": 50, "source": 100},
+    "inventory_fact": {"locationid": 50, "categoryid": 100, "source": 100},
+    "stock_snapshot_history": {"locationid": 50, "categoryid": 150},
+}
+
+
+def longest(table: str, schema: StructType) -> dict[str, int]:
+    """Greatest number of characters of each text column of a target table."""
+    return {f.name: _LONGEST[table].get(f.name, 255) for f in schema.fields if isinstance(f.dataType, StringType)}
+
+
+# NOT NULL columns
 REQUIRED = {
     "date_dim": [f.name for f in DATE_DIM.fields],
     "inventory_fact": ["date"],

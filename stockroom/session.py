@@ -21,12 +21,18 @@ BASE_CONF = {
 }
 
 
-def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "stockroom") -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "stockroom") -> SparkSession:
+    """A session with the settings above.  ``master``, the number of shuffle
+    partitions and memory are the deployment's (``spark-submit``) unless given."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if memory := os.environ.get("STOCKROOM_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", memory)
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("STOCKROOM_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

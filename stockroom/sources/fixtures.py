@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 Expr = str | tuple[str, str]
 
 # tie-breakers of rows of one key landed at the same time
-CHANGE_ORDER = ["change_seq", "change_sub"]
+CHANGE_ORDER = ["change_seq", "change_line", "change_part", "change_sub"]
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -57,12 +57,24 @@ def _days_after_2000(n: str) -> tuple[str, str]:
     )
 
 
+# Stock and shop changes: the events of January 2024 moved to December 2001, so
+# that they lie on the date spine, before and between the snapshot's run days.
+EVENT_TIME: tuple[str, str] = ("ts - INTERVAL '8065' DAY", "ts - INTERVAL '8065 days'")
 NULL_TS: tuple[str, str] = ("CAST(NULL AS TIMESTAMP_NTZ)", "CAST(NULL AS TIMESTAMP)")
 BRAND_NO = "CAST(substring(p_brand, 7) AS BIGINT)"
-# Change-log order of rows landed at the same time: (change_seq, change_sub)
-# is unique per lineitem row (line number < 8, supplier key < 2^20 in the data).
-LINE_SEQ = "l_orderkey * 8 + l_linenumber"
-LINE_SUB = "l_partkey * 1048576 + l_suppkey"
+# Change-log order of rows landed at the same time, in columns of its own: for
+# lineitem the four keys that tell its rows apart, else one sequence number.
+LINE_CHANGE: list[tuple[str, "Expr"]] = [
+    ("change_seq", "l_orderkey"), ("change_line", "CAST(l_linenumber AS BIGINT)"), ("change_part", "l_partkey"),
+    ("change_sub", "l_suppkey"),
+]
+
+
+def _change(seq: str) -> list[tuple[str, "Expr"]]:
+    zero = "CAST(0 AS BIGINT)"
+    return [("change_seq", seq), ("change_line", zero), ("change_part", zero), ("change_sub", zero)]
+
+
 RETAIL = _money("p_retailprice")
 
 
@@ -116,12 +128,12 @@ _DUCK_COLOR_CODES = (
 
 
 def _events_with_shop(t):
-    return t("events").join(F.broadcast(_shop_codes(t)), F.col("event_type") == F.col("_et"))
+    return t("events").join(_shop_codes(t), F.col("event_type") == F.col("_et"))
 
 
 def _part_with_color(t):
     cc = _color_codes(t)
-    return t("part").join(F.broadcast(cc), F.split_part("p_name", F.lit(" "), F.lit(1)) == F.col("_w"))
+    return t("part").join(cc, F.split_part("p_name", F.lit(" "), F.lit(1)) == F.col("_w"))
 
 
 _EVENTS_SHOP_FROM = f"events JOIN {_DUCK_SHOP_CODES} ON events.event_type = _sc._et"
@@ -159,8 +171,7 @@ _add(Source(
         ("default_cost", RETAIL),
         ("avg_cost", _unit_price(100)),
         ("publish_to_ecom", "l_linestatus = 'O'"),
-        ("change_seq", LINE_SEQ),
-        ("change_sub", LINE_SUB),
+        *LINE_CHANGE,
     ],
 ))
 _add(Source(
@@ -171,15 +182,14 @@ _add(Source(
         ("id", "user_id"),
         ("item_id", "user_id"),
         ("shop_id", "shop_no"),
-        ("updated_time", "ts"),
+        ("updated_time", EVENT_TIME),
         ("qoh", "CAST(floor(value) AS BIGINT)"),
         ("backorder", "CAST(floor(value) AS BIGINT) % 7"),
         ("component_qoh", "CAST(floor(value) AS BIGINT) % 3"),
         ("component_backorder", "CAST(0 AS BIGINT)"),
         ("reorder_point", "CAST(5 AS BIGINT)"),
         ("reorder_level", "CAST(10 AS BIGINT)"),
-        ("change_seq", "event_id"),
-        ("change_sub", "CAST(0 AS BIGINT)"),
+        *_change("event_id"),
     ],
 ))
 _add(Source(
@@ -188,11 +198,10 @@ _add(Source(
     _EVENTS_SHOP_FROM,
     [
         ("id", "shop_no"),
-        ("updated_time", "ts"),
+        ("updated_time", EVENT_TIME),
         ("name", "'Shop ' || event_type || ' ' || CAST(event_id AS STRING)"),
-        ("time_zone", "'UTC'"),
-        ("change_seq", "event_id"),
-        ("change_sub", "CAST(0 AS BIGINT)"),
+        ("time_zone", "CASE WHEN shop_no % 3 = 0 THEN 'UTC' WHEN shop_no % 3 = 1 THEN 'Europe/Berlin' ELSE 'America/Denver' END"),
+        *_change("event_id"),
     ],
 ))
 _add(Source(
@@ -205,8 +214,7 @@ _add(Source(
         ("name", "' $.' || p_type || './ ' || p_name || ' /' || p_brand || ' $'"),
         ("full_path_name", "p_type || '/' || p_name"),
         ("node_depth", "CAST(p_partkey % 5 AS INT)"),
-        ("change_seq", "p_partkey"),
-        ("change_sub", "CAST(0 AS BIGINT)"),
+        *_change("p_partkey"),
     ],
 ))
 _add(Source(
@@ -217,8 +225,7 @@ _add(Source(
         ("id", "l_suppkey"),
         ("updated_time", "l_shipdate"),
         ("name", "'Vendor ' || CAST(l_suppkey AS STRING) || l_linestatus"),
-        ("change_seq", LINE_SEQ),
-        ("change_sub", LINE_SUB),
+        *LINE_CHANGE,
     ],
 ))
 _add(Source(
@@ -229,8 +236,7 @@ _add(Source(
         ("id", BRAND_NO),
         ("updated_time", _days_after_2000("p_partkey")),
         ("name", "p_brand || ' ' || p_type"),
-        ("change_seq", "p_partkey"),
-        ("change_sub", "CAST(0 AS BIGINT)"),
+        *_change("p_partkey"),
     ],
 ))
 _add(Source(
@@ -248,8 +254,7 @@ _add(Source(
         ("discount", _money("l_discount")),
         ("total_discount", _money("l_discount")),
         ("total_quantity", "CAST(l_quantity AS BIGINT)"),
-        ("change_seq", LINE_SEQ),
-        ("change_sub", LINE_SUB),
+        *LINE_CHANGE,
     ],
 ))
 _add(Source(
@@ -265,8 +270,7 @@ _add(Source(
         ("price", _unit_price(1)),
         ("original_price", _unit_price(1)),
         ("quantity", "CAST(l_quantity AS BIGINT)"),
-        ("change_seq", LINE_SEQ),
-        ("change_sub", LINE_SUB),
+        *LINE_CHANGE,
     ],
 ))
 
@@ -411,8 +415,7 @@ _add(Source(
         ("newinv", "CAST(l_quantity AS BIGINT)"),
         ("changetime", ("l_shipdate + make_interval(0, 0, 0, 0, l_linenumber, 0, 0)",
                         "l_shipdate + to_hours(l_linenumber)")),
-        ("change_seq", LINE_SEQ),
-        ("change_sub", LINE_SUB),
+        *LINE_CHANGE,
     ],
 ))
 _add(Source(

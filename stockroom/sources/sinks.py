@@ -3,22 +3,50 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stockroom.operators.conform import conform
 from stockroom.session import ensure_checkpoint_dir
 
 
-def replace_table(df: DataFrame, path: str, schema: StructType | None = None, partition_by: str | None = None) -> None:
-    """``CREATE OR REPLACE TABLE t(cols) AS SELECT``: bind to the declared schema
-    by position, cast, and overwrite the table at ``path``."""
-    out = conform(df, schema) if schema is not None else df
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+def checked(df: DataFrame, table: str, required: Sequence[str] = (), longest: Mapping[str, int] | None = None) -> DataFrame:
+    """``df`` whose evaluation fails on a null in a required column or a text longer than declared."""
+    out = df
+    for c in required:
+        said = F.raise_error(F.lit(f"{table}.{c} must not be null"))
+        out = out.withColumn(c, F.when(F.col(c).isNull(), said.cast(df.schema[c].dataType)).otherwise(F.col(c)))
+    for c, n in (longest or {}).items():
+        said = F.raise_error(F.concat(F.lit(f"{table}.{c} takes {n} characters: "), F.col(c)))
+        out = out.withColumn(c, F.when(F.length(c) > n, said).otherwise(F.col(c)))
+    return out
+
+
+def replace_table(
+    df: DataFrame, table: str, location: str, schema: StructType | None = None, required: Sequence[str] = (),
+    longest: Mapping[str, int] | None = None,
+) -> None:
+    """``CREATE OR REPLACE TABLE t(cols) AS SELECT``: bind to the declared schema by
+    position, cast, check, write a new version under ``location`` and point the
+    catalog table at it.
+
+    Readers see the old version until the new one is complete; a failed check or
+    write leaves the table as it was.
+    """
+    spark = df.sparkSession
+    out = checked(conform(df, schema) if schema is not None else df, table, required, longest)
+    path = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
+    out.write.parquet(path)
+    same = spark.catalog.tableExists(table) and spark.table(table).schema.simpleString() == out.schema.simpleString()
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=path, source="parquet", schema=out.schema)
 
 
 def append_snapshot(df: DataFrame, path: str, schema: StructType | None = None, partition_col: str = "insertdate") -> None:
@@ -43,4 +71,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

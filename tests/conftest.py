@@ -6,6 +6,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+os.environ.setdefault("STOCKROOM_DRIVER_MEMORY", "8g")
+
 from stockroom.session import get_spark  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"

@@ -25,18 +25,19 @@ from stockroom.operators.dedup import (
     latest_per_key_per_day,
     newest_first,
     rank_versions,
-    rank_versions_window,
 )
-from stockroom.operators.intervals import (
-    lead_across_groups,
+from stockroom.operators.intervals import asof_join, lead_across_groups, lead_month, spread_over_spine
+from stockroom.plans.calendar import date_dim, spine_bounds
+
+from literal_forms import (
+    asof_join_literal,
+    inventory_weekly_by_day,
     lead_across_groups_literal,
-    lead_across_groups_window,
-    lead_month,
     lead_month_literal,
+    rank_versions_window,
+    sales_weekly_by_row,
     spine_join_literal,
-    spread_over_spine,
 )
-from stockroom.plans.calendar import date_dim, spine_bounds
 
 D = dt.date
 T = dt.datetime
@@ -127,6 +128,24 @@ def test_latest_per_key_per_day(spark):
     assert out == [(D(2024, 1, 1), "y"), (D(2024, 1, 2), "z")]
 
 
+def test_line_id_join_and_dash_separator(spark):
+    from stockroom.plans.items import item_dim
+    from stockroom.plans.orders import order_fact, pos_orders
+    from stockroom.sources.fixtures import Inputs
+
+    from conftest import SF_SMALL
+
+    inp = Inputs(spark, SF_SMALL)
+    lines = {(r["id"], r["order_id"]) for r in inp.pos_order_line_history.select("id", "order_id").collect()}
+    orders = {r["id"] for r in inp.pos_order_history.select("id").collect()}
+    got = pos_orders(inp, line_key="id")  # the line's own id taken for an order id
+    assert got.count() == sum(line in orders for line, _ in lines)
+    assert pos_orders(inp).count() == sum(order in orders for _, order in lines)
+    slash, dash = (sorted(r["uuid"] for r in item_dim(inp, **o).select("uuid").collect()) for o in ({}, {"sep": "-"}))
+    assert sorted(u.replace("/", "-") for u in slash) == dash
+    assert all("/" not in r[0] for r in order_fact(inp, sep="-").select("itemuuid").collect())
+
+
 def test_bucketed_ranks_equal_window_ranks_with_a_hot_key(spark):
     rnd = random.Random(11)
     data = []
@@ -179,8 +198,7 @@ def test_spread_over_spine_equals_range_join(spark):
     cols = ["date", "lo", "hi", "id"]
     a = rows(spine_join_literal(spine, iv, "date", "lo", "hi"), *cols)
     b = rows(spread_over_spine(spine, iv, "date", "lo", "hi", (first, last)), *cols)
-    c = rows(spread_over_spine(spine, iv, "date", "lo", "hi"), *cols)
-    assert a == b == c
+    assert a == b
 
 
 # ---------------------------------------------------------------- calendar
@@ -216,27 +234,6 @@ def test_required_column_violations(spark):
     assert out == sorted([("t", "a", 1), ("t", "b", 2), ("e", "a", 0)], key=repr)
 
 
-def test_next_in_order_across_ranges(spark):
-    from stockroom.operators.intervals import next_in_order
-
-    keys = [f"k{i:04d}" for i in range(0, 400, 3)] + [None]
-    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v bigint")
-    got = dict((r["k"], r["nxt"]) for r in next_in_order(df, "k", "v", "nxt", buckets=5).collect())
-    order = sorted(keys, key=lambda k: (k is None, k or ""))
-    expected = {k: (dict(zip(keys, range(len(keys))))[order[i + 1]] if i + 1 < len(order) else None)
-                for i, k in enumerate(order)}
-    assert got == expected
-
-
-def test_lead_across_groups_window_successor(spark):
-    rnd = random.Random(8)
-    data = [(f"g{rnd.randint(0, 30)}", D(2024, 1, rnd.randint(1, 28)), i) for i in range(300)]
-    df = spark.createDataFrame(data, "g string, d date, id bigint")
-    a = rows(lead_across_groups_literal(df, "g", "d", ["id"], "prev"))
-    b = rows(lead_across_groups(df, "g", "d", ["id"], "prev", successor="window"))
-    assert a == b
-
-
 def test_lead_across_groups_with_duplicates_and_a_hot_group(spark):
     rnd = random.Random(21)
     data = []
@@ -247,12 +244,56 @@ def test_lead_across_groups_with_duplicates_and_a_hot_group(spark):
     df = spark.createDataFrame(data, "g string, d date, loc string, q int")
     a = rows(lead_across_groups_literal(df, "g", "d", ["loc", "q"], "prev"))
     b = rows(lead_across_groups(df, "g", "d", ["loc", "q"], "prev"))
-    c = rows(lead_across_groups_window(df, "g", "d", ["loc", "q"], "prev"))
-    assert a == b == c
+    assert a == b
+
+
+def test_lead_over_few_rows_and_more_ranges(spark):
+    for n in (0, 1, 3):
+        df = spark.createDataFrame([(f"g{i}", D(2024, 1, 1 + i)) for i in range(n)], "g string, d date")
+        assert rows(lead_across_groups(df, "g", "d", [], "prev")) == rows(lead_across_groups_literal(df, "g", "d", [], "prev"))
+
+
+def test_asof_join_by_month_equals_range_join(spark):
+    rnd = random.Random(17)
+    day = lambda: D(2023, 11, 1) + dt.timedelta(days=rnd.randint(0, 200))
+    left = spark.createDataFrame([(rnd.randint(0, 9), None if rnd.random() < .05 else day(), i) for i in range(400)],
+                                 "k int, d date, id int")
+    ivs = []
+    for i in range(200):
+        lo = day()
+        ivs.append((rnd.randint(0, 9), None if rnd.random() < .05 else lo, lo + dt.timedelta(days=rnd.randint(-5, 90)), i))
+    right = spark.createDataFrame(ivs, "rk int, lo date, hi date, rid int")
+    a = rows(asof_join_literal(left, right, [("k", "rk")], "d", "lo", "hi"), "id", "rid")
+    assert a == rows(asof_join(left, right, [("k", "rk")], "d", "lo", "hi"), "id", "rid")
+
+
+def test_sales_aggregated_before_the_item_join(spark):
+    from stockroom.plans.marts import discounted_sales_by_item, sales_weekly
+
+    rnd = random.Random(23)
+    spine = date_dim(spark, D(2024, 3, 15), years_back=0, years_forward=0)
+    orders = []
+    for i in range(1200):
+        item = "hot" if i < 400 else rnd.choice([f"item{rnd.randint(0, 15)}", None])
+        orders.append((D(2024, 1, 1) + dt.timedelta(days=rnd.randint(-3, 70)), item, str(rnd.randint(0, 300)), rnd.randint(1, 9),
+                       Decimal(rnd.randint(1, 9999)) / 100, Decimal(rnd.randint(0, 30)), rnd.choice(["1", "2", None]),
+                       rnd.choice(["pos", "shop"])))
+    orders = spark.createDataFrame(orders, "date date, itemuuid string, orderuuid string, qty_sold bigint, "
+                                           "price decimal(10,2), discount decimal(38,0), locationid string, source string")
+    items = []
+    for u in ["hot", "hot", "hot", *[f"item{i % 12}" for i in range(30)]]:  # repeated and differing rows of one uuid
+        items.append(("s", u, rnd.choice(["b1", "b2"]), None, "c", "d", "red", "L", "x", rnd.choice(["pos", "shop"])))
+    items = spark.createDataFrame(items, "sku string, uuid string, brandname string, vendorid string, categoryid string, "
+                                         "description string, color string, size string, attribute3 string, source string")
+    weekly, by_item = sales_weekly_by_row(spine, orders, items)
+    got = sales_weekly(spine, orders, items)
+    assert rows(got) == rows(weekly.select(*got.columns))
+    got = discounted_sales_by_item(spine, orders, items)
+    assert rows(got) == rows(by_item.select(*got.columns))
 
 
 def test_weekly_pieces_equal_day_level_weekly(spark):
-    from stockroom.plans.marts import inventory_weekly, inventory_weekly_by_day
+    from stockroom.plans.marts import inventory_weekly
 
     as_of = D(2024, 3, 15)
     first, last, _ = spine_bounds(as_of, years_back=0, years_forward=0)
@@ -273,6 +314,6 @@ def test_weekly_pieces_equal_day_level_weekly(spark):
         [(f"item{i}", f"b{i % 3}", "d", "c", "s", "a") for i in range(0, 12, 2)],
         "uuid string, brandname string, description string, color string, size string, attribute3 string")
     locs = spark.createDataFrame([("1", "north"), ("2", "south")], "locationid string, category string")
-    a = rows(inventory_weekly_by_day(spine, iv, items, locs, (first, last)))
+    a = rows(inventory_weekly_by_day(spine, iv, items, locs))
     b = rows(inventory_weekly(spine, iv, items, locs, (first, last)))
     assert a == b

@@ -6,10 +6,13 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from stockroom.operators.dedup import latest_per_key
-from stockroom.operators.intervals import spine_join_literal, spread_over_spine
-from stockroom.plans.calendar import date_dim
+from stockroom.operators.intervals import spread_over_spine
+from stockroom.plans.calendar import date_dim, spine_bounds
+from stockroom.plans.registry import QUERIES
 from stockroom.sources.fixtures import Inputs
 
+from literal_forms import spine_join_literal
+
 from conftest import SF_SMALL
 
 
@@ -17,7 +20,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_nested_loop_or_cartesian_join(spark, key):
     p = plan(entry_mod.queries()[key](spark, SF_SMALL))
     assert not re.search(r"NestedLoopJoin|CartesianProduct", p), key
@@ -25,7 +28,7 @@ def test_no_nested_loop_or_cartesian_join(spark, key):
 
 def test_latest_per_key_reduces_before_the_shuffle(spark):
     inp = Inputs(spark, SF_SMALL)
-    p = plan(latest_per_key(inp.pos_order_history, ["id"], "updated_time", ["change_seq", "change_sub"]))
+    p = plan(latest_per_key(inp.pos_order_history, ["id"], "updated_time", ["change_seq", "change_line", "change_part", "change_sub"]))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
@@ -35,7 +38,7 @@ def test_literal_spine_join_is_nested_loop_and_spread_is_not(spark):
     spine = date_dim(spark, dt.date(2024, 3, 1), years_back=0)
     iv = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 9))], "lo date, hi date")
     assert "NestedLoopJoin" in plan(spine_join_literal(spine, iv, "date", "lo", "hi"))
-    p = plan(spread_over_spine(spine, iv, "date", "lo", "hi"))
+    p = plan(spread_over_spine(spine, iv, "date", "lo", "hi", spine_bounds(dt.date(2024, 3, 1), years_back=0)[:2]))
     assert "NestedLoopJoin" not in p and "BroadcastHashJoin" in p
 
 
@@ -55,3 +58,62 @@ def test_scan_reads_only_used_columns(spark):
 def test_sales_view_broadcasts_the_calendar(spark):
     p = plan(entry_mod.queries()["sales_weekly"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
+
+
+@pytest.fixture()
+def large_tables(spark):
+    """Plans as for large tables: no join side is small enough to broadcast by size."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _nodes(p: str) -> list[tuple[int, str]]:
+    """(depth, text) of the lines of a plan tree."""
+    return [(len(m[1]), m[2]) for m in re.finditer(r"^([ :+|*()\d-]*)([A-Za-z].*)$", p, re.M)]
+
+
+# frames with one row per event type, colour word, month or spine day
+SMALL_ORDERED = re.compile(r"event_type|_w#|_m#|_d#|HashAggregate|last_day_")
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - {"option_info"}))
+def test_no_single_task_above_a_fact(spark, large_tables, key):
+    """What goes through one task is a code list, the months or the spine: an
+    aggregate or the calendar, never rows of a history or a fact."""
+    nodes = _nodes(plan(QUERIES[key](spark, SF_SMALL)))
+    for i, (depth, text) in enumerate(nodes):
+        if text.startswith("Exchange SinglePartition"):
+            below = next(t for d, t in nodes[i + 1 :] if d > depth)
+            while below.startswith(("InputAdapter", "WholeStageCodegen")):
+                below = next(t for _, t in nodes[nodes.index((depth, text)) + 2 :])
+            assert re.match(r"(HashAggregate|Project|Generate|Range|SortMergeJoin|LocalTableScan|Window)", below), (key, below)
+            assert not below.startswith("FileScan"), key
+
+
+def test_months_are_aggregated_before_any_exchange_on_the_month(spark, large_tables):
+    p = plan(QUERIES["cost_intervals"](spark, SF_SMALL))
+    for m in re.finditer(r"Exchange hashpartitioning\((_m#\d+|monthending#\d+),", p):
+        below = p[m.end():].split("\n")[1]
+        assert "partial_min" in below, below
+
+
+def test_sales_shrink_before_the_item_join(spark, large_tables):
+    for key in ("sales_weekly", "discounted_sales_by_item"):
+        p = plan(QUERIES[key](spark, SF_SMALL))
+        join = p.index("SortMergeJoin") if "SortMergeJoin" in p else p.index("ShuffledHashJoin")
+        assert "HashAggregate" in p[join:join + 3000] and "itemuuid" in p[join:join + 300]
+
+
+def test_weekly_inventory_joins_each_dimension_once(spark, large_tables):
+    p = plan(QUERIES["inventory_weekly"](spark, SF_SMALL))
+    assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[itemuuid#\d+\]", p)) == 1
+    assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[_lkey#\d+", p)) == 1

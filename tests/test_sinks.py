@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stockroom.plans.schemas import LOCATION_DIM, STOCK_SNAPSHOT
@@ -13,12 +14,37 @@ def _snap(spark, day, n):
     return spark.createDataFrame(rows, STOCK_SNAPSHOT)
 
 
-def test_replace_table_binds_by_position(spark, tmp_dir):
+def test_replace_table_binds_by_position_and_swaps_versions(spark, tmp_dir):
     df = spark.createDataFrame([(5, "Main", "UTC", "pos")], "id int, name string, tz string, src string")
-    replace_table(df, f"{tmp_dir}/loc", LOCATION_DIM)
-    out = read_table(spark, f"{tmp_dir}/loc")
+    replace_table(df, "loc_test", f"{tmp_dir}/loc", LOCATION_DIM)
+    out = spark.table("loc_test")
     assert out.columns == [f.name for f in LOCATION_DIM.fields]
     assert out.first()["locationid"] == "5"
+    replace_table(df.withColumn("id", F.lit(6)), "loc_test", f"{tmp_dir}/loc", LOCATION_DIM)
+    assert [r["locationid"] for r in spark.table("loc_test").collect()] == ["6"]
+    replace_table(df.select("id"), "loc_test", f"{tmp_dir}/loc")  # another layout
+    assert spark.table("loc_test").columns == ["id"]
+
+
+def test_replace_table_checks_declared_rules_and_keeps_the_old_version(spark, tmp_dir):
+    good = spark.createDataFrame([("1", "Main", "UTC", "pos")], LOCATION_DIM)
+    write = lambda df: replace_table(df, "loc_rules", f"{tmp_dir}/loc2", LOCATION_DIM, ["locationname"], {"category": 5})
+    write(good)
+    for bad, said in ((good.withColumn("locationname", F.lit(None).cast("string")), "must not be null"),
+                      (good.withColumn("category", F.lit("too long")), "takes 5 characters")):
+        with pytest.raises(Exception, match=said):
+            write(bad)
+    assert [tuple(r) for r in spark.table("loc_rules").collect()] == [("1", "Main", "UTC", "pos")]
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from stockroom.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
 
 
 def test_snapshot_rerun_replaces_only_its_day(spark, tmp_dir):
