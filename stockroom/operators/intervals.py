@@ -35,14 +35,20 @@ def month_successors(rows: DataFrame, month: str, key: str) -> DataFrame:
     return months.withColumn("_next_month", F.lead("_m").over(Window.orderBy(F.col("_m").desc_nulls_first())))
 
 
-def lead_month(df: DataFrame, month: str, key: str, out: str, successors: DataFrame | None = None) -> DataFrame:
-    """``LEAD(month) OVER (ORDER BY month DESC, key DESC)`` for rows unique on (month, key).
+def lead_month(
+    df: DataFrame, month: str, key: str, out: str, successors: DataFrame | None = None, boundary: str = "global"
+) -> DataFrame:
+    """``LEAD(month) OVER (ORDER BY month DESC, key DESC)`` for rows unique on (month, key);
+    with ``boundary="per_key"`` the same ``PARTITION BY key`` (a key has at most
+    one row per calendar month).
 
     In that order the next row of any key but the smallest of its month is in
     the same month; the smallest key's next row opens the next older month.
     ``successors`` (``month_successors`` of all rows) lets ``df`` hold a part of
     the keys only.
     """
+    if boundary == "per_key":
+        return df.withColumn(out, F.lead(month).over(Window.partitionBy(key).orderBy(F.col(month).desc_nulls_first())))
     months = successors if successors is not None else month_successors(df, month, key)
     # one row per calendar month: a proven-small side, broadcast to every task
     joined = df.join(F.broadcast(months), df[month].eqNullSafe(F.col("_m")), "left")
@@ -65,8 +71,12 @@ def record_start(prev: str | Column, record: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- W5
-def lead_across_groups(df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str) -> DataFrame:
-    """``LEAD(date) OVER (ORDER BY group, date DESC, ties...)`` over the whole frame.
+def lead_across_groups(
+    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, boundary: str = "global"
+) -> DataFrame:
+    """``LEAD(date) OVER (ORDER BY group, date DESC, ties...)`` over the whole frame;
+    with ``boundary="per_key"`` the same ``PARTITION BY group``: null after a
+    group's last row.
 
     Rows are range-partitioned on the full order, whose last key is a number
     per row, so a hot group, a hot day or a row repeated many times spreads
@@ -86,15 +96,21 @@ def lead_across_groups(df: DataFrame, group: str, date: str, tie_breakers: Seque
         numbered.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "interval-order"
     )
     w = Window.partitionBy("_range").orderBy(*order)
+    row = F.struct(F.col(group).alias("group"), F.col(date).alias("date"))
     led = ranged.withColumns({
-        "_first": F.row_number().over(w) == 1, "_next": F.lead(date).over(w), "_last": F.lead(F.lit(1)).over(w).isNull(),
+        "_first": F.row_number().over(w) == 1, "_next": F.lead(row).over(w), "_last": F.lead(F.lit(1)).over(w).isNull(),
     })
     # one row per range, taken to the driver: as many as there are partitions
-    heads = sorted(led.filter("_first").select("_range", F.col(date).alias("_head")).collect())
+    heads = sorted(led.filter("_first").select("_range", row.alias("_head")).collect(), key=lambda r: r["_range"])
     following = [(a["_range"], b["_head"]) for a, b in zip(heads, heads[1:], strict=False)]
-    after = spark.createDataFrame(following, "_r int, _head date")
+    kind = led.schema["_next"].dataType.simpleString()
+    after = spark.createDataFrame(following, f"_r int, _head {kind}")
     joined = led.join(F.broadcast(after), F.col("_range") == F.col("_r"), "left")
-    return joined.withColumn(out, F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next"))).select(*df.columns, out)
+    joined = joined.withColumn("_after", F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next")))
+    lead = F.col("_after.date")
+    if boundary == "per_key":
+        lead = F.when(F.col(group).eqNullSafe(F.col("_after.group")), lead)
+    return joined.withColumn(out, lead).select(*df.columns, out)
 
 
 # ---------------------------------------------------------------- J6

@@ -81,19 +81,20 @@ def monthly_avg_cost(inp: Inputs) -> DataFrame:
     ).agg(F.avg("cost_price").alias("monthlycostavg"))
 
 
-def cost_intervals(inp: Inputs, option_id: int | None = None) -> DataFrame:
+def cost_intervals(inp: Inputs, option_id: int | None = None, boundary: str = "global") -> DataFrame:
     """Validity interval ``[startmonth, monthending]`` of every monthly cost.
 
     ``previousmonthending`` is the next row in (month DESC, option DESC) order
     over all options, as in the source; see ``lead_month``.  With ``option_id``
     only that option's ledger is averaged; the month frame stays global.
+    ``boundary="per_key"`` takes the option's own next older month.
     """
     months = inp.shop_cost_ledger.select("prod_option_id", month_end(epoch_to_date("stamped")).alias("monthending"))
     successors = month_successors(months, "monthending", "prod_option_id")
     m = monthly_avg_cost(inp)
     if option_id is not None:
         m = m.where(F.col("prod_option_id") == option_id)
-    m = lead_month(m, "monthending", "prod_option_id", "previousmonthending", successors)
+    m = lead_month(m, "monthending", "prod_option_id", "previousmonthending", successors, boundary)
     return m.select(
         "prod_option_id", "monthending", "monthlycostavg", "previousmonthending",
         start_after_previous("previousmonthending", "monthending").alias("startmonth"),

@@ -16,14 +16,21 @@ from stockroom.plans.schemas import POS
 INTERVAL_TIE_BREAKERS = ["locationid", "source", "sku", "categoryid", "qoh", "backorder", "cost"]
 
 
-def inventory_intervals(inventory: DataFrame) -> DataFrame:
+def inventory_intervals(inventory: DataFrame, boundary: str = "global") -> DataFrame:
     """Each stock record covers ``(previous record date, record date]``.
 
     The previous record date is the next row in (item, date DESC) order over
     the whole fact, as in the source: at an item's oldest record it is the
-    newest date of the next item.
+    newest date of the next item.  ``boundary="per_key"`` keeps it within the
+    item and location.
     """
-    led = lead_across_groups(inventory, "itemuuid", "date", INTERVAL_TIE_BREAKERS, "previousrecorddate")
+    if boundary == "per_key":
+        keyed = inventory.withColumn("_key", F.struct("itemuuid", "locationid"))
+        led = lead_across_groups(
+            keyed, "_key", "date", INTERVAL_TIE_BREAKERS[1:], "previousrecorddate", "per_key"
+        ).drop("_key")
+    else:
+        led = lead_across_groups(inventory, "itemuuid", "date", INTERVAL_TIE_BREAKERS, "previousrecorddate")
     return led.select(
         "date", "sku", "itemuuid", "qoh", "backorder", "cost", "locationid", "categoryid", "source",
         "previousrecorddate", record_start("previousrecorddate", "date").alias("startrecorddate"),
