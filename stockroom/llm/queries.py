@@ -133,7 +133,66 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 ) WHERE rank <= {topk.K}
 """
 
+_N = suffixes.LENGTH
+_SUBSTRINGS = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h,
+         octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents
+), starts AS (
+  SELECT rid, i, md5(substr(h, 2 * i + 1, {2 * _N})) AS w
+  FROM (SELECT rid, h, unnest(range(n - {_N - 1})) AS i FROM docs WHERE n >= {_N})
+), repeated AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY w) AS c FROM starts) WHERE c > 1
+), numbered AS (
+  SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS island FROM (
+    SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + {_N} THEN 0 ELSE 1 END AS fresh FROM repeated
+  )
+), spans AS (
+  SELECT rid, min(i) AS a, max(i) + {_N} AS b FROM numbered GROUP BY rid, island
+), gaps AS (
+  SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM spans
+), kept AS (
+  SELECT rid, sum(b - a) AS removed, count(*) AS runs,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+  FROM gaps JOIN docs USING (rid) GROUP BY rid
+)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+_PARAGRAPHS = f"""
+WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS paragraph
+  FROM documents WHERE text IS NOT NULL
+), placed AS (
+  SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY paragraph) - length(line) - 1)::BIGINT AS start,
+         list_filter(regexp_split_to_array(translate(line, '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM lines
+), paragraphs AS (
+  SELECT row_number() OVER (ORDER BY doc_id, paragraph) AS id, doc_id, paragraph::INTEGER AS paragraph, start,
+         start + length(line) AS "end", len(w)::INTEGER AS n_words, w
+  FROM placed WHERE len(w) >= {paragraphs.MIN_WORDS}
+), grams AS (
+  SELECT DISTINCT id, array_to_string(list_slice(w, i, i + {paragraphs.SHINGLE_WORDS - 1}), ' ') AS gram
+  FROM (SELECT id, w, unnest(range(1, len(w) - {paragraphs.SHINGLE_WORDS - 2})) AS i FROM paragraphs)
+), sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+linked AS (
+  SELECT x.id AS a, y.id AS b FROM grams x JOIN grams y ON x.gram = y.gram AND x.id <> y.id
+  JOIN sizes sx ON sx.id = x.id JOIN sizes sy ON sy.id = y.id
+  GROUP BY x.id, y.id, sx.n, sy.n HAVING count(*) >= {paragraphs.SIMILARITY} * (sx.n + sy.n - count(*)) - 1e-9
+), reach AS (
+  SELECT DISTINCT a, a AS b FROM linked UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a
+), classes AS (SELECT a AS id, min(b) AS first FROM reach GROUP BY a)
+SELECT p.doc_id, p.paragraph, p.start, p."end", p.n_words, f.doc_id AS class_doc, f.paragraph AS class_paragraph,
+       p.id <> f.id AS removed
+FROM classes JOIN paragraphs p USING (id) JOIN paragraphs f ON f.id = classes.first
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_paragraph_dedup": _PARAGRAPHS,
+    "op8_suffix_dedup": _SUBSTRINGS,
     "op5_line_dedup": _LINE_DEDUP,
     "op7_quality_rules": _QUALITY,
     "op10_topk": _TOPK,
