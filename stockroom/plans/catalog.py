@@ -25,18 +25,18 @@ PRODUCT_INFO_COLUMNS = [
 # (alias, column, output name)
 OPTION_INFO_COLUMNS = [
     ("brand", "brand_name", None), ("brand", "brand_code", None), ("product", "prod_id", None), ("product", "prod_sku", None),
-    ("choice", "option_sku", None), ("color", "name", "color"), ("size", "name", "size"),
-    ("style", "name", "style"), ("choice", "option_inv", None), ("choice", "prod_option_id", None),
+    ("choice", "option_sku", None), ("shade", "name", "color"), ("measure", "name", "size"),
+    ("cut", "name", "style"), ("choice", "option_inv", None), ("choice", "prod_option_id", None),
     ("here", "prod_price", None), ("choice", "la_upc", None), ("here", "prod_active", None),
     ("here", "prod_description", None), ("product", "wholesale_price", None),
-    ("color", "variant_id", "option_color"), ("size", "variant_order", None), ("choice", "discontinued", None),
+    ("shade", "variant_id", "option_color"), ("measure", "variant_order", None), ("choice", "discontinued", None),
     ("choice", "la_sku", None), ("choice", "option_active", None), ("choice", "asin_size", None),
     ("choice", "asin_color", None), ("brand", "brand_id", None), ("choice", "asin_brand", "brand2"),
-    ("size", "variant_id", "option_size"), ("style", "variant_id", "option_style"),
+    ("measure", "variant_id", "option_size"), ("cut", "variant_id", "option_style"),
     ("here", "prod_name", None), ("choice", "asin", None), ("choice", "option_wholesale", None),
     ("choice", "option_price", None), ("here", "discount_percent", None), ("here", "discount_group_id", None),
     ("choice", "wmarked", None), ("choice", "dropshippable", None), ("choice", "pleaser_inv", None),
-    ("choice", "sizes_table_id", None), ("size", "general_size", None), ("choice", "last_certify", None),
+    ("choice", "sizes_table_id", None), ("measure", "general_size", None), ("choice", "last_certify", None),
     ("choice", "wmarked_tmp", None), ("product", "discontinued", "prod_discontinued"), ("here", "date_added", None),
     ("choice", "offsite_inv", None), ("choice", "bin_capacity", None), ("choice", "is_club", None), ("choice", "accy", None),
     ("choice", "exclusive", None), ("choice", "ell_color_code", None), ("brand", "discount_percent", "brand_discount"),
@@ -50,43 +50,49 @@ OPTION_INFO_COLUMNS = [
 ]
 
 
+def _at_site(table: DataFrame, site_id: int, name: str, *conditions) -> DataFrame:
+    """One site's rows of a per-site table, filtered before any join."""
+    out = table.where(F.col("site_id") == site_id)
+    for c in conditions:
+        out = out.where(c)
+    return out.alias(name)
+
+
+def _branded_products(inp: Inputs) -> DataFrame:
+    product, brand = inp.shop_products.alias("product"), inp.shop_brands.alias("brand")
+    return product.join(brand, F.col("product.prod_brand") == F.col("brand.brand_id"))
+
+
 def product_info(inp: Inputs, site_id: int = 1) -> DataFrame:
     """Product, brand, main image, url, colour name and site attributes."""
-    p = inp.shop_products.alias("product")
-    br = inp.shop_brands.alias("brand")
-    pi = inp.shop_images.alias("picture")
-    u = inp.shop_urls.alias("link")
-    v2 = inp.shop_option_variants.alias("shade")
-    pss = inp.shop_products_site.alias("here")
-    j = (
-        p.join(br, F.col("brand.brand_id") == F.col("product.prod_brand"))
-        .join(pi, (F.col("picture.prod_id") == F.col("product.prod_id")) & F.col("picture.main_image") & (F.col("picture.site_id") == site_id), "left")
-        .join(u, (F.col("link.associated_id") == F.col("product.prod_id")) & (F.col("link.type") == 1) & (F.col("link.site_id") == site_id), "left")
-        .join(v2, F.col("shade.variant_id") == F.col("picture.option_color"), "left")
-        .join(pss, (F.col("here.prod_id") == F.col("product.prod_id")) & (F.col("here.site_id") == site_id))
+    here = _at_site(inp.shop_products_site, site_id, "here")
+    picture = _at_site(inp.shop_images, site_id, "picture", F.col("main_image"))
+    link = _at_site(inp.shop_urls, site_id, "link", F.col("type") == 1)
+    shade = inp.shop_option_variants.alias("shade")
+    number = F.col("product.prod_id")
+    found = (
+        _branded_products(inp)
+        .join(here, F.col("here.prod_id") == number)
+        .join(picture, F.col("picture.prod_id") == number, "left")
+        .join(shade, F.col("shade.variant_id") == F.col("picture.option_color"), "left")
+        .join(link, F.col("link.associated_id") == number, "left")
     )
-    return j.select(*[F.col(f"{a}.{c}").alias(c) for a, c in PRODUCT_INFO_COLUMNS])
+    return found.select(*[F.col(f"{a}.{c}").alias(c) for a, c in PRODUCT_INFO_COLUMNS])
 
 
 def option_info(inp: Inputs, site_id: int = 1) -> DataFrame:
     """Option, product, brand and the three variant roles (size, style, colour),
     ordered by colour name then size order."""
-    po = inp.shop_product_options.alias("choice")
-    p = inp.shop_products.alias("product")
-    pss = inp.shop_products_site.alias("here")
-    ps = inp.shop_platform_link.alias("variant_link")
-    br = inp.shop_brands.alias("brand")
-    variants = inp.shop_option_variants
-    size, style, color = variants.alias("size"), variants.alias("style"), variants.alias("color")
-    j = (
-        po.join(p, F.col("product.prod_id") == F.col("choice.prod_id"))
-        .join(pss, (F.col("product.prod_id") == F.col("here.prod_id")) & (F.col("here.site_id") == site_id), "left")
-        .join(ps, (F.col("variant_link.id") == F.col("choice.prod_option_id")) & (F.col("variant_link.type").cast("string") == "variant")
-              & (F.col("variant_link.site_id") == site_id), "left")
-        .join(br, F.col("brand.brand_id") == F.col("product.prod_brand"))
-        .join(size, F.col("size.variant_id") == F.col("choice.option_size"), "left")
-        .join(style, F.col("style.variant_id") == F.col("choice.option_style"), "left")
-        .join(color, F.col("color.variant_id") == F.col("choice.option_color"), "left")
+    choice = inp.shop_product_options.alias("choice")
+    here = _at_site(inp.shop_products_site, site_id, "here")
+    variant_link = _at_site(inp.shop_platform_link, site_id, "variant_link", F.col("type") == "variant")
+    found = (
+        choice.join(_branded_products(inp), F.col("choice.prod_id") == F.col("product.prod_id"))
+        .join(here, F.col("here.prod_id") == F.col("product.prod_id"), "left")
+        .join(variant_link, F.col("variant_link.id") == F.col("choice.prod_option_id"), "left")
     )
-    out = j.select(*[F.col(f"{a}.{c}").alias(o or c) for a, c, o in OPTION_INFO_COLUMNS])
+    for role, column in (("measure", "option_size"), ("cut", "option_style"), ("shade", "option_color")):
+        variant = inp.shop_option_variants.alias(role)
+        found = found.join(variant, F.col(f"{role}.variant_id") == F.col(f"choice.{column}"), "left")
+    out = found.select(*[F.col(f"{a}.{c}").alias(o or c) for a, c, o in OPTION_INFO_COLUMNS])
     return out.orderBy(F.col("color").asc_nulls_last(), F.col("variant_order").asc_nulls_last())
