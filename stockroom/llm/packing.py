@@ -39,7 +39,7 @@ END_ID = 2
 CAPACITY = 4096
 OPEN_WINDOWS = 256
 FAN_IN = 32
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 400_000
 BATCH_WORDS = 4096
 
 SCHEMA = (
