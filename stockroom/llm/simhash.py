@@ -256,6 +256,9 @@ def classes(
         "print", F.coalesce("root", "print").alias("root"),
         F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id"),
     )
+    # a table of its own: the join below then has an exchange on either side,
+    # which is what lets Spark split the rows of a hot fingerprint
+    own = materialize(own, "labels")
     return rows.join(own, "print").select("doc_id", "text_hash", "print", "root", "component_id")
 
 
