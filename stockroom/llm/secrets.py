@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import col, fresh
+from stockroom.llm.common import col
 
 # The patterns, least lengths and order of kinds of the contract.
 ASSIGN = re.compile(
@@ -201,32 +201,30 @@ def scan(docs: DataFrame, model: MarkovModel, out: str, text: str = "text") -> D
     return docs.withColumn(out, udf(col(text)))
 
 
-def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
-    """``text`` with the union of the spans replaced by ``mask``."""
+def mask_spans(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
+    """``text`` with the union of the spans (start, kind, end), in order, replaced by ``mask``."""
+    parts, at = [], 0
+    for start, _, end in spans:
+        if not parts or start > at:  # touching spans are one
+            parts += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def redact(docs: DataFrame, model: MarkovModel, text: str = "text", mask: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret of ``text`` masked, found and replaced in one pass."""
 
     @F.arrow_udf("string")
-    def udf(texts: pa.Array, found: pa.Array) -> pa.Array:
-        out = []
-        for t, spans in zip(texts.to_pylist(), found.to_pylist(), strict=True):
-            if t is None:
-                out.append(None)
-                continue
-            parts, at, masked = [], 0, 0
-            for x in spans:
-                if x["start"] >= masked:
-                    parts += [t[at : x["start"]], mask]
-                masked = at = max(masked, x["end"])
-            out.append("".join([*parts, t[at:]]))
-        return pa.array(out, pa.string())
-
-    return F.when(F.size(spans) > 0, udf(F.when(F.size(spans) > 0, text), spans)).otherwise(text)
+    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([mask_spans(t, spans_of(t, model), mask) if t else t for t in batch.to_pylist()], pa.string())
+
+    return docs.withColumn(text, udf(col(text)))
 
 
 def redact_documents(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret of ``text`` masked; rows and columns stay."""
-    name = fresh(docs, "spans")
-    found = scan(docs, train(docs, text), name, text)
-    return found.withColumn(text, redact(col(text), col(name), mask)).drop(name)
+    """``docs`` with the secrets of ``text`` masked by a model trained on it; rows and columns stay."""
+    return redact(docs, train(docs, text), text, mask)
 
 
 def secret_rows(docs: DataFrame) -> DataFrame:

@@ -54,6 +54,11 @@ def test_redaction_masks_spans_and_keeps_rows(edge, edge_rows):
     assert "AKIA" not in texts[15] and texts[1] is None and texts[2] == ""
 
 
+def test_masked_spans_are_merged():
+    assert secrets.mask_spans("abcdef", [(1, 0, 3), (2, 1, 4), (4, 2, 5)], "#") == "a#f"
+    assert secrets.mask_spans("abcdef", [(0, 0, 1), (5, 3, 6)], "#") == "#bcde#"
+
+
 # ---- 4
 def _tiktoken():
     ranks = bytebpe.read_ranks(public_tokenizers.path(bytebpe.RANK_FILE))
