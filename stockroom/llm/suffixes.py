@@ -185,9 +185,11 @@ def suffix_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
 
 
 def splitters(rows: DataFrame, keys: list[str], parts: int) -> np.ndarray:
-    """Quantiles of a bounded sample of the rows' keys, drawn by hash."""
-    drawn = rows.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(SAMPLE).toArrow()
-    return quantiles(np.sort(order_key(*(drawn[k].combine_chunks() if drawn.num_rows else pa.array([], pa.int64()) for k in keys))), parts)
+    """Quantiles of about ``SAMPLE`` of the rows' keys, drawn by hash."""
+    rare = max(rows.count() // SAMPLE, 1)
+    drawn = rows.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(rare)) == 0).toArrow()
+    columns = [drawn[k].combine_chunks() if drawn.num_rows else pa.array([], pa.int64()) for k in keys]
+    return quantiles(np.sort(order_key(*columns)), parts)
 
 
 def sorted_neighbours(
@@ -408,13 +410,20 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     spans = settled.select(*TEXT, F.col("start").alias("first"), (F.col("start") + F.col("width")).alias("last"))
     # open slices, and one of each settled slice with the gram of an open one
     open_ = near.filter("status = 1").drop("k3", "status")
-    counts = open_.groupBy("k1", "gram").agg(F.count(F.lit(1)).alias("n"))
+    grams = open_.select("k1", "gram").distinct()
     one = settled.groupBy("k1", "gram", "distance", "width", "k3").agg(F.min(F.struct(*TEXT, "start")).alias("at"))
-    one = one.join(counts.select("k1", "gram"), ["k1", "gram"], "left_semi").select(
+    one = one.join(grams, ["k1", "gram"], "left_semi").select(
         "at.hash", "at.n_bytes", "at.start", "k1", "gram", "distance", "width"
     )
-    hot_grams = counts.filter(F.col("n") > hot).select("k1", "gram", F.lit(True).alias("hot"))
-    members = open_.unionByName(one).join(hot_grams, ["k1", "gram"], "left")
+    members = open_.unionByName(one)
+    # a table of its own, so that the join has an exchange on either side and
+    # Spark can split the rows of a hot gram
+    hot_grams = materialize(
+        members.groupBy("k1", "gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot)
+        .select("k1", "gram", F.lit(True).alias("hot")),
+        "hot-grams",
+    )
+    members = members.join(hot_grams, ["k1", "gram"], "left")
     wanted = members.groupBy(*TEXT).agg(  # bounded by the text
         F.collect_list(F.struct("k1", "gram", "distance", "width", "start", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("slices")
     )
