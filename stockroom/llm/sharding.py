@@ -58,16 +58,15 @@ def _with_range(rows: DataFrame, splitters: np.ndarray, out: str) -> DataFrame:
     return rows.withColumn(out, udf(*KEY))
 
 
-def _sample(rows: DataFrame, weight: F.Column, n: int) -> np.ndarray:
-    """``n`` keys drawn without replacement with probability growing with ``weight``.
+def _sample(rows: DataFrame, weight: F.Column, whole: float, n: int) -> np.ndarray:
+    """About ``n`` keys, each row drawn by its own hash with probability
+    ``n * weight / whole`` (at most 1), where ``whole`` is the sum of the weights.
 
-    Each row draws -ln(u) / weight from its own hash; the ``n`` least are taken,
-    so every map task keeps ``n`` rows at most.
+    About ``n`` rows reach the driver, however many tasks there are.
     """
     u = (F.shiftrightunsigned(F.xxhash64(*KEY, F.lit(11)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    drawn = rows.select(*KEY, (-F.log(u) / weight).alias("draw")).orderBy("draw", *KEY).limit(n).select(*KEY)
-    got = drawn.collect()
-    return np.sort(order_key(*(pa.array([r[k] for r in got], pa.int64()) for k in KEY)))
+    got = rows.filter(u * F.lit(max(whole, 1.0)) < weight * F.lit(float(n))).select(*KEY).toArrow()
+    return np.sort(order_key(*(got[k].combine_chunks() if got.num_rows else pa.array([], pa.int64()) for k in KEY)))
 
 
 def quantiles(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -82,7 +81,7 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
     ranges = max(RANGES, count // ROWS_PER_RANGE)
     mean = total / max(count, 1)
     weight = F.col("size") + F.lit(mean)  # bytes and rows count half each
-    splitters = quantiles(_sample(rows, weight, ranges * SAMPLES_PER_RANGE), ranges)
+    splitters = quantiles(_sample(rows, weight, 2.0 * total, ranges * SAMPLES_PER_RANGE), ranges)
     limit = OVERFULL * 2 * total / ranges
     ranged, totals = rows, []
     for _ in range(ROUNDS):
@@ -98,7 +97,8 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
         if not overfull:
             break
         more = _sample(
-            ranged.filter(F.col("range").isin(list(overfull))), weight, sum(overfull.values()) * SAMPLES_PER_RANGE
+            ranged.filter(F.col("range").isin(list(overfull))), weight, sum(weights[r] for r in overfull),
+            sum(overfull.values()) * SAMPLES_PER_RANGE,
         )
         number = np.searchsorted(splitters, more, side="right")
         new = [quantiles(more[number == r], 2 * parts) for r, parts in overfull.items()]

@@ -7,7 +7,7 @@ bounded size: every task goes through its vectors from the longest down, leaves
 a query once the product of the lengths (Cauchy-Schwarz) cannot reach its k-th
 best score, bounds the rest by the product over the first rotated coordinates
 plus the product of the residual lengths, and computes the integer products of
-what remains.  The k-th best over the longest vectors of all, found first,
+what remains.  The k-th best over some of the longest vectors, found first,
 starts every task with a good bound.  Bounds are compared with a margin for
 rounding, scores are integers, so the result is exact whatever the sample.
 
@@ -15,8 +15,9 @@ Defined results: vectors that are null or hold a null or non-finite component
 take no part, nor do rows without a vec_id, which no result could name; a
 shorter vector counts as padded with zeros; rows with the query's own vec_id
 are its own; repeated query rows are one query, repeated candidates count each;
-an empty table gives an empty result; extra columns are not read.  Components
-are exact up to 2^26 in absolute value after scaling, beyond it an error.
+an empty table gives an empty result; extra columns are not read.  Products
+of large components are computed in unbounded integers; a score that does not
+fit a long is an error.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ ROTATION_SAMPLE = 4096
 QUERY_BLOCK = 2048
 HEAD = 2048
 PARTIAL = 0.25
-MOST_COMPONENT = 1 << 26
 _STEP = 1024
 
 
@@ -61,8 +61,6 @@ def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
     sizes = np.asarray(vectors.value_lengths()).astype(np.int64)
     out = np.zeros((len(sizes), width), np.int64)
     out[np.arange(width) < sizes[:, None]] = flat
-    if len(flat) and np.abs(flat).max() > MOST_COMPONENT:
-        raise ValueError(f"a scaled component exceeds {MOST_COMPONENT}; scores would not fit")
     return out
 
 
@@ -71,15 +69,21 @@ class Rotated:
 
     def __init__(self, exact: np.ndarray, rotation: np.ndarray, first: int):
         self.exact = exact
+        self.most = int(np.abs(exact.astype(np.float64)).max(initial=0.0))
         turned = exact.astype(np.float64) @ rotation
         self.first = np.ascontiguousarray(turned[:, :first])
         self.rest = np.sqrt((turned[:, first:] ** 2).sum(axis=1))
         self.length = np.sqrt((turned**2).sum(axis=1))
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row integer inner products."""
-    return np.einsum("ij,ij->i", a, b)
+def _products(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Row by row integer inner products; ``most`` bounds the product of two components."""
+    if most * a.shape[1] < 1 << 62:
+        return np.einsum("ij,ij->i", a, b)
+    wide = [sum(x * y for x, y in zip(p, q, strict=True)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]
+    if any(abs(x) >= 1 << 63 for x in wide):
+        raise OverflowError("a score does not fit a long")
+    return np.array(wide, np.int64)
 
 
 class Search:
@@ -133,7 +137,7 @@ class Search:
             qs, cs = qs[other], cs[other]
             for j in range(0, len(qs), 1 << 18):
                 a, b = qs[j : j + (1 << 18)], cs[j : j + (1 << 18)]
-                score = _products(q.exact[a], candidates.exact[b])
+                score = _products(q.exact[a], candidates.exact[b], q.most * candidates.most)
                 good = score >= self.bound[a]
                 self.found.append((a[good], ids[b[good]], score[good]))
                 self._held += int(good.sum())
@@ -157,12 +161,18 @@ def search(
         queries.select("vec_id", "v").distinct().withColumn("query_row", F.xxhash64("vec_id", "v")), "queries"
     )
     width = max(stored.agg(F.max(F.size("v"))).first()[0] or 1, asked.agg(F.max(F.size("v"))).first()[0] or 1, 1)
-    sample = stored.select("v").orderBy(F.xxhash64("v"), "vec_id").limit(ROTATION_SAMPLE).toArrow()
+    count = stored.count()
+    # a Bernoulli sample: about ROTATION_SAMPLE rows reach the driver
+    sample = stored.select("v", "length2").sample(min(1.0, ROTATION_SAMPLE / max(count, 1)), 10).toArrow()
     example = _matrix(sample["v"], width).astype(np.float64)
     rotation = np.linalg.svd(example.T @ example)[0] if len(example) else np.eye(width)
     first = max(1, int(width * PARTIAL))
-    head = stored.orderBy(F.desc("length2"), "vec_id").limit(HEAD).toArrow()  # a fixed number of rows
-    head_ids, head_rows = np.asarray(head["vec_id"]), Rotated(_matrix(head["v"], width), rotation, first)
+    # HEAD rows at most, of about the longest: any rows give valid bounds
+    lengths = np.sort(np.asarray(sample["length2"]))[::-1]
+    least = float(lengths[min(len(lengths) - 1, HEAD * len(lengths) // max(count, 1))]) if len(lengths) else 0.0
+    head = stored.filter(F.col("length2") >= least).select("vec_id", "v").take(HEAD)
+    head_ids = np.array([r["vec_id"] for r in head], np.int64)
+    head_rows = Rotated(_matrix(pa.array([r["v"] for r in head], pa.list_(pa.int64())), width), rotation, first)
 
     total = asked.count()
     blocks = -(-total // block)

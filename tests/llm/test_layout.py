@@ -177,9 +177,11 @@ def test_pruning_skips_short_vectors():
         assert sorted(s[q == i].tolist(), reverse=True) == sorted(scores.tolist(), reverse=True)[:3]
 
 
-def test_too_large_components_are_an_error(spark):
-    with pytest.raises(Exception, match="exceeds"):
-        topk.top_rows(_vectors(spark, [(0, [1e9, 1.0], 0), (1, [1e9, 2.0], 0)])).collect()
+def test_large_components(spark):
+    rows = [(i, [2e6 * (-1) ** (i // 50), float(i), -3.0], 0) for i in range(0, 300, 50)]
+    assert sorted(tuple(r) for r in topk.top_rows(_vectors(spark, rows)).collect()) == _top([(i, v) for i, v, _ in rows])
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_rows(_vectors(spark, [(0, [1e15, 1.0], 0), (1, [1e15, 2.0], 0)])).collect()
 
 
 @pytest.mark.parametrize("rows", [sharding.shard_rows, packing.pack_documents])
