@@ -522,7 +522,8 @@ def substring_rows(docs: DataFrame) -> DataFrame:
         F.max("removed").alias("removed"), F.max("runs").alias("runs"), F.max("kept_sha").alias("kept_sha"),
         F.max("copies").alias("copies"),
     )
-    joined = rows.join(about, TEXT, "left")
+    # a table of its own, so that Spark can split the rows of a text with many copies
+    joined = rows.join(materialize(about, "losses"), TEXT, "left")
     copied, zero = F.coalesce(F.col("copies"), F.lit(0)) > 1, F.lit(0).cast("long")
     return joined.select(
         "doc_id", "n_bytes", F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).alias("n_removed"),
