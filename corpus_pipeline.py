@@ -45,7 +45,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: one row per piece of a document."""
-    return packing.pack_documents(docs)
+    # workers are shared with the stages before, so a smaller memory of words
+    return packing.pack_documents(docs, memory_words=300_000)
 
 
 STAGES = [

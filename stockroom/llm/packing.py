@@ -26,6 +26,7 @@ from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -39,8 +40,9 @@ END_ID = 2
 CAPACITY = 4096
 OPEN_WINDOWS = 256
 FAN_IN = 32
-MEMORY_WORDS = 400_000
-BATCH_WORDS = 4096
+# Words remembered per worker, in two generations: frequent words stay.
+MEMORY_WORDS = 1_200_000
+JOINED_WORDS = 128
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, "
@@ -67,51 +69,69 @@ class WordEncoder:
     crosses white space, so a text's ids are those of its parts between blanks.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
+        self._most = memory_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        vocab = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._closes = np.zeros(max(vocab.values()) + 1, bool)
+        self._closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self._memory: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
+    def _recall(self, words: set[str]) -> set[str]:
+        """Take up what the older generation knows; the words that are new."""
+        new = words.difference(self._memory)
+        again = [w for w in new if w in self._old]
+        self._memory.update((w, self._old[w]) for w in again)
+        return new.difference(again)
+
+    def _learn(self, words: list[str], latin: bool) -> None:
         known = self._memory
-        new = set(words).difference(known)
-        # a word and one closing mark are split by the tokenizer as well
-        marked = [w for w in new if w[-1] in ".,!?" and w.isascii() and w[:-1].isalpha()]
+        new = self._recall(set(words))
+        if not new:
+            return
+        # a word of Latin letters and one closing mark are split by the tokenizer as well
+        marked = [w for w in new if w[-1] in ".,!?" and w[:-1].isalpha()] if latin else []
         plain = new.difference(marked)
         plain.update(w[:-1] for w in marked)
         plain.update(w[-1] for w in marked)
-        plain = plain.difference(known)
-        some = list(plain)
-        for i in range(0, len(some), BATCH_WORDS):
-            part = some[i : i + BATCH_WORDS]
-            encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded, strict=True))
+        plain = self._recall(plain)
+        # Latin letters alone are one token of the split, so its ids end with the
+        # only one that closes a word, and one call can serve many such words
+        letters = [w for w in plain if w.isalpha()] if latin else []
+        for i in range(0, len(letters), JOINED_WORDS):
+            part = letters[i : i + JOINED_WORDS]
+            ids = np.array(self._tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ends = ((np.flatnonzero(self._closes[ids]) + 1) * 4).tolist()
+            data = ids.tobytes()
+            known.update((w, data[x:y]) for w, x, y in zip(part, [0, *ends], ends, strict=False))
+            assert len(ends) == len(part) and ends[-1] == len(data)
+        for w in plain.difference(letters):
+            known[w] = array("I", self._tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
         known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
 
     def __call__(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
             text = text.lower()  # here the same as the tokenizer's: one character each
+            latin = True
         except UnicodeEncodeError:
-            pass
+            latin = False
         words = text.replace("\n", " ").split(" ")
-        if len(self._memory) > MEMORY_WORDS:
-            self._memory = {"": b""}
-        memory = self._memory
-        try:
-            return b"".join(map(memory.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(memory.__getitem__, words))
+        if len(self._memory) > self._most // 2:
+            self._old, self._memory = self._memory, {"": b""}
+        self._learn(words, latin)
+        return b"".join(map(self._memory.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and file."""
-    return WordEncoder(path)
+def word_encoder(path: str, memory_words: int = MEMORY_WORDS) -> WordEncoder:
+    """One encoder per worker process, file and size of memory."""
+    return WordEncoder(path, memory_words)
 
 
 class Packer:
@@ -250,10 +270,13 @@ def _merge(
     return ordered.mapInArrow(merge, SCHEMA)
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
-    """The contract's packing, with the crc of each piece's ids instead of the ids."""
+def pack_documents(docs: DataFrame, memory_words: int = MEMORY_WORDS) -> DataFrame:
+    """The contract's packing, with the crc of each piece's ids instead of the ids.
+
+    ``memory_words`` trades a worker's memory (about 200 bytes a word) for time.
+    """
     path = public_tokenizers.path(TOKENIZER_FILE)
-    packed = pack(docs.select("doc_id", "text"), lambda: word_encoder(path))
+    packed = pack(docs.select("doc_id", "text"), lambda: word_encoder(path, memory_words))
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
