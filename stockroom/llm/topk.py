@@ -3,9 +3,9 @@
 Vectors become integers, floor(1024 * x), and are stored sorted by length.  A
 rotation from the singular value decomposition of a bounded sample moves most
 of their weight into the first coordinates.  Queries are searched in blocks of
-bounded size: every task goes through its vectors from the longest down, leaves
-a query once the product of the lengths (Cauchy-Schwarz) cannot reach its k-th
-best score, bounds the rest by the product over the first rotated coordinates
+bounded size: every task goes through its files, each from the longest vector
+down, passes over batches and queries for which the product of the lengths
+(Cauchy-Schwarz) cannot reach the k-th best score, bounds the rest by the product over the first rotated coordinates
 plus the product of the residual lengths, and computes the integer products of
 what remains.  The k-th best over some of the longest vectors, found first,
 starts every task with a good bound.  Bounds are compared with a margin for
@@ -190,17 +190,17 @@ def search(
         def scan(batches: Iterator[pa.RecordBatch], ids=ids, rows=rows, exact=exact, bound=bound) -> Iterator[pa.RecordBatch]:
             here = Search(ids, Rotated(exact, rotation, first), k, bound)
             for batch in batches:
-                given = Rotated(_matrix(batch.column(1), width), rotation, first)
-                if not len(here.open(float(given.length.max(initial=0.0)))):
-                    break  # all that follow are shorter
-                here.add(np.asarray(batch.column(0)), given)
+                # order holds within a file only, and a task reads several: later batches may be longer
+                if not len(here.open(float(np.sqrt(np.asarray(batch.column(2)).max(initial=0.0))))):
+                    continue
+                here.add(np.asarray(batch.column(0)), Rotated(_matrix(batch.column(1), width), rotation, first))
             q, c, s = here.best()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.int64()) for x in (ids[q], rows[q], c, s)],
                 names=["query_id", "query_row", "vec_id", "score"],
             )
 
-        got = stored.select("vec_id", "v").mapInArrow(scan, out_schema)
+        got = stored.select("vec_id", "v", "length2").mapInArrow(scan, out_schema)
         results = results.unionAll(materialize(got, "block-results") if blocks > 1 else got)
     ranked = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (

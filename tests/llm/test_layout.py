@@ -177,6 +177,24 @@ def test_pruning_skips_short_vectors():
         assert sorted(s[q == i].tolist(), reverse=True) == sorted(scores.tolist(), reverse=True)[:3]
 
 
+def test_long_vectors_read_after_short_ones(spark):
+    """Several files to a task: the few long vectors compress well, so their files are read last."""
+    rng = np.random.default_rng(8)
+    long = [(rng.random(16) * 500).astype(np.float32).tolist() for _ in range(5)]
+    rows = [(i, long[i % 5] if i % 3 == 1 else (rng.random(16) * rng.random()).astype(np.float32).tolist(), 0) for i in range(6000)]
+    # all files in one task, the largest first, in many batches
+    options = {"spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "200"}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        vectors = topk.as_integers(_vectors(spark, rows))
+        out = sorted(tuple(r) for r in topk.search(vectors, vectors.filter("vec_id % 500 = 0"), k=4).collect())
+    finally:
+        for name in options:
+            spark.conf.unset(name)
+    assert out == _top([(i, v) for i, v, _ in rows], 4, 500)
+
+
 def test_large_components(spark):
     rows = [(i, [2e6 * (-1) ** (i // 50), float(i), -3.0], 0) for i in range(0, 300, 50)]
     assert sorted(tuple(r) for r in topk.top_rows(_vectors(spark, rows)).collect()) == _top([(i, v) for i, v, _ in rows])
