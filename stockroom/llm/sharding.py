@@ -83,8 +83,8 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
     weight = F.col("size") + F.lit(mean)  # bytes and rows count half each
     splitters = quantiles(_sample(rows, weight, 2.0 * total, ranges * SAMPLES_PER_RANGE), ranges)
     limit = OVERFULL * 2 * total / ranges
-    ranged, totals = rows, []
-    for _ in range(ROUNDS):
+    for left in range(ROUNDS, -1, -1):
+        # once more than there are rounds: the totals belong to the splitters that are returned
         ranged = _with_range(rows, splitters, "range")
         totals = sorted(
             (r["range"], r["rows"], r["bytes"])
@@ -94,7 +94,7 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
         )
         weights = {r: size + n * mean for r, n, size in totals if n > 1}
         overfull = {r: int(w // limit) + 1 for r, w in weights.items() if w > limit}
-        if not overfull:
+        if not overfull or not left:
             break
         more = _sample(
             ranged.filter(F.col("range").isin(list(overfull))), weight, sum(weights[r] for r in overfull),
@@ -106,6 +106,8 @@ def split(rows: DataFrame, total: int, count: int) -> tuple[np.ndarray, list]:
         if len(grown) == len(splitters):
             break
         splitters = grown
+    if (sum(t[1] for t in totals), sum(t[2] for t in totals)) != (count, total):
+        raise ValueError("the ranges do not hold all rows")
     return splitters, totals
 
 

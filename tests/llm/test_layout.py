@@ -66,6 +66,19 @@ def test_overfull_ranges_are_subdivided(spark):
     assert max(b + n * total / 4000 for _, n, b in totals if n > 1) <= max(limit, 3 * 3000)
 
 
+def test_totals_belong_to_the_last_splitters(spark, monkeypatch):
+    """Rounds that end while ranges are still being cut: no row is lost or placed twice."""
+    monkeypatch.setattr(sharding, "ROUNDS", 1)
+    rng = random.Random(12)
+    rows = [(i, f"{i} " + "x" * rng.randrange(100)) for i in range(3000)] + [(5000 + i, f"{i} " + "long " * 1500) for i in range(30)]
+    rows += [(7, "copy " * 20)] * 1500
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = sharding.shard_rows(df).collect()
+    assert len(got) == len(rows)
+    _check_shards(got, rows)
+
+
 # ---- 6
 def _check_packing(got, rows, capacity=4096):
     ids = [np.array(brute.word_ids(t), "<u4") for _, t in rows]
