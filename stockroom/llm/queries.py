@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bytebpe, lines, packing, paragraphs, quality, secrets, sharding, simhash, suffixes, topk
+from stockroom.llm import bytebpe, lines, packing, paragraphs, passages, quality, secrets, sharding, simhash, suffixes, topk
 from stockroom.llm.common import documents
 from stockroom.session import ensure_checkpoint_dir
 
@@ -29,6 +29,7 @@ def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _over_documents(secrets.secret_rows),
     "op2_paragraph_dedup": _over_documents(paragraphs.paragraph_rows),
+    "op2_passage_dedup": _over_documents(passages.passage_rows),
     "op3_sharding": _over_documents(sharding.shard_rows),
     "op4_byte_bpe": _over_documents(bytebpe.codec_rows),
     "op5_line_dedup": _over_documents(lines.line_rows),

@@ -63,6 +63,30 @@ def paragraph_classes(docs, min_words=20, n=5, least=0.8):
     return {k: first(g) for g in groups.values() if len(g) > 1 for k in g}
 
 
+def passages(docs, window=50):
+    """(doc_id, start, end, n_words, removed) of the runs of words in repeated windows."""
+    words = [[(m.start(), m.end(), m[0].encode().lower()) for m in re.finditer(f"[^{WS}]+", t or "")] for _, t in docs]
+    place = lambda r, i: (docs[r][0] is None, docs[r][0] or 0, i, docs[r][1])
+    held = defaultdict(set)
+    gram = lambda r, i: tuple(w for _, _, w in words[r][i : i + window])
+    for r in range(len(docs)):
+        for i in range(len(words[r]) - window + 1):
+            held[gram(r, i)].add(place(r, i))
+    out = []
+    for r, (d, _) in enumerate(docs):
+        state = [0] * len(words[r])
+        for i in range(len(words[r]) - window + 1):
+            places = held[gram(r, i)]
+            if len(places) > 1:
+                mine = 1 if min(places) == place(r, i) else 2
+                state[i : i + window] = [max(x, mine) for x in state[i : i + window]]
+        cuts = [i for i in range(len(state) + 1) if i in (0, len(state)) or state[i] != state[i - 1]]
+        out += [
+            (d, words[r][a][0], words[r][b - 1][1], b - a, state[a] == 2) for a, b in zip(cuts, cuts[1:], strict=False) if state[a]
+        ]
+    return out
+
+
 # ---- operator 5
 def line_key(line: str) -> str:
     return line.strip(WS).encode().lower().decode()

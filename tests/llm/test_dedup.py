@@ -1,12 +1,13 @@
 """Operators 2, 5, 8 and 9: duplicates, against plain versions."""
 
 import random
+from collections import defaultdict
 
 import brute
 import numpy as np
 import pytest
 
-from stockroom.llm import lines, paragraphs, simhash, suffixes
+from stockroom.llm import lines, paragraphs, passages, simhash, suffixes
 from stockroom.llm.components import components
 from stockroom.session import ensure_checkpoint_dir
 
@@ -67,6 +68,58 @@ def test_bands_reach_the_recall():
     assert hit >= 490
 
 
+def test_passages(edge, edge_rows, empty, small_docs, small_rows):
+    ensure_checkpoint_dir(edge.sparkSession)
+    assert passages.passage_rows(empty).collect() == []
+    for df, rows in ((edge, edge_rows), (small_docs, small_rows)):
+        assert _sorted(passages.passage_rows(df).collect()) == _sorted(brute.passages(rows))
+
+
+def test_planted_passages_inside_and_over_lines(spark):
+    """What no pair of lines shows: a passage inside a longer line, one wrapped over short lines, near copies."""
+    ensure_checkpoint_dir(spark)
+    rng = random.Random(21)
+    planted, rows = _words(rng, 57), []
+    own = lambda n: " ".join(_words(rng, n))
+    wrapped = "\n".join(" ".join(planted[i : i + 9]) for i in range(0, 57, 9))
+    rows += [(4, f"{own(40)} {' '.join(planted)} {own(43)}"), (2, f"é {own(30)}\n{wrapped.upper()}\n{own(12)}")]
+    rows += [(3, own(25) + " " + " ".join(planted[:49]) + " " + own(30)), (None, own(8) + "  " + wrapped)]
+    base = _words(rng, 160)
+    rows += [(100 + i, " ".join(w if j != 10 * i + 5 else "anders" for j, w in enumerate(base))) for i in range(14)]
+    rows += [(50 + i, "wieder " * (60 + i)) for i in range(3)] + [(9, rows[0][1])] * 2 + [(7, own(49)), (8, own(300))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = _sorted(passages.passage_rows(df).collect())
+    assert got == _sorted(brute.passages(rows))
+    lengths = {d: (n, gone) for d, _, _, n, gone in got if d in (2, 3, None)}
+    assert lengths == {2: (57, False), None: (57, True)}
+    assert not {2, None} & {d for d, _ in _classes(df)[0]}  # no line of these is like another
+
+
+def test_passages_of_long_texts_come_in_overlapping_pieces(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(22)
+    texts = [" ".join(_words(rng, n)) for n in (700, 3, 260, 50, 49)]
+    keys = [pa.array(range(5), pa.int64())] * 2
+
+    def windows():
+        given = pa.RecordBatch.from_arrays([*keys, pa.array(texts)], names=["hash", "n_bytes", "text"])
+        runs = defaultdict(list)
+        for b in passages._anchor_rows([given], 50, 16):
+            for r in b.to_pylist():
+                runs[r["hash"]].append({"first": r["first"], "last": r["last"]})
+        given = pa.RecordBatch.from_arrays(
+            [*keys, pa.array([False] * 5), keys[0], pa.array(texts), pa.array([runs[i] for i in range(5)])],
+            names=["hash", "n_bytes", "no_id", "number", "text", "runs"],
+        )
+        return sorted((r["hash"], r["start"], r["hi"], r["lo"]) for b in passages._window_rows([given], 50) for r in b.to_pylist())
+
+    whole = windows()
+    assert [x[:2] for x in whole] == [(i, s) for i, n in ((0, 700), (2, 260), (3, 50)) for s in range(n - 49)]
+    monkeypatch.setattr(passages, "_BLOCK", 90)
+    assert windows() == whole
+
+
 # ---- 5
 def test_line_rows(edge, edge_rows, small_docs, small_rows):
     for df, rows in ((edge, edge_rows), (small_docs, small_rows)):
