@@ -3,8 +3,8 @@
 Three fixed patterns find the base spans.  Besides, two character Markov models
 (order one over a small alphabet) are trained from labelled samples: random
 strings and ordinary identifiers.  A long token whose log-likelihood ratio
-favours the random model becomes a span of kind ``markov`` unless a base span
-already touches it.
+favours the random model becomes a span of kind ``markov``; of a token that base
+spans touch, the parts outside them do (see ``_random_parts``).
 
 Labelled samples: random are the values of the base spans of the whole table
 and ``RANDOM_STRINGS`` strings drawn with a fixed seed from four alphabets;
@@ -65,6 +65,7 @@ MIN_RATIO_PER_CHARACTER = 0.4
 
 _IDENTIFIER = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_IDENTIFIER},}}")
 _WORDS = re.compile("[A-Za-z]+(?:[_-][A-Za-z]+)*[0-9]{0,4}")
+_NAME = re.compile("[A-Za-z]+[0-9]{0,4}")
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}")
 _CODE = np.full(256, START, np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
@@ -183,9 +184,38 @@ def train(docs: DataFrame, text: str = "text") -> MarkovModel:
     return fit(tables[1], tables[0])
 
 
+def _names(part: str) -> bool:
+    return all(_NAME.fullmatch(x) for x in re.split("[+/_=-]+", part) if x)
+
+
+def _random_parts(text: str, base: list[tuple[int, int, int]], model: MarkovModel) -> Iterator[tuple[int, int]]:
+    """Random tokens, and the random parts outside base spans of those that such spans touch.
+
+    A part is judged as a token of its own.  If the whole token is random and no
+    assignment names it, the pattern broke off inside a secret: then a part of any
+    length goes, unless it is made of names and does not favour the random model
+    as much per character.
+    """
+    for m in _TOKEN.finditer(text):
+        start, end = m.span()
+        touching = [x for x in base if x[0] < end and start < x[2]]
+        if not touching:
+            if model.is_random(m[0]):
+                yield start, end
+            continue
+        broken = all(kind != 0 for _, kind, _ in touching) and model.is_random(m[0])
+        for s, _, e in [*touching, (end, 3, end)]:
+            part = text[start:s]
+            if (len(part) >= MIN_TOKEN and model.is_random(part)) or (
+                part and broken and (not _names(part) or model.score(part) >= MIN_RATIO_PER_CHARACTER * len(part))
+            ):
+                yield start, s
+            start = max(start, e)
+
+
 def spans_of(text: str, model: MarkovModel) -> list[tuple[int, int, int]]:
     base = base_spans(text)
-    more = [(s, 3, e) for s, e in _outside(text, base, _TOKEN) if model.is_random(text[s:e])]
+    more = [(s, 3, e) for s, e in _random_parts(text, base, model)]
     return sorted(base + more) if more else base
 
 

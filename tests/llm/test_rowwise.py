@@ -46,6 +46,22 @@ def test_markov_model_separates_held_out_samples():
     assert np.mean([model.is_random(x) for x in ordinary]) < 0.01
 
 
+def test_rest_of_a_random_token_beside_a_base_span():
+    count = lambda tokens: np.bincount(secrets._pairs(tokens), minlength=secrets.STATES**2)
+    model = secrets.fit(count(secrets.drawn_strings()), count(secrets.composed_identifiers()))
+    code, rest = "1beb58b8af68854f0e01b4ad", "q7Zk29xLwP0vT3mRb8YcN5dJWs61Ku"
+    found = lambda t: [(secrets.KINDS[k], t[s:e]) for s, k, e in secrets.spans_of(t, model)]
+    assert found(f"a {code}{rest} b") == [("hex", code), ("markov", rest)]
+    assert found(f"{rest}{code}{rest}") == [("markov", rest), ("hex", code), ("markov", rest)]
+    assert found(f"a {code}{rest[:9]}, b") == [("hex", code), ("markov", rest[:9])]  # too short for a token
+    assert found(f"{rest}_token={rest}") == [("markov", f"{rest}_"), ("assign", f"token={rest}")]
+    for name in ("order_document_", "files/archive2/"):  # names before a code
+        assert found(name + code) == [("hex", code)]
+    assert found(f"user_session_token={rest}") == [("assign", f"token={rest}")]
+    whole = f"a {rest[:5]}{code}{rest} b"
+    assert secrets.mask_spans(whole, secrets.spans_of(whole, model), "#") == "a # b"
+
+
 def test_redaction_masks_spans_and_keeps_rows(edge, edge_rows):
     out = secrets.redact_documents(edge)
     assert out.columns == edge.columns and out.count() == len(edge_rows)
