@@ -10,9 +10,6 @@ os.environ.setdefault("STOCKROOM_DRIVER_MEMORY", "8g")
 
 from stockroom.session import get_spark  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

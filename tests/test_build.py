@@ -4,7 +4,7 @@ from stockroom.compare import spark_rows
 from stockroom.plans.build import build_mart, register_views
 from stockroom.plans.registry import AS_OF, MIN_ORDER_DATE, QUERIES, RUN_DAYS
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_built_tables_and_named_views_give_the_registered_rows(spark, tmp_dir):

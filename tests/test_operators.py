@@ -133,7 +133,7 @@ def test_line_id_join_and_dash_separator(spark):
     from stockroom.plans.orders import order_fact, pos_orders
     from stockroom.sources.fixtures import Inputs
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
 
     inp = Inputs(spark, SF_SMALL)
     lines = {(r["id"], r["order_id"]) for r in inp.pos_order_line_history.select("id", "order_id").collect()}
@@ -267,7 +267,7 @@ def test_intervals_per_item_and_location(spark):
     from stockroom.plans.marts import inventory_intervals
     from stockroom.plans.registry import Mart
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
 
     m = Mart(spark, SF_SMALL)
     fact = m.inventory_fact_table

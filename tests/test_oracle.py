@@ -8,7 +8,7 @@ import __spark_entry__ as entry_mod
 from stockroom.compare import compare, duck_connect
 from stockroom.plans.registry import QUERIES, RUN_DAYS, Mart
 
-from conftest import SF_ORACLE, SF_SMALL
+from paths import SF_ORACLE, SF_SMALL
 
 KEYS = sorted(QUERIES)
 SF = os.environ.get("STOCKROOM_TEST_SF", SF_SMALL)

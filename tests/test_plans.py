@@ -13,7 +13,7 @@ from stockroom.sources.fixtures import Inputs
 
 from literal_forms import spine_join_literal
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def plan(df) -> str:
