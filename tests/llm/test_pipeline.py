@@ -12,7 +12,7 @@ from stockroom.llm import secrets
 from stockroom.llm.queries import ORACLE_SQL, QUERIES
 from stockroom.session import ensure_checkpoint_dir
 
-from conftest import SMALL  # noqa: E402
+from paths import SF_SMALL as SMALL  # noqa: E402
 
 
 def _rows(df):
