@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bytebpe, lines, packing, paragraphs, passages, quality, secrets, sharding, simhash, suffixes, topk
+from stockroom.llm import (
+    bytebpe, lines, packing, paragraphs, passages, quality, secrets, sharding, simhash, suffixes, topk, variants,
+)
 from stockroom.llm.common import documents
 from stockroom.session import ensure_checkpoint_dir
 
@@ -38,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": _over_documents(suffixes.substring_rows),
     "op9_simhash": _over_documents(simhash.simhash_rows),
     "op10_topk": _top,
+    "op13_spelling_variants": _over_documents(variants.variant_rows),
 }
 
 # Blanks of the contracts as a DuckDB character list.
