@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.llm import (
-    bytebpe, lines, packing, paragraphs, passages, quality, secrets, sharding, simhash, suffixes, topk, variants,
+    bytebpe, lines, packing, paragraphs, passages, phrases, quality, secrets, sharding, simhash, sketches, suffixes,
+    topk, variants,
 )
 from stockroom.llm.common import documents
 from stockroom.session import ensure_checkpoint_dir
@@ -40,6 +41,8 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": _over_documents(suffixes.substring_rows),
     "op9_simhash": _over_documents(simhash.simhash_rows),
     "op10_topk": _top,
+    "op11_fast_sketch_dedup": _over_documents(sketches.near_rows),
+    "op12_collocations": _over_documents(phrases.phrase_rows),
     "op13_spelling_variants": _over_documents(variants.variant_rows),
 }
 
@@ -194,10 +197,65 @@ SELECT p.doc_id, p.paragraph, p.start, p."end", p.n_words, f.doc_id AS class_doc
 FROM classes JOIN paragraphs p USING (id) JOIN paragraphs f ON f.id = classes.first
 """
 
+_NEAR_TEXTS = f"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS id, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT id, array_to_string(list_slice(w, i, i + {sketches.SHINGLE_WORDS - 1}), ' ') AS gram
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - {sketches.SHINGLE_WORDS - 1}, 1) + 1)) AS i FROM texts WHERE len(w) > 0)
+), sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+linked AS (
+  SELECT x.id AS a, y.id AS b FROM grams x JOIN grams y ON x.gram = y.gram AND x.id <> y.id
+  JOIN sizes sx ON sx.id = x.id JOIN sizes sy ON sy.id = y.id
+  GROUP BY x.id, y.id, sx.n, sy.n HAVING 100 * count(*) >= {sketches.PERCENT} * (sx.n + sy.n - count(*))
+), reach AS (
+  SELECT id AS a, id AS b FROM texts UNION SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a
+), classes AS (SELECT a AS id, min(doc_id) AS component_id FROM reach JOIN texts ON texts.id = reach.b GROUP BY a)
+SELECT t.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, t.doc_id = c.component_id AS kept
+FROM texts t JOIN classes c USING (id) LEFT JOIN sizes s USING (id)
+"""
+
+_PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (VALUES (1), (2), (3)) orders(k) WHERE len(w) >= k)
+), counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+candidates AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2 AND f >= {phrases.MIN_COUNT}
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r, (({phrases.SCALE}::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+    SELECT lang, a, array_to_string(w[1:2], ' ') AS inner_phrase FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE k = 3
+  ) t ON t.lang = s.lang AND t.inner_phrase = s.phrase WHERE 100 * t.a >= {phrases.COVER_PERCENT} * s.a
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best ANTI JOIN covered USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {phrases.TOP}
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_paragraph_dedup": _PARAGRAPHS,
     "op8_suffix_dedup": _SUBSTRINGS,
     "op5_line_dedup": _LINE_DEDUP,
     "op7_quality_rules": _QUALITY,
     "op10_topk": _TOPK,
+    "op11_fast_sketch_dedup": _NEAR_TEXTS,
+    "op12_collocations": _PHRASES,
 }
