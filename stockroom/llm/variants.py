@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import col, materialize
+from stockroom.llm.common import col, materialize, shuffle_partitions
 
 EVERY = 199
 MIN_LENGTH = 6
@@ -205,7 +205,9 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
         .select(*at, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "word", "n", "block")
     )
     pair = [*at, "low", "high"]
-    found = sides.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(
+    # a number of tasks: the rows are few, the comparisons are not
+    tasks = shuffle_partitions(words.sparkSession)
+    found = sides.repartition(tasks, *pair).sortWithinPartitions(*pair).mapInArrow(
         _compare, "word string, n_near bigint, form string, form_n bigint"
     )
     best = F.min(F.struct((-F.col("form_n")).alias("less"), "form")).alias("best")
