@@ -53,9 +53,9 @@ PERCENT = 85
 BAND_ROWS = 8
 MISSED = 1e-6
 # A cluster of more texts or shingles than this is compared in slices.
-MEMBERS = 2_000
+MEMBERS = 8_000
 SHINGLES = 2_000_000
-LEADERS = 512
+LEADERS = 2_048
 _TEXTS, _WORDS = 2_048, 1 << 20  # texts and words sketched together
 _EXPANDED = 1 << 22  # posting entries counted at once
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
