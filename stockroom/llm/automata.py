@@ -21,7 +21,8 @@ import zstandard
 
 Columns = tuple[np.ndarray, np.ndarray, np.ndarray]
 Gram = tuple[bytes, ...]
-_COLUMNS = 11  # of a written automaton
+# columns of a written automaton: word lengths, root arcs, first states and arcs, second states and arcs
+_KINDS = ("<i4", "<i4", "<i8", "<i4", "<i4", "<i4", "<i8", "<i4", "<i4", "<i4", "<i8")
 
 
 def _within(sizes: np.ndarray) -> np.ndarray:
@@ -34,24 +35,52 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
+def _bits(words: int) -> int:
+    """Bits of a word number if three of them fit into one whole number, else 0."""
+    bits = int(words).bit_length()
+    return bits if 3 * bits <= 63 else 0
+
+
+def _packed(grams: Columns, bits: int) -> np.ndarray:
+    a, b, c = grams
+    return (a << 2 * bits) | (b << bits) | c
+
+
+def _unpacked(keys: np.ndarray, bits: int) -> Columns:
+    mask = (1 << bits) - 1
+    return keys >> 2 * bits, (keys >> bits) & mask, keys & mask
+
+
+def _joined(keys: np.ndarray, weights: np.ndarray, take) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], take.reduceat(weights[order], first)
+
+
+def counted(grams: Columns, words: int) -> tuple[Columns, np.ndarray]:
+    """The n-grams in order, each once, and how often each is there."""
+    bits = _bits(words)
+    if not bits or not len(grams[0]):
+        return merged(grams, np.ones(len(grams[0]), np.int64), words)
+    keys = np.sort(_packed(grams, bits))
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return _unpacked(keys[first], bits), np.diff(np.append(first, len(keys)))
+
+
 def merged(grams: Columns, weights: np.ndarray, words: int, take=np.add) -> tuple[Columns, np.ndarray]:
     """The n-grams in order, each once, their weights added (or joined by ``take``)."""
     if not len(weights):
         return grams, weights
+    bits = _bits(words)
+    if bits:
+        keys, weights = _joined(_packed(grams, bits), weights, take)
+        return _unpacked(keys, bits), weights
     a, b, c = grams
-    bits = int(words).bit_length()
-    if 3 * bits <= 63:
-        key = (a << 2 * bits) | (b << bits) | c
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.append(True, key[1:] != key[:-1])
-    else:
-        order = np.lexsort((c, b, a))
-        x, y, z = a[order], b[order], c[order]
-        new = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1]))
-    first = np.flatnonzero(new)
-    rows = order[first]
-    return (a[rows], b[rows], c[rows]), take.reduceat(weights[order], first)
+    order = np.lexsort((c, b, a))
+    x, y, z = a[order], b[order], c[order]
+    first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1])))
+    return (x[first], y[first], z[first]), take.reduceat(weights[order], first)
 
 
 @dataclass
@@ -68,10 +97,13 @@ class Automaton:
     @staticmethod
     def build(words: Sequence[bytes], grams: Columns, weights: np.ndarray) -> Automaton:
         """From sorted distinct n-grams with positive weights; keeps the words in use."""
-        used = np.unique(np.concatenate(grams))
-        used = used[used > 0]
-        w1, w2, w3 = (np.where(w > 0, np.searchsorted(used, w) + 1, 0) for w in grams)
-        own = [words[i] for i in (used - 1).tolist()]
+        seen = np.zeros(len(words) + 1, bool)
+        for w in grams:
+            seen[w] = True
+        seen[0] = False
+        number = np.cumsum(seen)
+        w1, w2, w3 = (number[w] for w in grams)
+        own = [words[i] for i in (np.flatnonzero(seen) - 1).tolist()]
         new1 = np.append(True, w1[1:] != w1[:-1])[: len(w1)]
         new2 = (w2 > 0) & (new1 | np.append(True, w2[1:] != w2[:-1])[: len(w2)])
         at1, at2, at3 = np.flatnonzero(new1), np.flatnonzero(new2), np.flatnonzero(w3)
@@ -104,18 +136,17 @@ class Automaton:
         lengths = np.array([len(w) for w in self.words], np.int64)
         columns = [lengths, *self.root, self.first_begin, *self.first, self.second_begin, *self.second]
         head = np.array([len(c) for c in columns], np.int64)
-        # labels and places are small numbers: their high bytes compress away
-        data = b"".join([head.tobytes(), *(np.ascontiguousarray(c, np.int64).tobytes() for c in columns), *self.words])
-        return zstandard.ZstdCompressor(level=1).compress(data)
+        data = [np.ascontiguousarray(c, kind).tobytes() for c, kind in zip(columns, _KINDS, strict=True)]
+        return zstandard.ZstdCompressor(level=1).compress(b"".join([head.tobytes(), *data, *self.words]))
 
     @staticmethod
     def from_bytes(data: bytes) -> Automaton:
         data = zstandard.ZstdDecompressor().decompress(data)
-        sizes = np.frombuffer(data, np.int64, _COLUMNS).tolist()
-        at, columns = 8 * _COLUMNS, []
-        for n in sizes:
-            columns.append(np.frombuffer(data, np.int64, n, at))
-            at += 8 * n
+        sizes = np.frombuffer(data, np.int64, len(_KINDS)).tolist()
+        at, columns = 8 * len(_KINDS), []
+        for n, kind in zip(sizes, _KINDS, strict=True):
+            columns.append(np.frombuffer(data, kind, n, at).astype(np.int64))
+            at += n * np.dtype(kind).itemsize
         ends = np.cumsum(columns[0]).tolist()
         words = [data[at + e - n : at + e] for e, n in zip(ends, columns[0].tolist(), strict=True)]
         return Automaton(words, tuple(columns[1:4]), columns[4], tuple(columns[5:8]), columns[8], tuple(columns[9:11]))
@@ -156,10 +187,21 @@ def union(parts: list[Automaton], take=np.add, least: int = 1) -> tuple[list[byt
     """Words, sorted n-grams and joined weights of several automata; entries below ``least`` go."""
     words = sorted(set().union(*(p.words for p in parts)))
     numbers = {w: i for i, w in enumerate(words, 1)}
-    found = [p.grams() for p in parts]
-    moved = [renumber(p.words, numbers, g) for p, (g, _) in zip(parts, found, strict=True)]
-    columns = tuple(np.concatenate([m[k] for m in moved]) for k in range(3))
-    grams, weights = merged(columns, np.concatenate([w for _, w in found]), len(words), take)
+    bits = _bits(len(words))
+    if bits and len(words):
+        # one number an n-gram at once: a part's columns are not kept
+        keys, values = [], []
+        for p in parts:
+            grams, weights = p.grams()
+            keys.append(_packed(renumber(p.words, numbers, grams), bits))
+            values.append(weights)
+        key, weights = _joined(np.concatenate(keys), np.concatenate(values), take)
+        grams = _unpacked(key, bits)
+    else:
+        found = [p.grams() for p in parts]
+        moved = [renumber(p.words, numbers, g) for p, (g, _) in zip(parts, found, strict=True)]
+        columns = tuple(np.concatenate([m[k] for m in moved]) for k in range(3))
+        grams, weights = merged(columns, np.concatenate([w for _, w in found]), len(words), take)
     kept = weights >= least
     return words, tuple(g[kept] for g in grams), weights[kept]
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockroom.llm.automata import Automaton, Columns, Ranges, merged, renumber, union
+from stockroom.llm.automata import Automaton, Columns, Ranges, counted, merged, renumber, union
 from stockroom.llm.common import col, materialize, shuffle_partitions
 
 MAX_WORDS = 3
@@ -53,9 +53,9 @@ NO_LANGUAGE = "und"
 RANGE_BYTES = 16_000_000
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_EVERY = 32
-SHARD = 1 << 20  # words counted together
+SHARD = 1 << 21  # words counted together
 _PIECE = 1 << 22  # bytes of a text read at once
-_PARTS = 64  # automata joined at once
+_PARTS = 32  # automata joined at once
 # the marks that end a piece (a fixed set) become a byte that no UTF-8 text has
 _MARK = b"\xff"
 _ENDS = bytes(0xFF if chr(c) in ".,;:!?\n\x0b\x0c\r" else c for c in range(256))
@@ -103,7 +103,7 @@ class Shard:
         columns = tuple(
             np.concatenate(x) for x in ((a, a[two], a[three]), (none, b[two], b[three]), (none, none[two], c[three]))
         )
-        return words, *merged(columns, np.ones(len(columns[0]), np.int64), len(words))
+        return words, *counted(columns, len(words))
 
 
 def _rows(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
