@@ -1,21 +1,33 @@
 """Substring dedup by paragraphs (operator 2): MinHash banding, verified and clustered.
 
-A text is cut into paragraphs at line ends; those of ``MIN_WORDS``+ words take
-part.  Equal paragraphs are one node.  A node's set of word shingles gives a
-MinHash signature whose bands are tuned for a recall of ``RECALL`` at the
-threshold.  Nodes that collide in a band meet in a bucket with their texts; the
-bucket verifies exact Jaccard similarity and returns a spanning forest of the
-links, never all pairs.  A bucket does not compare all members: it indexes the
-rarest shingles of each set (two sets above the threshold share one of these)
-and skips members that are linked already.  A bucket of more than ``BUCKET``
-nodes is dealt again by those same rarest shingles, which loses no link.
-Components of the forests are the classes; the first paragraph of a class, by
+Two kinds of paragraphs of a text take part, each compared with its own kind.
+
+*Lines* of ``MIN_WORDS``+ words.  Equal lines are one node.  A node's set of word
+shingles gives a MinHash signature whose bands are tuned for a recall of
+``RECALL`` at the threshold.  Nodes that collide in a band meet in a bucket with
+their texts; the bucket verifies exact Jaccard similarity and returns a spanning
+forest of the links, never all pairs.  A bucket does not compare all members: it
+indexes the rarest shingles of each set (two sets above the threshold share one
+of these) and skips members that are linked already.  A bucket of more than
+``BUCKET`` nodes is dealt again by those same rarest shingles, which loses no link.
+
+*Passages*, for what lies inside a line or runs over several: every run of ``WINDOW``
+words, line ends counting as blanks, has a one-row signature, the least hash of its
+shingles of ``PASSAGE_WORDS`` words.  The shingle that holds it is the run's
+paragraph.  Equal runs have it at the same place, so every passage of
+``WINDOW``+ words that occurs again has a paragraph that occurs again, and as a
+shingle is longer than the way from one to the next, the paragraphs of a
+passage cover it from the first to the last.  A collision is verified by the words
+themselves (128 bits of their hash).
+
+Components of the links are the classes; the first paragraph of a class, by
 doc_id and place, stays and the others are removals.
 
 Defined results: a null or empty text has no paragraphs; rows with a null
 doc_id take part and sort after all others; rows repeated in full are one place,
-listed with equal answers (none removes the other); an empty table gives an empty result; extra columns are
-not read.
+listed with equal answers (none removes the other); equal and near paragraphs are ties that go to
+the first place; a text of any length is hashed in blocks of words; an empty table gives an
+empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,15 +35,17 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.common import BLANKS, col, materialize
+from stockroom.llm.common import col, materialize
 from stockroom.llm.components import components
+from stockroom.llm.passages import _bounds, _finish, anchors, blocks, rolling
 
 MIN_WORDS = 20
 SHINGLE_WORDS = 5
@@ -39,7 +53,12 @@ SIMILARITY = 0.8
 RECALL = 0.995
 BAND_ROWS = 2
 BUCKET = 2_000
-_BLANKS = BLANKS.encode()
+WINDOW = 50
+PASSAGE_WORDS = 26
+_BATCH_CHARS = 1 << 21  # text worked on at once
+_FOUND = ["doc_id", "row_hash", "passage", "paragraph", "start", "end", "n_words", "hi", "lo", "bands"]
+_MULTIPLIER = 0x9E3779B97F4A7C15
+LINE, PASSAGE = "line", "passage"
 
 
 def bands_for(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: float = RECALL) -> int:
@@ -59,16 +78,29 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 64, n, np.uint64) | np.uint64(1), rng.integers(0, 1 << 64, n, np.uint64)
 
 
-def band_keys(sets: np.ndarray, bands: int, rows: int = BAND_ROWS) -> list[int]:
-    """One signed 64-bit key per band of a set of shingle hashes."""
+def band_keys(words: list[list[bytes]], bands: int, rows: int = BAND_ROWS, n: int = SHINGLE_WORDS) -> np.ndarray:
+    """One signed 64-bit key per band of each list of ``n`` words or more."""
+    vocab: dict[bytes, int] = defaultdict(count().__next__)
+    ids = np.fromiter((vocab[w] for some in words for w in some), np.int64)
+    table = np.fromiter(map(xxhash.xxh3_64_intdigest, vocab), np.uint64, len(vocab))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    begin = np.cumsum(size) - size
+    grams = np.append(_finish(rolling(table[ids], n, _MULTIPLIER)), np.zeros(n, np.uint64))
+    # begin and end of each list's shingles; what lies between is reduced too and not used
+    edges = np.stack([begin, begin + size - n + 1], axis=1).reshape(-1)
     a, b = _permutations(bands * rows)
-    mixed = sets[None, :] * a[:, None] + b[:, None]
-    least = (mixed ^ (mixed >> np.uint64(29))).min(axis=1).reshape(bands, rows)
-    return [xxhash.xxh3_64_intdigest(least[i].tobytes(), seed=i) - (1 << 63) for i in range(bands)]
+    keys = np.empty((len(words), bands), np.uint64)
+    for i in range(bands):
+        key = np.full(len(words), i, np.uint64)
+        for k in range(i * rows, (i + 1) * rows):
+            mixed = grams * a[k] + b[k]
+            key = _finish(key * np.uint64(_MULTIPLIER) + np.minimum.reduceat(mixed ^ (mixed >> np.uint64(29)), edges)[::2])
+        keys[:, i] = key
+    return keys.view(np.int64)
 
 
 def split_paragraphs(text: str, min_words: int) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(number, start, end, lower-cased words) of the paragraphs with enough words; code points, end exclusive."""
+    """(number, start, end, lower-cased words) of the lines with enough words; code points, end exclusive."""
     at = 0
     for number, line in enumerate(text.split("\n")):
         if len(line) >= 2 * min_words - 1:
@@ -78,6 +110,30 @@ def split_paragraphs(text: str, min_words: int) -> Iterator[tuple[int, int, int,
         at += len(line) + 1
 
 
+def split_passages(texts: list[str], window: int = WINDOW, size: int = PASSAGE_WORDS) -> list[list[tuple[int, int, int]]]:
+    """Per text (number of the line it starts in, start, end) of its passage paragraphs."""
+    found: list[list[np.ndarray]] = [[] for _ in texts]
+    for words, ends, origin in blocks(texts, window):
+        at = anchors(words[0], ends, window, size, places=True)
+        piece = np.searchsorted(ends, at, side="right")
+        begin = np.concatenate([[0], ends[:-1]])
+        for k in np.unique(piece).tolist():
+            number, offset = origin[k]
+            found[number].append(at[piece == k] - begin[k] + offset)
+    out = []
+    for text, places in zip(texts, found, strict=True):
+        if not places:
+            out.append([])
+            continue
+        first = np.unique(np.concatenate(places))  # pieces of a long text overlap
+        begin, end = _bounds(text)
+        start, stop = begin[first], end[first + size - 1]
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        line = np.searchsorted(np.flatnonzero(points == 10), start)
+        out.append(list(zip(line.tolist(), start.tolist(), stop.tolist(), strict=True)))
+    return out
+
+
 def _key(words: list[bytes]) -> tuple[int, int]:
     d = xxhash.xxh3_128_digest(b" ".join(words))
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
@@ -156,60 +212,117 @@ def _search(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
     yield flush()
 
 
-def classes(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS,
-    similarity: float = SIMILARITY, recall: float = RECALL, bucket: int = BUCKET,
-) -> DataFrame:
-    """One row per paragraph of a class of two or more: doc_id, paragraph, start, end,
-    n_words, class_doc and class_paragraph (the class's first member), removed."""
-    bands = bands_for(similarity, BAND_ROWS, recall)
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start", "end", "row_hash", "paragraph")
 
-    def paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row_hash", "paragraph", "start", "end", "n_words", "hi", "lo", "bands"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        for batch in batches:
-            rows, seen = [], set()
-            for d, h, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for number, start, end, words in split_paragraphs(t or "", min_words):
-                    key = _key(words)
-                    # a batch sends the band keys of equal paragraphs once
-                    mine = [] if key in seen else band_keys(shingles(words), bands)
-                    seen.add(key)
-                    rows.append((d, h, number, start, end, len(words), *key, mine))
-            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    source = docs.select(
+def _source(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return docs.select(
         col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(col(text), F.lit(""))).alias("row_hash"),
         col(text).alias("text"),
     )
+
+
+def _found(batches: Iterator[pa.RecordBatch], min_words: int, bands: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, row_hash, text) -> their paragraphs of both kinds; only lines have band keys."""
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+
+    def send(held: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
+        rows, lines, at, seen = [], [], [], set()
+        for (d, h, t), places in zip(held, split_passages([t for _, _, t in held]), strict=True):
+            for number, start, end, words in split_paragraphs(t, min_words):
+                key = _key(words)
+                if key not in seen:  # a batch sends the band keys of equal lines once
+                    seen.add(key)
+                    lines.append(words)
+                    at.append(len(rows))
+                rows.append([d, h, False, number, start, end, len(words), *key, []])
+            for number, start, end in places:
+                words = t[start:end].encode().lower().split()
+                rows.append([d, h, True, number, start, end, len(words), *_key(words), []])
+        if lines:
+            for i, keys in zip(at, band_keys(lines, bands), strict=True):
+                rows[i][-1] = keys
+        columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_FOUND)
+
+    held, size = [], 0
+    for batch in batches:
+        for d, h, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if t:
+                held.append((d, h, t))
+                size += len(t)
+            if size > _BATCH_CHARS:
+                yield send(held)
+                held, size = [], 0
+    yield send(held)
+
+
+def classes(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS,
+    similarity: float = SIMILARITY, recall: float = RECALL, bucket: int = BUCKET, kinds: tuple[str, ...] = (LINE, PASSAGE),
+) -> DataFrame:
+    """One row per paragraph of a class of two or more: kind, doc_id, paragraph (the line it
+    starts in), start, end, n_words, class_doc, class_paragraph and class_start (the class's
+    first member), removed."""
+    bands = bands_for(similarity, BAND_ROWS, recall)
+    source = _source(docs, text, doc_id)
     found = materialize(
         source.mapInArrow(
-            paragraphs,
-            "doc_id bigint, row_hash bigint, paragraph int, start bigint, end bigint, n_words int, hi bigint, "
+            lambda batches: _found(batches, min_words, bands),
+            "doc_id bigint, row_hash bigint, passage boolean, paragraph int, start int, end int, n_words int, hi bigint, "
             "lo bigint, bands array<bigint>",
         ),
         "paragraphs",
     )
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "paragraph", "row_hash")
-    band_rows = found.select("hi", "lo", F.explode("bands").alias("band")).distinct()
-    shared = band_rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    colliding = materialize(band_rows.join(shared, "band"), "colliding")
+    lines = found.filter("NOT passage")
+    out = _line_classes(source, lines.drop("passage"), similarity, bucket).withColumn("kind", F.lit(LINE)) if LINE in kinds else None
+    if PASSAGE in kinds:
+        more = _equal_classes(found.filter("passage").drop("passage", "bands")).withColumn("kind", F.lit(PASSAGE))
+        out = more if out is None else out.unionByName(more)
+    return out.select(
+        "kind", "doc_id", "paragraph", "start", "end", "n_words", F.col("class_first.doc_id").alias("class_doc"),
+        F.col("class_first.paragraph").alias("class_paragraph"), F.col("class_first.start").alias("class_start"),
+        (_place() != F.col("class_first")).alias("removed"),
+    )
+
+
+def _equal_classes(found: DataFrame) -> DataFrame:
+    """Paragraphs whose words occur at another place, with the first place.
+
+    What occurs again is decided over the hashes alone; only those rows are
+    shuffled with their places, and a table of their own lets Spark split a hot one.
+    """
+    again = materialize(
+        found.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("hi", "lo"), "passage-keys"
+    )
+    repeated = materialize(found.join(again, ["hi", "lo"]), "passage-places")
+    first = repeated.groupBy("hi", "lo").agg(F.min(_place()).alias("class_first"))
+    return repeated.join(materialize(first, "passage-first"), ["hi", "lo"])
+
+
+def _line_classes(source: DataFrame, found: DataFrame, similarity: float, bucket: int) -> DataFrame:
+    """Lines of classes of two or more, with the class's first place."""
+    place = _place()
+    # buckets with two nodes or more
+    band_rows = found.select("hi", "lo", F.explode("bands").alias("band"))
+    shared = band_rows.groupBy("band").agg(F.min("hi").alias("least"), F.max("hi").alias("most")).filter("least <> most").select("band")
+    colliding = materialize(band_rows.join(materialize(shared, "shared-bands"), "band").distinct(), "colliding")
+    counts = colliding.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
     keys = colliding.select("hi", "lo").distinct()
-    # one place to read each colliding paragraph from
+    # one place to read each colliding line from
     at = found.join(keys, ["hi", "lo"]).groupBy("hi", "lo").agg(F.min(place).alias("place"))
     wanted = at.groupBy(
         F.col("place.no_id").alias("no_id"), F.coalesce("place.doc_id", F.lit(0)).alias("number"),
         F.col("place.row_hash").alias("row_hash"),
-    ).agg(F.collect_list(F.struct(F.col("place.paragraph").alias("paragraph"), "hi", "lo")).alias("wanted"))
+    ).agg(F.collect_list(F.struct(F.col("place.start").alias("start"), F.col("place.end").alias("end"), "hi", "lo")).alias("wanted"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for t, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = (t or "").split("\n")
                 for w in wanted:
-                    words = lines[w["paragraph"]].encode().lower().split()
+                    words = t[w["start"] : w["end"]].encode().lower().split()
                     rows.append((w["hi"], w["lo"], b" ".join(words)))
             columns = zip(*rows, strict=True) if rows else [[], [], []]
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +338,7 @@ def classes(
     )
     nodes = materialize(texts, "paragraph-nodes")  # also fixes the node numbers
 
-    members = colliding.join(nodes, ["hi", "lo"]).select("band", "n", "node", "words")
+    members = colliding.join(counts, "band").join(nodes, ["hi", "lo"]).select("band", "n", "node", "words")
     small = members.filter(F.col("n") <= bucket).select("band", "node", "words")
     edges = (
         small.repartition("band").sortWithinPartitions("band", "node")
@@ -246,11 +359,8 @@ def classes(
     whole = labelled.filter("root IS NOT NULL").select("hi", "lo", "root").join(merged, "root").select(
         "hi", "lo", "copies", "first"
     ).unionAll(labelled.filter("root IS NULL").select("hi", "lo", "copies", "first")).filter("copies > 1")
-    whole = whole.withColumnRenamed("first", "class_first")
-    return found.drop("bands").join(whole, ["hi", "lo"]).select(
-        "doc_id", "paragraph", "start", "end", "n_words", F.col("class_first.doc_id").alias("class_doc"),
-        F.col("class_first.paragraph").alias("class_paragraph"), (place != F.col("class_first")).alias("removed"),
-    )
+    whole = whole.select("hi", "lo", F.col("first").alias("class_first"))
+    return found.drop("bands").join(whole, ["hi", "lo"])
 
 
 def _hot_links(hot: DataFrame, similarity: float) -> DataFrame:
@@ -282,5 +392,10 @@ def _hot_links(hot: DataFrame, similarity: float) -> DataFrame:
 
 
 def paragraph_rows(docs: DataFrame) -> DataFrame:
-    """Every paragraph of 20+ words that repeats, exactly or nearly, anywhere in the table."""
+    """Every line of 20+ words that repeats, exactly or nearly, and every paragraph of a repeated passage of 50+ words."""
     return classes(docs.select("doc_id", "text"))
+
+
+def line_rows(docs: DataFrame) -> DataFrame:
+    """The lines of ``paragraph_rows``."""
+    return classes(docs.select("doc_id", "text"), kinds=(LINE,)).drop("kind", "class_start")

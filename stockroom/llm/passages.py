@@ -93,11 +93,12 @@ def blocks(texts: list[str], window: int) -> Iterator[tuple[np.ndarray, np.ndarr
         yield flush()
 
 
-def anchors(words: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, last start, hash of the anchor's gram) of every run of windows with one anchor."""
+def anchors(words: np.ndarray, ends: np.ndarray, window: int, gram: int, places: bool = False):
+    """(first start, last start, hash of the anchor's gram) of every run of windows with one anchor;
+    with ``places`` the places of the anchors instead."""
     none = np.zeros(0, np.int64)
     if len(words) < window:
-        return none, none, none.astype(np.uint64)
+        return none if places else (none, none, none.astype(np.uint64))
     grams = _finish(rolling(words, gram, _MULTIPLIERS[0]))
     low = (grams >> _POSITION_BITS << _POSITION_BITS) | np.arange(len(grams), dtype=np.uint64)
     span, size = window - gram + 1, 1  # gram positions in one window
@@ -111,6 +112,8 @@ def anchors(words: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tupl
     text = np.searchsorted(ends, starts, side="right")
     inside = starts + window <= ends[text]
     starts, anchor, text = starts[inside], anchor[inside], text[inside]
+    if places:
+        return np.unique(anchor)
     if not len(starts):
         return none, none, none.astype(np.uint64)
     new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])) + 1

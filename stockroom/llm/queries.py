@@ -32,6 +32,7 @@ def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _over_documents(secrets.secret_rows),
     "op2_paragraph_dedup": _over_documents(paragraphs.paragraph_rows),
+    "op2_line_paragraphs": _over_documents(paragraphs.line_rows),
     "op2_passage_dedup": _over_documents(passages.passage_rows),
     "op3_sharding": _over_documents(sharding.shard_rows),
     "op4_byte_bpe": _over_documents(bytebpe.codec_rows),
@@ -251,7 +252,7 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang
 """
 
 ORACLE_SQL: dict[str, str] = {
-    "op2_paragraph_dedup": _PARAGRAPHS,
+    "op2_line_paragraphs": _PARAGRAPHS,
     "op8_suffix_dedup": _SUBSTRINGS,
     "op5_line_dedup": _LINE_DEDUP,
     "op7_quality_rules": _QUALITY,

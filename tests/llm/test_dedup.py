@@ -26,7 +26,7 @@ def _words(rng, n):
 
 # ---- 2
 def _classes(df, **options):
-    got = paragraphs.classes(df, **options).collect()
+    got = paragraphs.classes(df, kinds=("line",), **options).collect()
     return {(r["doc_id"], r["paragraph"]): (r["class_doc"], r["class_paragraph"]) for r in got}, got
 
 
@@ -56,15 +56,74 @@ def test_near_paragraphs_in_large_and_small_buckets(spark, bucket):
     assert _classes(df, bucket=bucket)[0] == brute.paragraph_classes(rows)
 
 
+def test_repeated_passages_over_and_inside_lines(spark, edge):
+    rng = random.Random(9)
+    passage = [_words(rng, n) for n in (50, 51, 63, 90, 49)]
+    rows, holders = [], defaultdict(set)
+    for i in range(120):
+        w = _words(rng, rng.randrange(10, 150))
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            p = rng.randrange(5)
+            w += passage[p] + _words(rng, rng.randrange(30))
+            holders[p].add(i)
+        sep = rng.choice([" ", "\n", "  \t"])
+        rows.append((i, "".join(x + (sep if rng.random() < 0.3 else " ") for x in w)))
+    rows += [(500 + i, "q" + "\n".join(" ".join(_words(rng, 19)) for _ in range(20))) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = paragraphs.classes(df).filter("kind = 'passage'").collect()
+    text = dict(rows)
+    plain = {d: " " + " ".join(t.lower().split()) + " " for d, t in rows}
+    found = {r["doc_id"] for r in got}
+    assert set().union(*(holders[p] for p in range(4))) <= found and not any(d >= 500 for d in found)
+    for r in got:  # each occurs elsewhere, and the class's first is an equal one
+        words = text[r["doc_id"]][r["start"] : r["end"]].lower().split()
+        assert len(words) == r["n_words"] == paragraphs.PASSAGE_WORDS
+        unit = " " + " ".join(words) + " "
+        assert sum(t.count(unit) for t in plain.values()) > 1
+        assert text[r["class_doc"]][r["class_start"] :].lower().split()[: len(words)] == words
+        assert r["removed"] == ((r["doc_id"], r["start"]) != (r["class_doc"], r["class_start"]))
+        assert text[r["doc_id"]][: r["start"]].count("\n") == r["paragraph"]
+    # the paragraphs of a passage leave no gap between them
+    for d in holders[3]:
+        covered = set()
+        for r in got:
+            if r["doc_id"] == d:
+                first = len(text[d][: r["start"]].split())
+                covered.update(range(first, first + r["n_words"]))
+        words = text[d].split()
+        at = next(i for i in range(len(words)) if words[i : i + 90] == passage[3])
+        inside = sorted(covered & set(range(at, at + 90)))
+        assert len(inside) >= 42 and inside == list(range(inside[0], inside[-1] + 1))
+    assert paragraphs.classes(edge.limit(0)).count() == 0
+
+
+def test_third_of_all_rows_from_one_template(spark):
+    rng = random.Random(19)
+    template = _words(rng, 120)
+    rows = []
+    for i in range(300):
+        w = list(template)
+        for _ in range(3):
+            w[rng.randrange(120)] = f"n{i}x{rng.randrange(9)}"
+        rows.append((i, "head " + " ".join(w[:60]) + "\n" + " ".join(w[60:])))
+    rows += [(1000 + i, " ".join(_words(rng, 60))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert _classes(df, bucket=40)[0] == brute.paragraph_classes(rows)
+    found = {r["doc_id"] for r in paragraphs.classes(df, bucket=40).select("doc_id").distinct().collect()}
+    assert set(range(300)) <= found and not any(d >= 1000 for d in found)
+
+
 def test_bands_reach_the_recall():
     n = paragraphs.bands_for()
     assert 1 - (1 - paragraphs.SIMILARITY**paragraphs.BAND_ROWS) ** n >= paragraphs.RECALL
-    rng = np.random.default_rng(1)
+    rng = random.Random(1)
     hit = 0
     for _ in range(500):
-        common = rng.integers(0, 1 << 63, 80, np.uint64)
-        a, b = (np.sort(np.concatenate([common, rng.integers(0, 1 << 63, 10, np.uint64)])) for _ in range(2))
-        hit += any(x == y for x, y in zip(paragraphs.band_keys(a, n), paragraphs.band_keys(b, n), strict=True))
+        first = [w.encode() for w in _words(rng, 100)]
+        second = [*first[:30], b"x", *first[31:70], b"y", *first[71:]]  # 86 of 106 shingles: 0.81
+        keys = paragraphs.band_keys([first, [b"z"] * 7, second, first], n)
+        assert (keys[0] == keys[3]).all()
+        hit += bool((keys[0] == keys[2]).any())
     assert hit >= 490
 
 
