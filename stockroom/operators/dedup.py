@@ -8,16 +8,21 @@ row per map task, not all its rows, to its reducer.
 
 ``rank_versions`` keeps every version with its rank (``ROW_NUMBER()`` selected,
 not filtered).  Ranks need all rows of a key in order; it computes them
-without one task per key by splitting each key into time buckets and adding
-per-bucket offsets (measured at the same cost as one plain window).
+without one task per key by ranking inside ranges of the order and adding the
+counts of earlier ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
+
+from stockroom.operators.ordered import PLACE, RANGE, range_ends, same_as_before, scan_in_order
 
 
 def _c(x: str | Column) -> Column:
@@ -60,37 +65,48 @@ def latest_per_key_per_day(
 
 
 def rank_versions(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie_breakers: Sequence[str] = (),
-    rn: str = "rn",
-    bucket: Column | None = None,
+    df: DataFrame, keys: Sequence[str], ts: str, tie_breakers: Sequence[str] = (), rn: str = "rn", distinct: bool = False
 ) -> DataFrame:
     """Every row with its version number, 1 = newest: ``row_number`` over the key
     without sending all rows of a key to one task.
 
-    Rows are ranked inside (key, bucket) where ``bucket`` is a non-decreasing
-    function of ``ts`` (default: its hour, nulls in a bucket of their
-    own that sorts first); the count of each (key, bucket) is summed over the
-    newer buckets of the same key and added.  The largest task holds one
-    bucket of one key; the offset window holds one row per bucket.
+    Rows are ranked inside ranges of the whole order (``ordered.scan_in_order``): one
+    shuffle, even for a key whose changes all have one time.  The rows of the key that a
+    range begins with add the number of its rows in earlier ranges, which is a
+    sum over one row a range.  ``distinct`` keeps equal rows once, in the same
+    pass; keys, time and tie-breakers must then be all columns.
     """
     keys = list(keys)
-    b = bucket if bucket is not None else F.date_trunc("hour", F.col(ts))
-    tmp = df.withColumn("_bkt", b).withColumn("_bnull", F.col("_bkt").isNull())
-    w_local = Window.partitionBy(*keys, "_bkt").orderBy(*newest_first(ts, tie_breakers))
-    local = tmp.withColumn("_local_rn", F.row_number().over(w_local))
-    counts = tmp.groupBy(*keys, "_bkt", "_bnull").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_bnull").desc(), F.col("_bkt").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)))
-    off = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_bkt").alias("_o_bkt"), "_off")
-    on = [local[k].eqNullSafe(off[f"_o_{k}"]) for k in keys] + [local["_bkt"].eqNullSafe(off["_o_bkt"])]
-    joined = local.join(off, on)
-    return joined.withColumn(rn, (F.col("_off") + F.col("_local_rn")).cast("int")).drop(
-        "_bkt", "_bnull", "_local_rn", "_off", "_o_bkt", *[f"_o_{k}" for k in keys]
-    )
+    if distinct and set(df.columns) != {*keys, ts, *tie_breakers}:
+        raise ValueError("distinct needs an order by all columns")
+    order = [*[F.col(k).asc_nulls_first() for k in keys], *newest_first(ts, tie_breakers)]
+    columns = list(df.columns)
+
+    def step():
+        state = {"rank": 0}
+
+        def advance(batch, before):
+            same = np.asarray(same_as_before(batch, before, keys))
+            keep = ~np.asarray(same_as_before(batch, before, columns)) if distinct else np.ones(len(same), bool)
+            count = np.cumsum(keep)
+            # rows kept before the key's first row here; minus those of earlier batches for a key that goes on
+            begin = np.maximum.accumulate(np.where(same, -1, np.arange(len(same))))
+            base = np.where(begin < 0, -state["rank"], count[begin] - 1)
+            rank = count - base
+            state["rank"] = int(rank[-1])
+            stays = pa.array(keep) if distinct else None
+            return stays, pa.array(rank, pa.int64())
+
+        return advance
+
+    ranked = scan_in_order(df, order, step, [StructField("_rank", LongType())], "version-order", number_rows=not distinct)
+    tails = range_ends(ranked, F.struct(*keys, "_rank")).select(RANGE, "end.*")
+    heads = range_ends(ranked, F.struct(*keys), first=True).select(RANGE, "end.*", F.lit(0).cast("long").alias("_rank"))
+    # per key, in the order of ranges, a range's first key before its last one: at most two rows a range
+    ends = heads.withColumn("_side", F.lit(0)).unionByName(tails.withColumn("_side", F.lit(1)))
+    so_far = Window.partitionBy(*keys).orderBy(RANGE, "_side").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = ends.withColumn("_earlier", F.coalesce(F.sum("_rank").over(so_far), F.lit(0))).where("_side = 0").select(RANGE, "_earlier")
+    joined = ranked.join(F.broadcast(earlier), RANGE)
+    goes_on = F.col("_rank") == F.col(PLACE) + 1  # rows of the key that the range begins with
+    number = F.col("_rank") + F.when(goes_on, F.col("_earlier")).otherwise(F.lit(0))
+    return joined.withColumn(rn, number.cast("int")).select(*columns, rn)

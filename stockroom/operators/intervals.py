@@ -9,13 +9,18 @@ in ``tests/literal_forms.py``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField
 
-from stockroom.sources.sinks import materialize
+from stockroom.operators.ordered import PLACE, RANGE, range_ends, same_as_before, scan_in_order, shifted
 
 
 def _c(x: str | Column) -> Column:
@@ -72,45 +77,42 @@ def record_start(prev: str | Column, record: str | Column) -> Column:
 
 # ---------------------------------------------------------------- W5
 def lead_across_groups(
-    df: DataFrame, group: str, date: str, tie_breakers: Sequence[str], out: str, boundary: str = "global"
+    df: DataFrame, group: str | Sequence[str], date: str, tie_breakers: Sequence[str], out: str, boundary: str = "global"
 ) -> DataFrame:
     """``LEAD(date) OVER (ORDER BY group, date DESC, ties...)`` over the whole frame;
     with ``boundary="per_key"`` the same ``PARTITION BY group``: null after a
     group's last row.
 
-    Rows are range-partitioned on the full order, whose last key is a number
-    per row, so a hot group, a hot day or a row repeated many times spreads
-    over several ranges.  The ranges are frozen by one written table.  Inside a
-    range the next row is a partitioned lead; the last row of a range takes the
-    first date of the next range that has rows, from a list with one date per
-    range.
+    The rows are passed in the opposite order (``ordered.scan_in_order``), where the
+    next row is the one before: one shuffle of the rows, and one row per range for the
+    first row of the range after it.
     """
-    spark = df.sparkSession
+    groups = [group] if isinstance(group, str) else list(group)
     order = [
-        F.col(group).asc_nulls_last(), F.col(date).desc_nulls_first(),
-        *[F.col(t).asc_nulls_last() for t in tie_breakers], F.col("_row"),
+        *[F.col(g).desc_nulls_first() for g in groups], F.col(date).asc_nulls_last(),
+        *[F.col(t).desc_nulls_first() for t in tie_breakers],
     ]
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    ranged = materialize(
-        numbered.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "interval-order"
-    )
-    w = Window.partitionBy("_range").orderBy(*order)
-    row = F.struct(F.col(group).alias("group"), F.col(date).alias("date"))
-    led = ranged.withColumns({
-        "_first": F.row_number().over(w) == 1, "_next": F.lead(row).over(w), "_last": F.lead(F.lit(1)).over(w).isNull(),
-    })
-    # one row per range, taken to the driver: as many as there are partitions
-    heads = sorted(led.filter("_first").select("_range", row.alias("_head")).collect(), key=lambda r: r["_range"])
-    following = [(a["_range"], b["_head"]) for a, b in zip(heads, heads[1:], strict=False)]
-    kind = led.schema["_next"].dataType.simpleString()
-    after = spark.createDataFrame(following, f"_r int, _head {kind}")
-    joined = led.join(F.broadcast(after), F.col("_range") == F.col("_r"), "left")
-    joined = joined.withColumn("_after", F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_next")))
-    lead = F.col("_after.date")
-    if boundary == "per_key":
-        lead = F.when(F.col(group).eqNullSafe(F.col("_after.group")), lead)
-    return joined.withColumn(out, lead).select(*df.columns, out)
+    per_key = boundary == "per_key"
+
+    def step():
+        def advance(batch, before):
+            lead = shifted(batch.column(date), before.column(date) if before is not None else None)
+            if per_key:
+                lead = pc.if_else(same_as_before(batch, before, groups), lead, pa.nulls(len(lead), lead.type))
+            return None, lead
+
+        return advance
+
+    led = scan_in_order(df, order, step, [StructField(out, df.schema[date].dataType)], "interval-order")
+    row = F.struct(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(date).alias("_date"))
+    # as many rows as there are ranges
+    ends = range_ends(led, row).withColumn("_before", F.lag("end").over(Window.orderBy(RANGE))).drop("end")
+    joined = led.join(F.broadcast(ends), RANGE, "left")
+    first = F.col("_before._date")
+    if per_key:
+        same = [F.col(g).eqNullSafe(F.col(f"_before._g{i}")) for i, g in enumerate(groups)]
+        first = F.when(reduce(lambda x, y: x & y, same), first)
+    return joined.withColumn(out, F.when(F.col(PLACE) == 0, first).otherwise(F.col(out))).select(*df.columns, out)
 
 
 # ---------------------------------------------------------------- J6
@@ -137,6 +139,74 @@ def asof_join(
     return left.join(right, cond, how).drop("_month")
 
 
+def asof_carry(
+    points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], point: str, lo: str, hi: str, how: str = "inner"
+) -> DataFrame:
+    """``asof_join`` for intervals that do not overlap within a key, of any length.
+
+    Points and interval starts are passed in (key, time) order
+    (``ordered.scan_in_order``), and each point takes the interval that started last before
+    it, if that one reaches it.  As many rows are shuffled as there are points and
+    intervals; a hot key is cut into ranges.  Two overlapping intervals of a key that
+    follow each other in a range are an error.
+    """
+    keys = [f"_k{i}" for i in range(len(on))]
+    usable = intervals.where(F.col(lo).isNotNull() & (F.col(lo) <= F.col(hi)))
+    for _, b in on:
+        usable = usable.where(F.col(b).isNotNull())
+    held, row = F.struct(*intervals.columns).alias("_held"), F.struct(*points.columns).alias("_point")
+    starts = usable.select(
+        *[F.col(b).alias(k) for k, (_, b) in zip(keys, on, strict=True)], F.col(lo).alias("_at"), F.lit(0).alias("_kind"), held
+    )
+    marks = points.select(
+        *[F.col(a).alias(k) for k, (a, _) in zip(keys, on, strict=True)], F.col(point).alias("_at"), F.lit(1).alias("_kind"), row
+    )
+    both = starts.unionByName(marks, allowMissingColumns=True)
+    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("_at").asc_nulls_first(), F.col("_kind").asc()]
+    kind = StructField("_found", both.schema["_held"].dataType)
+
+    def step():
+        state = {"carry": None, "head": True}
+
+        def advance(batch, before):
+            n = batch.num_rows
+            same = np.asarray(same_as_before(batch, before, keys))
+            start = np.asarray(batch.column("_kind")) == 0
+            rows = np.arange(n)
+            # the last start at or before each row, and the row where its key begins (-1: an earlier batch)
+            last = np.maximum.accumulate(np.where(start, rows, -1))
+            begin = np.maximum.accumulate(np.where(same, -1, rows))
+            carry = state["carry"] if state["carry"] is not None else pa.nulls(1, batch.column("_held").type)
+            pool = pa.concat_arrays([carry, batch.column("_held")])
+            at = np.where(last >= np.maximum(begin, 0), last + 1, np.where(begin < 0, 0, -1))
+            found = pool.take(pa.array(at, pa.int64(), mask=at < 0))
+            earlier = found.slice(0, n - 1) if n > 1 else found.slice(0, 0)
+            earlier = pa.concat_arrays([carry, earlier])
+            clash = pc.greater_equal(earlier.field(hi), batch.column("_held").field(lo))
+            if pc.any(pc.and_(pa.array(start & same), pc.fill_null(pc.and_(clash, earlier.is_valid()), False))).as_py():
+                raise ValueError("intervals of one key overlap")
+            # rows of the key that the range begins with may continue the range before
+            head = state["head"] & (begin <= 0 if before is None else begin < 0)
+            state["carry"], state["head"] = found.slice(n - 1), bool(head[-1])
+            return None, found, pa.array(head)
+
+        return advance
+
+    scanned = scan_in_order(both, order, step, [kind, StructField("_head", BooleanType())], "asof-order")
+    tails = range_ends(scanned, F.struct(*keys, F.col("_found").alias("_v"))).select(RANGE, "end.*")
+    heads = range_ends(scanned, F.struct(*keys), first=True).select(RANGE, "end.*")
+    ends = tails.withColumn("_side", F.lit(1)).unionByName(heads.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    so_far = Window.partitionBy(*keys).orderBy(RANGE, "_side").rowsBetween(Window.unboundedPreceding, -1)
+    brought = ends.withColumn("_brought", F.last("_v", ignorenulls=True).over(so_far)).where("_side = 0").select(RANGE, "_brought")
+    rows = scanned.where("_kind = 1").join(F.broadcast(brought), RANGE, "left")
+    found = F.coalesce("_found", F.when(F.col("_head"), F.col("_brought")))
+    rows = rows.withColumn("_found", found)
+    reached = F.col("_at") <= F.col(f"_found.{hi}")
+    if how == "inner":
+        return rows.where(reached).select("_point.*", "_found.*")
+    return rows.withColumn("_found", F.when(reached, F.col("_found"))).select("_point.*", "_found.*")
+
+
 # ---------------------------------------------------------------- J7
 def clip(intervals: DataFrame, lo: str, hi: str, bounds: tuple[dt.date, dt.date]) -> DataFrame:
     """Intervals that touch ``bounds``, with ``_lo`` and ``_hi`` cut to them."""

@@ -22,9 +22,9 @@ def category_levels_ranked(inp: Inputs) -> DataFrame:
     version number (1 = newest) per category."""
     versions = inp.pos_category_history.select(
         "id", "updated_time", "name", "full_path_name", "node_depth"
-    ).distinct()
+    )
     ranked = rank_versions(
-        versions, ["id"], "updated_time", ["name", "full_path_name", "node_depth"], "rownumber"
+        versions, ["id"], "updated_time", ["name", "full_path_name", "node_depth"], "rownumber", distinct=True
     )
     return ranked.select("id", "full_path_name", "node_depth", *_levels(), "rownumber")
 

@@ -24,9 +24,13 @@ _STOCK_COLS = ["qoh", "backorder", "component_qoh", "component_backorder", "reor
 def _pos_branch(inp: Inputs) -> DataFrame:
     # The source groups each history by every selected column.  For a newest
     # row, whose order covers all those columns, that changes nothing; the stock
-    # history, whose ranks are kept, needs it.
+    # history, whose ranks are kept, needs it: it is made distinct, ranked and
+    # written in one pass, and pairs and join read that table.
     item = latest_per_key(inp.pos_item_history, ["id"], "updated_time", _ITEM_COLS, _ITEM_COLS)
-    stock = inp.pos_item_shop_history.select("id", "item_id", "shop_id", "updated_time", *_STOCK_COLS).distinct()
+    ranked = rank_versions(
+        inp.pos_item_shop_history.select("id", "item_id", "shop_id", "updated_time", *_STOCK_COLS),
+        ["id", "item_id", "shop_id"], "updated_time", _STOCK_COLS, "rn", distinct=True,
+    )
     shop = latest_per_key(inp.pos_shop_history, ["id"], "updated_time", ["name", "time_zone"], ["name", "time_zone"])
     cat = latest_per_key(inp.pos_category_history, ["id"], "updated_time", ["name", "full_path_name"], ["name"])
 
@@ -35,12 +39,11 @@ def _pos_branch(inp: Inputs) -> DataFrame:
     sh = shop.select(F.col("id").alias("_shop_id"), F.col("name").alias("shopname"), "time_zone")
     # the few shops and categories meet the newest item of each (item, shop)
     # pair; the wide history then needs one join, on the fine pair key
-    pairs = stock.select(F.col("item_id").alias("_item"), F.col("shop_id").alias("_shop")).distinct()
+    pairs = ranked.select(F.col("item_id").alias("_item"), F.col("shop_id").alias("_shop")).distinct()
     about = (
         pairs.join(it.join(ct, it["category_id"] == ct["_cat_id"]), F.col("_item") == F.col("item_key"))
         .join(sh, F.col("_shop") == sh["_shop_id"])
     )
-    ranked = rank_versions(stock, ["id", "item_id", "shop_id"], "updated_time", _STOCK_COLS, "rn")
     j = ranked.join(about, (ranked["item_id"] == about["_item"]) & (ranked["shop_id"] == about["_shop"]))
     t = F.col("updated_time")
     return j.select(

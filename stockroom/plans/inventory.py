@@ -5,16 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.functions import ITEM_UUID_SEP, as_text, epoch_to_date, epoch_to_timestamp, item_uuid, month_end, typed_null
 from stockroom.operators.conform import conform, union_conformed
 from stockroom.operators.dedup import latest_per_key, latest_per_key_per_day
-from stockroom.operators.intervals import asof_join, lead_month, month_successors, start_after_previous
+from stockroom.operators.intervals import asof_carry, asof_join, lead_month, month_successors, start_after_previous
 from stockroom.plans.items import shop_category_ids
 from stockroom.plans.schemas import INVENTORY_FACT, POS, SHOP, STOCK_SNAPSHOT
 from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
+from stockroom.sources.newest import NewestTable
 from stockroom.sources.sinks import append_snapshot, read_table
 
 # Option whose cost history the source's inspection queries look at.
@@ -37,8 +38,40 @@ def stock_snapshot(inp: Inputs, as_of: dt.date | None = None) -> DataFrame:
     )
     # a left join whose right side is filtered to its newest rows: an inner join
     j = stock.join(item.withColumnRenamed("id", "_iid"), F.col("item_id") == F.col("_iid"))
+    return _snapshot_rows(j, run_day)
+
+
+def stock_snapshots(inp: Inputs, run_days: Sequence[dt.date]) -> DataFrame:
+    """The snapshots of several run days, with one pass over each history.
+
+    The last stock row of an item, shop and day is in the snapshot of every run
+    from that day on.  The last version of an item on a day is valid until the
+    item's next day with a change.  Both are spread to the run days they cover and meet there.
+    """
+    days = sorted(set(run_days))
+    runs = F.array(*[F.lit(d) for d in days])
+    upto = F.to_date("updated_time") <= F.lit(days[-1])
+    versions = latest_per_key_per_day(
+        inp.pos_item_history.where(upto), ["id"], "updated_time", "_from", CHANGE_ORDER,
+        ["category_id", "custom_sku", "avg_cost", "description"],
+    )
+    # one row an item and day: a hot item has no more of them than there are days
+    until = F.lead("_from").over(Window.partitionBy("id").orderBy("_from"))
+    valid = versions.withColumn("_until", until)
+    covered = F.filter(runs, lambda d: (d >= F.col("_from")) & (F.col("_until").isNull() | (d < F.col("_until"))))
+    item = valid.withColumn("_run", F.explode(covered)).withColumnRenamed("id", "_iid")
+    stock = latest_per_key_per_day(
+        inp.pos_item_shop_history.where(upto), ["id", "item_id", "shop_id"], "updated_time", "inventorydate",
+        CHANGE_ORDER, ["qoh", "backorder"],
+    ).withColumn("run_day", F.explode(F.filter(runs, lambda d: d >= F.col("inventorydate"))))
+    j = stock.join(item, (F.col("item_id") == F.col("_iid")) & (F.col("run_day") == F.col("_run")))
+    return _snapshot_rows(j, F.col("run_day"))
+
+
+def _snapshot_rows(joined: DataFrame, run_day: Column) -> DataFrame:
+    """Stock rows with their item's attributes, as rows of the snapshot of ``run_day``."""
     return conform(
-        j.select(
+        joined.select(
             F.concat(as_text(run_day), F.lit("/"), as_text("shop_id"), F.lit("/"), as_text("item_id")),
             run_day,
             as_text("inventorydate"),
@@ -53,13 +86,59 @@ def stock_snapshot(inp: Inputs, as_of: dt.date | None = None) -> DataFrame:
 
 
 def stock_snapshot_history(inp: Inputs, run_days: Sequence[dt.date], path: str) -> DataFrame:
-    """The history of the runs on ``run_days``: each run's snapshot appended by
-    the writer to the table at ``path``, read back from there."""
-    for day in run_days:
-        append_snapshot(stock_snapshot(inp, day), path, STOCK_SNAPSHOT)
+    """The history of the runs on ``run_days``: their snapshots appended to the
+    table at ``path``, read back from there."""
+    append_snapshot(stock_snapshots(inp, run_days), path, STOCK_SNAPSHOT)
     return read_table(inp.spark, path).select(*[f.name for f in STOCK_SNAPSHOT.fields])
 
 
+class SnapshotJob:
+    """The daily snapshot as an increment: a run reads the changes since the last one.
+
+    It keeps the newest version of every item (``NewestTable``) and the last stock
+    row of every item, shop and day, a table partitioned by day.  A run reads the
+    changes from the day of the last run on (that day may have gone on after
+    it), replaces those days' rows, advances the items and writes its snapshot,
+    which is that of ``stock_snapshot`` for the day.  A run may be repeated.
+    """
+
+    def __init__(self, inp: Inputs, database: str, location: str):
+        self.inp, self.spark = inp, inp.spark
+        location = location.rstrip("/")
+        self.days_path, self.history_path = f"{location}/stock_days", f"{location}/stock_snapshot_history"
+        self.items = NewestTable(
+            self.spark, f"{database}.snapshot_items", f"{location}/items", ["id"], "updated_time", CHANGE_ORDER,
+            ["category_id", "custom_sku", "avg_cost", "description"],
+        )
+        self._last: dt.date | None = None
+
+    def changes(self, history: DataFrame, day: dt.date, last: dt.date | None) -> DataFrame:
+        """The rows of a change log that a run on ``day`` reads after one on ``last``."""
+        t = F.col("updated_time")
+        some = history.where(t < F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz"))
+        return some if last is None else some.where(t >= F.lit(dt.datetime.combine(last, dt.time())).cast("timestamp_ntz"))
+
+    def run(self, day: dt.date) -> DataFrame:
+        """Write the snapshot of ``day``; runs are in order of days."""
+        last = self._last
+        if last is not None and day < last:
+            raise ValueError(f"a run on {day} after one on {last}")
+        stock = latest_per_key_per_day(
+            self.changes(self.inp.pos_item_shop_history, day, last), ["id", "item_id", "shop_id"], "updated_time",
+            "inventorydate", CHANGE_ORDER, ["qoh", "backorder"],
+        )
+        append_snapshot(stock, self.days_path, partition_col="inventorydate")
+        item = self.items.advance(self.changes(self.inp.pos_item_history, day, last)).withColumnRenamed("id", "_iid")
+        kept = self.spark.read.schema(stock.schema).parquet(self.days_path)
+        j = kept.join(item, F.col("item_id") == F.col("_iid"))
+        append_snapshot(_snapshot_rows(j, F.lit(day)), self.history_path, STOCK_SNAPSHOT)
+        self._last = day
+        return self.history()
+
+    def history(self) -> DataFrame:
+        return read_table(self.spark, self.history_path).select(*[f.name for f in STOCK_SNAPSHOT.fields])
+
+
 def moves_last_of_day(inp: Inputs) -> DataFrame:
     """Last inventory move of each option and day."""
     last = latest_per_key_per_day(
@@ -110,14 +189,17 @@ def ledger_for_option(inp: Inputs, option_id: int = INSPECTED_OPTION) -> DataFra
     return led.select("*", epoch_to_timestamp("stamped").alias("stamped_time"))
 
 
-def inventory_costed(inp: Inputs, site_id: int = 1, sep: str = ITEM_UUID_SEP) -> DataFrame:
+def inventory_costed(inp: Inputs, site_id: int = 1, sep: str = ITEM_UUID_SEP, boundary: str = "global") -> DataFrame:
     """Last move per option and day with the cost valid on that day, category
-    and site product name."""
+    and site product name.
+
+    With ``boundary="per_key"`` a cost is valid since the option's own cost before,
+    so an option's intervals do not overlap and may be years long."""
     moves = moves_last_of_day(inp)
     opts = inp.shop_product_options.select(
         F.col("prod_id").alias("uuid"), "prod_id", "prod_option_id", "option_sku"
     )
-    costs = cost_intervals(inp).select(
+    costs = cost_intervals(inp, boundary=boundary).select(
         F.col("prod_option_id").alias("_c_opt"), "monthending", "startmonth", "monthlycostavg"
     )
     cat = shop_category_ids(inp).select(F.col("prod_id").alias("_cat_prod"), "categoryid")
@@ -125,7 +207,8 @@ def inventory_costed(inp: Inputs, site_id: int = 1, sep: str = ITEM_UUID_SEP) ->
         F.col("prod_id").alias("_s_prod"), "prod_name"
     )
     j = moves.join(opts, opts["prod_option_id"] == moves["option_id"])
-    j = asof_join(j, costs, [("prod_option_id", "_c_opt")], "inventorydate", "startmonth", "monthending")
+    asof = asof_carry if boundary == "per_key" else asof_join
+    j = asof(j, costs, [("prod_option_id", "_c_opt")], "inventorydate", "startmonth", "monthending")
     j = j.join(cat, j["prod_id"] == cat["_cat_prod"]).join(pss, j["prod_id"] == pss["_s_prod"], "left")
     return j.select(
         "inventorydate", "option_id", "qoh", "inventoryrownumber", "uuid", "prod_id", "prod_option_id",

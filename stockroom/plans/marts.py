@@ -25,10 +25,9 @@ def inventory_intervals(inventory: DataFrame, boundary: str = "global") -> DataF
     item and location.
     """
     if boundary == "per_key":
-        keyed = inventory.withColumn("_key", F.struct("itemuuid", "locationid"))
         led = lead_across_groups(
-            keyed, "_key", "date", INTERVAL_TIE_BREAKERS[1:], "previousrecorddate", "per_key"
-        ).drop("_key")
+            inventory, ["itemuuid", "locationid"], "date", INTERVAL_TIE_BREAKERS[1:], "previousrecorddate", "per_key"
+        )
     else:
         led = lead_across_groups(inventory, "itemuuid", "date", INTERVAL_TIE_BREAKERS, "previousrecorddate")
     return led.select(

@@ -15,12 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.operators.conform import required_column_violations as _violations
 from stockroom.plans import audit, calendar, catalog, category, channel, inventory, items, locations, marts, orders
-from stockroom.plans.schemas import REQUIRED
-from stockroom.sources.fixtures import Inputs
+from stockroom.plans.build import OBSERVED, MartTables, stored_violations
+from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
+from stockroom.sources.newest import NewestTable
 from stockroom.session import ensure_checkpoint_dir
-from stockroom.sources.sinks import materialize
 
 AS_OF = dt.date(2001, 12, 31)
 MIN_ORDER_DATE = dt.date(1998, 1, 1)
@@ -32,10 +31,9 @@ SPINE_FIRST, SPINE_LAST, SPINE_DAYS = calendar.spine_bounds(AS_OF)
 class Mart:
     """Builds the dimensions and facts of one data folder once, lazily.
 
-    Views over the inventory fact read it as a written table, as the source
-    does: the fact is computed once, its lineage is cut (a lost executor
-    recomputes from the files), and the views' several passes over it (the
-    interval lead, the range successor) read files instead of recomputing it.
+    Keys that read the inventory fact read it as a written table, as the source
+    does (``tables``): it is built when its inputs have changed, once for all
+    keys and sessions that share a catalog, and a lost executor recomputes from files.
     """
 
     def __init__(
@@ -45,6 +43,10 @@ class Mart:
         self.inp = Inputs(spark, sf_dir, staged_dir)
         self.materialize_facts = materialize_facts
         self._cache: dict[str, DataFrame] = {}
+        self.tables = MartTables(spark, sf_dir, {
+            "date_dim": lambda: self.date_dim, "item_dim": lambda: self.item_dim, "location_dim": lambda: self.location_dim,
+            "order_fact": lambda: self.order_fact, "inventory_fact": lambda: self.inventory_fact,
+        }, f"{MIN_ORDER_DATE}|{RUN_DAYS}", staged_dir)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._cache:
@@ -80,7 +82,7 @@ class Mart:
     def inventory_fact_table(self) -> DataFrame:
         if not self.materialize_facts:
             return self.inventory_fact
-        return self._get("inventory_fact_table", lambda: materialize(self.inventory_fact, "inventory_fact"))
+        return self._get("inventory_fact_table", lambda: self.tables.table("inventory_fact"))
 
     @property
     def inventory_intervals(self) -> DataFrame:
@@ -97,6 +99,31 @@ def _date_dimension(m: Mart) -> DataFrame:
     return calendar.date_dim_for_anchor(anchor)
 
 
+def _own_place(m: Mart, name: str) -> str:
+    return f"{ensure_checkpoint_dir(m.spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def _stock_snapshot_daily(m: Mart) -> DataFrame:
+    """The daily job, run by run, from an empty state."""
+    place = _own_place(m, "snapshot-daily")
+    job = inventory.SnapshotJob(m.inp, f"stockroom_daily_{place[-16:]}", place)
+    for day in RUN_DAYS:
+        job.run(day)
+    return job.history()
+
+
+def _pos_items_newest_stored(m: Mart) -> DataFrame:
+    """The newest item rows, kept since the first run day and advanced to the last day of the log."""
+    place = _own_place(m, "newest-items")
+    kept = NewestTable(
+        m.spark, f"stockroom_newest_{place[-16:]}.pos_items", place, ["id"], "updated_time", CHANGE_ORDER,
+        ["updated_time", "category_id", "custom_sku", "avg_cost", "description"],
+    )
+    log = m.inp.pos_item_history
+    kept.advance(log.where(F.to_date("updated_time") <= F.lit(RUN_DAYS[0])))
+    return kept.advance(log)
+
+
 _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "date_dimension": _date_dimension,
     "category_levels_ranked": lambda m: category.category_levels_ranked(m.inp),
@@ -117,12 +144,15 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "location_dim": lambda m: m.location_dim,
     "stock_snapshot": lambda m: inventory.stock_snapshot(m.inp, AS_OF),
     "stock_snapshot_history": lambda m: m.snapshot_history,
+    "stock_snapshot_daily": _stock_snapshot_daily,
+    "pos_items_newest_stored": _pos_items_newest_stored,
     "moves_last_of_day": lambda m: inventory.moves_last_of_day(m.inp),
     "monthly_avg_cost": lambda m: inventory.monthly_avg_cost(m.inp),
     "cost_intervals": lambda m: inventory.cost_intervals(m.inp),
     "cost_interval_for_option": lambda m: inventory.cost_interval_for_option(m.inp),
     "ledger_for_option": lambda m: inventory.ledger_for_option(m.inp),
     "inventory_costed": lambda m: inventory.inventory_costed(m.inp),
+    "inventory_costed_per_option": lambda m: inventory.inventory_costed(m.inp, boundary="per_key"),
     "inventory_fact": lambda m: m.inventory_fact,
     "pos_order_lines_latest": lambda m: orders.pos_order_lines_latest(m.inp),
     "pos_orders": lambda m: orders.pos_orders(m.inp),
@@ -143,12 +173,9 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "product_info": lambda m: catalog.product_info(m.inp),
     "option_info": lambda m: catalog.option_info(m.inp),
     "audit_monthly_avg": lambda m: audit.audit_monthly_avg(m.inp),
-    "required_column_violations": lambda m: _violations({
-        "date_dim": (m.date_dim, REQUIRED["date_dim"]),
-        "inventory_fact": (m.inventory_fact_table, REQUIRED["inventory_fact"]),
-        "item_dim": (m.item_dim, REQUIRED["item_dim"]),
-        "location_dim": (m.location_dim, REQUIRED["location_dim"]),
-    }),
+    "required_column_violations": lambda m: stored_violations(m.spark, {t: m.tables.name(t) for t in OBSERVED}),
+    "sales_weekly_view": lambda m: m.spark.table(m.tables.views()["sales_weekly"]),
+    "inventory_weekly_view": lambda m: m.spark.table(m.tables.views()["inventory_weekly"]),
 }
 
 

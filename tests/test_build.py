@@ -1,20 +1,62 @@
-"""The mart built as tables gives the same views as the registered queries."""
+"""The mart as catalog tables and views: same rows as the queries, new rows after a replace."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
 
 from stockroom.compare import spark_rows
-from stockroom.plans.build import build_mart, register_views
-from stockroom.plans.registry import AS_OF, MIN_ORDER_DATE, QUERIES, RUN_DAYS
+from stockroom.plans.build import MartTables, build_mart, put_table, stored_violations
+from stockroom.plans.inventory import SnapshotJob, stock_snapshot, stock_snapshots
+from stockroom.plans.registry import AS_OF, MIN_ORDER_DATE, QUERIES, RUN_DAYS, Mart
+from stockroom.plans.schemas import INVENTORY_FACT, ORDER_FACT
+from stockroom.sources.fixtures import Inputs
+from stockroom.sources.newest import NewestTable
+from stockroom.sources.sinks import replace_table, table_properties
 
 from paths import SF_SMALL
 
 
-def test_built_tables_and_named_views_give_the_registered_rows(spark, tmp_dir):
+def test_views_follow_their_tables_in_every_session(spark, tmp_dir):
     tables = build_mart(spark, SF_SMALL, f"{tmp_dir}/mart", RUN_DAYS, MIN_ORDER_DATE)
-    register_views(spark, tables, AS_OF)
+    other = spark.newSession()
     for key in ("sales_weekly", "inventory_weekly"):
-        assert spark_rows(spark.sql(f"SELECT * FROM {key}")) == spark_rows(QUERIES[key](spark, SF_SMALL)), key
-    assert spark.sql("SELECT count(*) FROM stockroom.inventory_fact").first()[0] == QUERIES["inventory_fact"](
-        spark, SF_SMALL
-    ).count()
+        want = spark_rows(QUERIES[key](spark, SF_SMALL))
+        assert spark_rows(spark.table(f"stockroom.{key}")) == want, key
+        assert spark_rows(other.table(f"stockroom.{key}")) == want, key
+    assert spark.table("stockroom.inventory_fact").count() == QUERIES["inventory_fact"](spark, SF_SMALL).count()
+    half = spark.table(tables["order_fact"]).where(F.xxhash64("orderuuid") % 2 == 0)
+    replace_table(half, tables["order_fact"], f"{tmp_dir}/mart/order_fact", ORDER_FACT)
+    replace_table(spark.createDataFrame([], INVENTORY_FACT), tables["inventory_fact"], f"{tmp_dir}/mart/inventory_fact", INVENTORY_FACT)
+    sales = other.table("stockroom.sales_weekly")
+    assert 0 < sales.count() < len(want[1]) and sales.agg(F.sum("qtysold")).first() == spark.table("stockroom.sales_weekly").agg(F.sum("qtysold")).first()
+    for s in (spark, other):  # no stock: the spine's uncovered days only
+        left = s.table("stockroom.inventory_weekly")
+        assert left.count() == left.where("itemuuid IS NULL").count() > 0
+
+
+def test_weekly_inventory_view_with_ties_nulls_and_one_hot_item(spark, tmp_dir):
+    """The signed parts of the view against the intervals of the fact."""
+    import random
+
+    from stockroom.plans import calendar, marts
+
+    rng = random.Random(4)
+    build_mart(spark, SF_SMALL, f"{tmp_dir}/mart", RUN_DAYS[:1], MIN_ORDER_DATE, database="stockroom_ties")
+    rows = []
+    for i in range(900):
+        item = None if rng.random() < 0.02 else ("pos/1" if i < 300 else f"shop/{rng.randrange(40)}/1")
+        day = None if rng.random() < 0.02 else dt.date(2001, 12, 1) + dt.timedelta(days=rng.randrange(40))
+        qoh = rng.choice([None, 1, 2])
+        rows.append((day, rng.choice(["a", None]), item, qoh, None, None if qoh is None else rng.randrange(9), rng.choice(["1", "2", None]), "c", "pos"))
+    rows += rows[:60]  # records repeated in full
+    fact = spark.createDataFrame(rows, "date date, sku string, itemuuid string, qoh bigint, backorder bigint, cost int, locationid string, categoryid string, source string")
+    replace_table(fact, "stockroom_ties.inventory_fact", f"{tmp_dir}/mart/inventory_fact", INVENTORY_FACT)
+    stored = spark.table("stockroom_ties.inventory_fact")
+    first, last, _ = calendar.spine_bounds(RUN_DAYS[0])
+    t = lambda n: spark.table(f"stockroom_ties.{n}")
+    want = marts.inventory_weekly(t("date_dim"), marts.inventory_intervals(stored), t("item_dim"), t("location_dim"), (first, last))
+    assert spark_rows(t("inventory_weekly")) == spark_rows(want)
 
 
 def test_rebuilding_does_not_duplicate(spark, tmp_dir):
@@ -25,3 +67,74 @@ def test_rebuilding_does_not_duplicate(spark, tmp_dir):
         counts.append([spark.read.parquet(f"{out}/stock_snapshot_history").count()]
                       + [spark.table(t).count() for t in tables.values()])
     assert counts[0] == counts[1]
+
+
+def test_mart_tables_are_built_once_per_version_of_the_inputs(spark):
+    m = Mart(spark, SF_SMALL)
+    name = m.tables.name("inventory_fact")
+    version = table_properties(spark, name)["version"]
+    again = Mart(spark, SF_SMALL)
+    assert again.tables.name("inventory_fact") == name and table_properties(spark, name)["version"] == version
+    # keys over the built fact read its files and nothing of the histories
+    for key in ("inventory_intervals", "inventory_on_spine", "inventory_weekly"):
+        plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem.parquet" not in plan.split("item_dim")[0] or key == "inventory_weekly"
+        assert "events.parquet" not in plan or key == "inventory_weekly", key
+    changed = MartTables(spark, SF_SMALL, again.tables.builders, "other parameters")
+    changed.name("inventory_fact")
+    assert table_properties(spark, name)["version"] != version
+
+
+def test_null_counts_are_those_of_the_write(spark, tmp_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stockroom_counts")
+    rows = [("1", "Main", "UTC", "pos"), ("2", None, "UTC", "shop"), ("3", None, None, "shop")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    put_table(df, "location_dim", "stockroom_counts.location_dim", f"{tmp_dir}/loc", inputs="v1")
+    kept = table_properties(spark, "stockroom_counts.location_dim")
+    assert kept["rows"] == "3" and kept["nulls.locationname"] == "2" and kept["inputs"] == "v1"
+    got = stored_violations(spark, {"location_dim": "stockroom_counts.location_dim"})
+    assert [tuple(r) for r in got.collect()] == [("location_dim", "locationname", 2)]
+
+
+# ---------------------------------------------------------------- snapshots
+def _scans(df, table: str) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count(f"{table}.parquet")
+
+
+def test_snapshots_of_several_days_take_one_scan_of_each_history(spark):
+    inp = Inputs(spark, SF_SMALL)
+    many = stock_snapshots(inp, RUN_DAYS)
+    want = stock_snapshot(inp, RUN_DAYS[0])
+    for day in RUN_DAYS[1:]:
+        want = want.unionAll(stock_snapshot(inp, day))
+    for table in ("events", "lineitem"):
+        assert _scans(many, table) == _scans(stock_snapshot(inp, AS_OF), table) < _scans(want, table)
+    assert spark_rows(many) == spark_rows(want)
+
+
+def test_daily_runs_equal_the_history_and_read_new_changes_only(spark, tmp_dir):
+    inp = Inputs(spark, SF_SMALL)
+    job = SnapshotJob(inp, "stockroom_job", f"{tmp_dir}/job")
+    for day in RUN_DAYS[:3]:
+        job.run(day)
+    got = spark_rows(job.run(RUN_DAYS[2]))  # a repeated run changes nothing
+    assert got == spark_rows(stock_snapshots(inp, RUN_DAYS[:3]))
+    plan = job.changes(inp.pos_item_history, RUN_DAYS[3], RUN_DAYS[2])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+    with pytest.raises(ValueError):
+        job.run(RUN_DAYS[0])
+
+
+def test_newest_table_reads_new_changes_only(spark, tmp_dir):
+    ts = lambda d: dt.datetime(2024, 1, d)
+    rows = [(1, ts(1), 1, "a"), (1, ts(3), 1, "b"), (2, ts(2), 1, "c"), (3, None, 1, "d"), (3, ts(1), 9, "e")]
+    late = [(2, ts(3), 1, "f"), (1, ts(3), 2, "g"), (4, ts(5), 1, "h"), (4, ts(5), 0, "i"), (2, None, 1, "j")]
+    schema = "id int, updated_time timestamp_ntz, seq int, v string"
+    log = spark.createDataFrame(rows + late, schema)
+    kept = NewestTable(spark, "stockroom_newest.t", f"{tmp_dir}/newest", ["id"], "updated_time", ["seq"], ["v"])
+    kept.advance(spark.createDataFrame(rows, schema))
+    assert kept.high_water_mark() == ts(3)
+    assert kept.new_changes(log).count() == 7  # from the mark on, and rows without a time
+    want = sorted([(1, "g"), (2, "j"), (3, "d"), (4, "h")])
+    assert sorted(tuple(r) for r in kept.advance(log).collect()) == want
+    assert sorted(tuple(r) for r in kept.advance(log).collect()) == want

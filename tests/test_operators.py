@@ -26,7 +26,7 @@ from stockroom.operators.dedup import (
     newest_first,
     rank_versions,
 )
-from stockroom.operators.intervals import asof_join, lead_across_groups, lead_month, spread_over_spine
+from stockroom.operators.intervals import asof_carry, asof_join, lead_across_groups, lead_month, spread_over_spine
 from stockroom.plans.calendar import date_dim, spine_bounds
 
 from literal_forms import (
@@ -146,6 +146,48 @@ def test_line_id_join_and_dash_separator(spark):
     assert all("/" not in r[0] for r in order_fact(inp, sep="-").select("itemuuid").collect())
 
 
+def test_ranks_of_one_key_at_one_hour_and_of_equal_rows(spark):
+    rnd = random.Random(13)
+    data = [(0, T(2024, 1, 5, 9), f"{rnd.randint(0, 300):03d}", "x") for _ in range(2500)]  # many equal rows
+    data += [(rnd.choice([None, 1, 2]), None if rnd.random() < .2 else T(2024, 1, 5, rnd.randint(0, 23)), str(i), "y") for i in range(500)]
+    df = spark.createDataFrame(data, HIST_SCHEMA).repartition(5)
+    key = ["k", "ts", "seq", "v"]
+    for distinct in (False, True):
+        given = df.distinct() if distinct else df
+        want = given.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*newest_first("ts", ["seq", "v"]))))
+        got = rank_versions(df, ["k"], "ts", ["seq", "v"], "rn", distinct=distinct)
+        assert rows(got, *key, "rn") == rows(want, *key, "rn")
+    assert rank_versions(df.limit(0), ["k"], "ts", ["seq", "v"], "rn").count() == 0
+    with pytest.raises(ValueError):
+        rank_versions(df, ["k"], "ts", ["seq"], "rn", distinct=True)
+
+
+def test_asof_carry_equals_range_join(spark):
+    """Disjoint intervals of any length, a hot key, keys without intervals, null keys and times."""
+    rnd = random.Random(23)
+    ivs = []
+    for k in [0] * 40 + list(range(1, 25)):
+        at = D(1990, 1, 1) + dt.timedelta(days=rnd.randint(0, 300) + (400 * len(ivs) if k == 0 else 0))
+        for _ in range(rnd.randint(0, 4)):
+            hi = at + dt.timedelta(days=rnd.choice([0, 3, 30, 90]) + (0 if k == 0 else rnd.choice([0, 9000])))
+            ivs.append((k, at, hi, len(ivs)))
+            at = hi + dt.timedelta(days=rnd.choice([1, 1, 5]))
+    ivs += [(None, D(2000, 1, 1), D(2001, 1, 1), -1), (3, None, D(1980, 1, 1), -2), (3, D(1985, 1, 1), D(1984, 1, 1), -3), (4, D(1980, 1, 1), None, -4)]
+    points = []
+    for i in range(3000):
+        k = 0 if i < 1200 else (None if rnd.random() < .05 else rnd.randint(1, 27))
+        points.append((k, None if rnd.random() < .03 else D(1990, 1, 1) + dt.timedelta(days=rnd.randint(-50, 25000)), i))
+    left = spark.createDataFrame(points, "k int, d date, id int").repartition(4)
+    right = spark.createDataFrame(ivs, "rk int, lo date, hi date, rid int").repartition(3)
+    for how in ("inner", "left"):
+        want = left.join(right, (left["k"] == right["rk"]) & (left["d"] >= right["lo"]) & (left["d"] <= right["hi"]), how)
+        got = asof_carry(left, right, [("k", "rk")], "d", "lo", "hi", how)
+        assert rows(got, "id", "rid") == rows(want, "id", "rid") and got.columns == want.columns
+    again = spark.createDataFrame([(1, D(2024, 1, 1), D(2024, 1, 9), 0), (1, D(2024, 1, 5), D(2024, 1, 6), 1)], right.schema)
+    with pytest.raises(Exception, match="overlap"):
+        asof_carry(left, again, [("k", "rk")], "d", "lo", "hi").count()
+
+
 def test_bucketed_ranks_equal_window_ranks_with_a_hot_key(spark):
     rnd = random.Random(11)
     data = []

@@ -83,7 +83,7 @@ def test_no_single_task_above_a_fact(spark, large_tables, key):
     nodes = [(d, t) for d, t in _nodes(plan(QUERIES[key](spark, SF_SMALL))) if not re.match("InputAdapter|Project|Filter|Sort ", t)]
     for (_, text), (_, below) in zip(nodes, nodes[1:], strict=False):
         if text.startswith("Exchange SinglePartition"):
-            assert re.match("HashAggregate|Generate|Range|SortMergeJoin|LocalTableScan|Window", below), below
+            assert re.match("(Hash|Sort|ObjectHash)Aggregate|Generate|Range|SortMergeJoin|LocalTableScan|Window|TakeOrdered|GlobalLimit|LocalLimit", below), below
 
 
 def test_months_are_aggregated_before_any_exchange_on_the_month(spark, large_tables):
@@ -104,3 +104,72 @@ def test_weekly_inventory_joins_each_dimension_once(spark, large_tables):
     p = plan(QUERIES["inventory_weekly"](spark, SF_SMALL))
     assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[itemuuid#\d+\]", p)) == 1
     assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[_lkey#\d+", p)) == 1
+
+
+@pytest.fixture()
+def written(monkeypatch):
+    """The frames that the ordered scans write, unexecuted plans included, by name."""
+    from stockroom.operators import ordered
+
+    frames, write = [], ordered.materialize
+
+    def spy(df, name):
+        frames.append((name, plan(df)))
+        return write(df, name)
+
+    monkeypatch.setattr(ordered, "materialize", spy)
+    return frames
+
+
+def _exchanges(p: str) -> list[str]:
+    return re.findall(r"(?:Broadcast)?Exchange \w+", p)
+
+
+def test_interval_lead_shuffles_the_fact_once(spark, large_tables, written):
+    from stockroom.plans.marts import inventory_intervals
+    from stockroom.plans.registry import Mart
+
+    led = inventory_intervals(Mart(spark, SF_SMALL).inventory_fact_table)
+    (name, p), = written
+    assert name == "interval-order" and _exchanges(p) == ["Exchange rangepartitioning"]
+    # after that only one row a range moves: the ends of the ranges, and they are broadcast
+    p = plan(led)
+    for m in re.finditer(r"Exchange (hashpartitioning|SinglePartition)[^\n]*\n([^\n]*)", p):
+        assert re.search(r"Aggregate|Sort ", m[2]), m[0]
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
+
+
+def test_version_ranks_shuffle_the_wide_rows_once(spark, large_tables, written, tmp_dir):
+    from stockroom.plans.registry import build
+    from stockroom.sources.fixtures import stage_inputs
+
+    stage_inputs(spark, SF_SMALL, f"{tmp_dir}/staged", 2)
+    for key in ("category_levels_ranked", "discounted_orders_ranked", "channel_inventory"):
+        written.clear()
+        p = plan(build(key, spark, SF_SMALL, f"{tmp_dir}/staged"))
+        (name, scan), = written
+        # distinct and rank in one pass; what follows reads the written table
+        assert name == "version-order" and _exchanges(scan) == ["Exchange rangepartitioning"]
+        assert "Window" not in scan and "Aggregate" not in scan
+        assert not re.search("staged/pos_(category|order|item_shop)_history", p) or key == "channel_inventory"
+        assert "staged/pos_item_shop_history" not in p
+
+
+def test_carried_asof_join_shuffles_points_and_intervals_once(spark, large_tables, written):
+    from stockroom.operators.intervals import asof_carry
+
+    left = spark.range(100).selectExpr("id % 7 AS k", "date_add(DATE'2024-01-01', cast(id AS int)) AS d")
+    right = spark.range(7).selectExpr("id AS rk", "DATE'1900-01-01' AS lo", "DATE'2100-01-01' AS hi")
+    out = asof_carry(left, right, [("k", "rk")], "d", "lo", "hi")
+    (_, p), = written
+    assert _exchanges(p) == ["Exchange rangepartitioning"] and "Generate" not in p
+    assert out.count() == 100 and "SortMergeJoin" not in plan(out)
+
+
+def test_keys_over_the_built_fact_do_not_plan_the_snapshots(spark, large_tables):
+    QUERIES["inventory_intervals"](spark, SF_SMALL)
+    for key in ("inventory_intervals", "inventory_on_spine", "required_column_violations"):
+        p = plan(QUERIES[key](spark, SF_SMALL))
+        assert "lineitem" not in p and "events" not in p, key
+    p = plan(QUERIES["inventory_weekly_view"](spark, SF_SMALL))
+    assert "lineitem" not in p and "events" not in p

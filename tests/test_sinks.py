@@ -37,6 +37,19 @@ def test_replace_table_checks_declared_rules_and_keeps_the_old_version(spark, tm
     assert [tuple(r) for r in spark.table("loc_rules").collect()] == [("1", "Main", "UTC", "pos")]
 
 
+def test_old_versions_are_removed_and_readers_keep_theirs(spark, tmp_dir):
+    import os
+
+    where = f"{tmp_dir}/kept"
+    frames = []
+    for i in range(4):
+        replace_table(spark.range(i + 1).withColumn(f"c{i}", F.lit(i)), "kept_versions", where)
+        frames.append(spark.table("kept_versions"))
+    assert len([d for d in os.listdir(where) if d.startswith("version-")]) == 2
+    assert frames[-1].count() == 4 and frames[-2].count() == 3  # a plan on the version before still reads it
+    assert [r["tableName"] for r in spark.sql("SHOW TABLES LIKE 'kept_versions*'").collect() if "__version_" not in r["tableName"]] == ["kept_versions"]
+
+
 def test_cluster_needs_a_shared_checkpoint_folder():
     from types import SimpleNamespace
 
