@@ -104,10 +104,16 @@ def _values(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
 
 
 def _outside(text: str, spans: list[tuple[int, int, int]], pattern: re.Pattern) -> list[tuple[int, int]]:
-    """Matches of ``pattern`` that no span touches."""
-    if not spans:
-        return [m.span() for m in pattern.finditer(text)]
-    return [m.span() for m in pattern.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
+    """Matches of ``pattern`` that no span touches; both come in order and are passed once."""
+    out, at, reached = [], 0, 0
+    for m in pattern.finditer(text):
+        start, end = m.span()
+        while at < len(spans) and spans[at][0] < end:
+            reached = max(reached, spans[at][2])
+            at += 1
+        if reached <= start:
+            out.append((start, end))
+    return out
 
 
 @dataclass(frozen=True)
@@ -196,9 +202,14 @@ def _random_parts(text: str, base: list[tuple[int, int, int]], model: MarkovMode
     length goes, unless it is made of names and does not favour the random model
     as much per character.
     """
+    at, touching = 0, []
     for m in _TOKEN.finditer(text):
         start, end = m.span()
-        touching = [x for x in base if x[0] < end and start < x[2]]
+        touching = [x for x in touching if x[2] > start]  # spans overlap a few at a time
+        while at < len(base) and base[at][0] < end:
+            if base[at][2] > start:
+                touching.append(base[at])
+            at += 1
         if not touching:
             if model.is_random(m[0]):
                 yield start, end
