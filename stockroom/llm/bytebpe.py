@@ -22,6 +22,7 @@ import codecs
 import hashlib
 import os
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -34,8 +35,11 @@ from pyspark.sql import functions as F
 from stockroom.llm.common import col, fresh
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
-# Pieces kept per worker; beyond it the memory is started anew.
-MEMORY_PIECES = 400_000
+# Bytes of the pieces kept per worker; beyond it the memory is started anew.  Longer
+# pieces than LONGEST_PIECE (a text without blanks is one) are encoded each time.
+MEMORY_BYTES = 120_000_000
+LONGEST_PIECE = 64
+_ID_BYTES = 32  # of a whole number object
 JOINED_PIECES = 64
 
 # Fixed value: the white space of the split pattern's \\s, as a character class.
@@ -85,10 +89,14 @@ class Codec:
         self.bytes_of = {rank: bytes(byte_of[c] for c in token) for token, rank in vocab.items()}
         self._width = {rank: len(token) for rank, token in self.bytes_of.items()}
         self._memory: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        memory = self._memory
-        new = list(set(pieces).difference(memory))
+        self._bytes = 0
+
+    def _learn(self, pieces: list[str]) -> dict[str, tuple[int, ...]]:
+        """Remember the ids of the pieces; those of pieces too long for that are returned."""
+        memory: dict[str, tuple[int, ...]] = {}
+        new = set(pieces).difference(self._memory)
+        long = {p: tuple(self._tokenizer.encode(p, add_special_tokens=False).ids) for p in new if len(p) > LONGEST_PIECE}
+        new = list(new.difference(long))
         # pieces that start with white space and end visibly stay apart when
         # joined, so one call serves many of them
         joined = [p for p in new if p[0] in _WHITE and p[-1] not in _WHITE]
@@ -106,16 +114,22 @@ class Codec:
                 first = last
         for p in set(new).difference(joined):
             memory[p] = tuple(self._tokenizer.encode(p, add_special_tokens=False).ids)
+        self._memory.update(memory)
+        self._bytes += sum(map(sys.getsizeof, memory)) + sum(sys.getsizeof(x) + _ID_BYTES * len(x) for x in memory.values())
+        return long
 
     def encode(self, text: str) -> list[int]:
         pieces = _PIECE.findall(text)
-        if len(self._memory) > MEMORY_PIECES:
+        if self._bytes > MEMORY_BYTES:
             self._memory.clear()
+            self._bytes = 0
         memory = self._memory
         try:
             return list(chain.from_iterable(map(memory.__getitem__, pieces)))
         except KeyError:
-            self._learn(pieces)
+            long = self._learn(pieces)
+            if long:
+                return list(chain.from_iterable(long[p] if len(p) > LONGEST_PIECE else memory[p] for p in pieces))
             return list(chain.from_iterable(map(memory.__getitem__, pieces)))
 
     def encode_with_offsets(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:

@@ -40,8 +40,12 @@ END_ID = 2
 CAPACITY = 4096
 OPEN_WINDOWS = 256
 FAN_IN = 32
-# Words remembered per worker, in two generations: frequent words stay.
+# Words remembered per worker, in two generations: frequent words stay.  The memory is
+# bounded by its bytes, WORD_BYTES for each of these words; longer words than
+# LONGEST_WORD (a line of Chinese is one) are encoded each time.
 MEMORY_WORDS = 1_200_000
+WORD_BYTES = 200
+LONGEST_WORD = 64
 JOINED_WORDS = 128
 
 SCHEMA = (
@@ -70,7 +74,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
-        self._most = memory_words
+        self._most, self._bytes = WORD_BYTES * memory_words, 0
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
@@ -86,14 +90,21 @@ class WordEncoder:
         """Take up what the older generation knows; the words that are new."""
         new = words.difference(self._memory)
         again = [w for w in new if w in self._old]
-        self._memory.update((w, self._old[w]) for w in again)
+        self._keep({w: self._old[w] for w in again})
         return new.difference(again)
 
-    def _learn(self, words: list[str], latin: bool) -> None:
+    def _keep(self, ids: dict[str, bytes]) -> None:
+        self._memory.update(ids)
+        self._bytes += sum(map(sys.getsizeof, ids)) + sum(map(sys.getsizeof, ids.values()))
+
+    def _learn(self, words: list[str], latin: bool) -> dict[str, bytes]:
+        """Remember the ids of the words; those of words too long for that are returned."""
         known = self._memory
         new = self._recall(set(words))
         if not new:
-            return
+            return {}
+        long = {w: array("I", self._tokenizer.encode(w, add_special_tokens=False).ids).tobytes() for w in new if len(w) > LONGEST_WORD}
+        new = new.difference(long)
         # a word of Latin letters and one closing mark are split by the tokenizer as well
         marked = [w for w in new if w[-1] in ".,!?" and w[:-1].isalpha()] if latin else []
         plain = new.difference(marked)
@@ -108,11 +119,12 @@ class WordEncoder:
             ids = np.array(self._tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
             ends = ((np.flatnonzero(self._closes[ids]) + 1) * 4).tolist()
             data = ids.tobytes()
-            known.update((w, data[x:y]) for w, x, y in zip(part, [0, *ends], ends, strict=False))
+            self._keep({w: data[x:y] for w, x, y in zip(part, [0, *ends], ends, strict=False)})
             assert len(ends) == len(part) and ends[-1] == len(data)
-        for w in plain.difference(letters):
-            known[w] = array("I", self._tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
-        known.update((w, known[w[:-1]] + known[w[-1]]) for w in marked)
+        rest = plain.difference(letters)
+        self._keep({w: array("I", self._tokenizer.encode(w, add_special_tokens=False).ids).tobytes() for w in rest})
+        self._keep({w: known[w[:-1]] + known[w[-1]] for w in marked})
+        return long
 
     def __call__(self, text: str) -> bytes:
         try:
@@ -122,9 +134,11 @@ class WordEncoder:
         except UnicodeEncodeError:
             latin = False
         words = text.replace("\n", " ").split(" ")
-        if len(self._memory) > self._most // 2:
-            self._old, self._memory = self._memory, {"": b""}
-        self._learn(words, latin)
+        if self._bytes > self._most // 2:
+            self._old, self._memory, self._bytes = self._memory, {"": b""}, 0
+        long = self._learn(words, latin)
+        if long:
+            return b"".join([long[w] if len(w) > LONGEST_WORD else self._memory[w] for w in words])
         return b"".join(map(self._memory.__getitem__, words))
 
 
@@ -273,7 +287,7 @@ def _merge(
 def pack_documents(docs: DataFrame, memory_words: int = MEMORY_WORDS) -> DataFrame:
     """The contract's packing, with the crc of each piece's ids instead of the ids.
 
-    ``memory_words`` trades a worker's memory (about 200 bytes a word) for time.
+    ``memory_words`` trades a worker's memory (``WORD_BYTES`` each) for time.
     """
     path = public_tokenizers.path(TOKENIZER_FILE)
     packed = pack(docs.select("doc_id", "text"), lambda: word_encoder(path, memory_words))
