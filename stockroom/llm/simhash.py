@@ -126,39 +126,31 @@ class GrayIndex:
         return q, node
 
 
-def forest(prints: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among distinct fingerprints, as index pairs of ``prints``."""
-    n = len(prints)
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    if n <= 64:
-        near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= most
-        left, right = np.nonzero(np.triu(near, 1))
-        found = [(left, right)]
-    else:
-        index = GrayIndex(prints)
-        place = np.argsort(gray_rank(prints), kind="stable")
-
-        def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for i in range(0, n, _QUERIES):
-                q, node = index.search(prints[i : i + _QUERIES], most)
-                q, other = q + i, place[node]
-                yield q[q < other], other[q < other]
-
-        found = blocks()
-    out = []
-    for left, right in found:
-        for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            ra, rb = find(a), find(b)
-            if ra != rb:
-                parent[max(ra, rb)] = min(ra, rb)
-                out.append((a, b))
-    return out
+def forest(prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among distinct fingerprints, as index pairs of ``prints``.
+
+    Pairs whose ends are joined already are dropped at once; of the others each
+    component takes one that leads to an earlier component, until none is left.
+    """
+    labels = np.arange(len(prints))
+    index = GrayIndex(prints)
+    place = np.argsort(gray_rank(prints), kind="stable")
+    left, right = [labels[:0]], [labels[:0]]
+    for i in range(0, len(prints), _QUERIES):
+        q, node = index.search(prints[i : i + _QUERIES], most)
+        a, b = q + i, place[node]
+        while True:
+            apart = labels[a] != labels[b]
+            if not apart.any():
+                break
+            a, b = a[apart], b[apart]
+            late, first = np.unique(np.maximum(labels[a], labels[b]), return_index=True)
+            left.append(a[first])
+            right.append(b[first])
+            labels[late] = np.minimum(labels[a], labels[b])[first]
+            while not (labels[labels] == labels).all():
+                labels = labels[labels]
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _blocks(width: int, parts: int) -> list[tuple[int, int]]:
@@ -182,10 +174,11 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
 
         def flush() -> pa.RecordBatch:
             group = np.concatenate(held) if held else np.zeros(0, np.int64)
-            pairs = forest(group.view(np.uint64), max_bits) if len(group) > 1 else []
-            a = group[[x for x, _ in pairs]] if pairs else group[:0]
-            b = group[[y for _, y in pairs]] if pairs else group[:0]
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            none = np.zeros(0, np.int64)
+            left, right = forest(group.view(np.uint64), max_bits) if len(group) > 1 else (none, none)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(group[left], pa.int64()), pa.array(group[right], pa.int64())], names=["a", "b"]
+            )
 
         for batch in batches:
             part, key = np.asarray(batch.column(0)), np.asarray(batch.column(1))
