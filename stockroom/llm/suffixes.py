@@ -388,7 +388,10 @@ def distinct_texts(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     name = f"llm_texts_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
     unique.write.bucketBy(tasks, *TEXT).option("path", path).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    # the frame keeps the files and their buckets; the catalog need not list them
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:

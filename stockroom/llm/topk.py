@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.common import col, materialize, shuffle_partitions
@@ -44,12 +44,19 @@ _STEP = 1024
 
 
 def as_integers(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v, length2) of the vectors that take part."""
+    """(vec_id, v, length2) of the vectors that take part; a component whose scaled value does not fit a long is an error."""
     v = col(vector)
     whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     kept = vectors.filter(col(vec_id).isNotNull() & v.isNotNull() & F.coalesce(whole, F.lit(False)))
+
+    def whole_number(x: Column) -> Column:
+        # floor to a long would clamp without a word
+        y = x.cast("double") * scale
+        too_large = F.raise_error(F.lit("a scaled component does not fit a long")).cast("bigint")
+        return F.when(F.abs(y) >= F.lit(2.0**63), too_large).otherwise(F.floor(y))
+
     return kept.select(
-        col(vec_id).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v")
+        col(vec_id).cast("long").alias("vec_id"), F.transform(v, whole_number).alias("v")
     ).withColumn("length2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
 
 
