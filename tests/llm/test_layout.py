@@ -208,6 +208,20 @@ def test_long_vectors_read_after_short_ones(spark):
     assert out == _top([(i, v) for i, v, _ in rows], 4, 500)
 
 
+def test_components_beyond_a_long_are_an_error(spark):
+    rows = [(0, [1e17, 2.0**-10]), (100, [1.0, 1.0]), (3, [2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_rows(df).collect()
+
+
+def test_clashing_columns_of_vectors(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(300)], "vec_id bigint, embedding array<float>")
+    plain = sorted(map(tuple, topk.top_rows(df).collect()))
+    more = df.selectExpr("*", "1 AS v", "2 AS length2", "3 AS score", "4 AS rank")
+    assert sorted(map(tuple, topk.top_rows(more).collect())) == plain
+
+
 def test_large_components(spark):
     rows = [(i, [2e6 * (-1) ** (i // 50), float(i), -3.0], 0) for i in range(0, 300, 50)]
     assert sorted(tuple(r) for r in topk.top_rows(_vectors(spark, rows)).collect()) == _top([(i, v) for i, v, _ in rows])

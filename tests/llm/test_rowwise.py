@@ -1,5 +1,7 @@
 """Operators 1, 4 and 7: one result per row, against plain versions."""
 
+import random
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -7,7 +9,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from stockroom.llm import bytebpe, quality, secrets
+from stockroom.llm import bytebpe, packing, quality, secrets
 
 
 def _by_text(rows):
@@ -146,3 +148,70 @@ def test_repetition_is_the_same_in_any_block(small_rows, monkeypatch):
 @pytest.mark.parametrize("rows", [secrets.secret_rows, bytebpe.codec_rows, quality.quality_rows])
 def test_empty_tables(empty, rows):
     assert rows(empty).collect() == []
+
+
+# ---- long texts and bounded memories
+def test_secrets_of_a_long_text_take_linear_time():
+    import time
+
+    model = secrets.fit(np.bincount(secrets._pairs(secrets.drawn_strings()), minlength=secrets.STATES**2),
+                        np.bincount(secrets._pairs(secrets.composed_identifiers()), minlength=secrets.STATES**2))
+    part = "token=abcdefgh12 user_name_of_the_row x9Kq2LmZ7vTrB4nWp0YdQ8sC aa11bb22cc33dd44ee55ff66 zZ9 "
+    small, large = part * 1_000, part * 120_000  # 10 MB
+    want = secrets.spans_of(small, model)
+    assert sum(k == 3 for _, k, _ in want) >= 1_000
+    start = time.process_time()
+    got = secrets.spans_of(large, model)
+    inside = secrets._outside(large, secrets.base_spans(large), secrets._IDENTIFIER)
+    assert time.process_time() - start < 120
+    assert got[: len(want) - 5] == want[: len(want) - 5] and len(got) == 120 * len(want)
+    assert inside and all(not (s < e2 and s2 < e) for (s, e), (s2, _, e2) in zip(inside[:50], secrets.base_spans(large)[:50], strict=False))
+
+
+def test_outside_equals_every_pair():
+    rng = random.Random(6)
+    for _ in range(60):
+        text = "".join(rng.choice("abcdefgh12345678_ ") for _ in range(400))
+        spans = sorted((s, 0, min(s + rng.randrange(1, 60), 400)) for s in rng.sample(range(400), rng.randrange(6)))
+        want = [m.span() for m in secrets._IDENTIFIER.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
+        assert secrets._outside(text, spans, secrets._IDENTIFIER) == want
+
+
+def test_planted_random_tokens_of_a_table_are_found(spark, small_docs):
+    """Held-out strings, drawn apart from the training sample, in the table's own texts."""
+    planted = secrets.drawn_strings(400, 30, seed=99)
+    plain = secrets.composed_identifiers(400, seed=98)
+    rows = [(r["doc_id"], r["text"]) for r in small_docs.select("doc_id", "text").collect()]
+    given = [(d, f"{t or ''} {planted[i % 400]} {plain[i % 400]} end") for i, (d, t) in enumerate(rows)]
+    df = spark.createDataFrame(given, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.secret_rows(df).select("doc_id", "spans").collect()}
+    hit = wrong = 0
+    for i, (d, t) in enumerate(given):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[d].split(",") if s]
+        covered = lambda word: any(s <= t.index(word) and t.index(word) + len(word) <= e for s, e in spans)  # noqa: B023, E731
+        hit += covered(planted[i % 400])
+        wrong += covered(plain[i % 400])
+    assert hit >= 0.95 * len(given) and wrong <= 0.02 * len(given)
+
+
+def test_word_memories_are_bounded_by_bytes():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.WordEncoder(path, 2_000)
+    codec = bytebpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rng = random.Random(4)
+    for i in range(300):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(200)) + f"\nword{i} of number {i}"
+        assert np.frombuffer(encoder(text), "<u4").tolist() == brute.word_ids(text)[:-1]
+        codec.encode(text)
+        assert encoder._bytes <= packing.WORD_BYTES * 2_000 and max(map(len, encoder._memory)) <= packing.LONGEST_WORD
+    assert max(map(len, codec._memory)) <= bytebpe.LONGEST_PIECE and codec._bytes < 1_000_000
+
+
+def test_a_text_of_20_mb_without_blanks():
+    text = "abcdefghij" * 2_000_000
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    codec = bytebpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    short = text[:200_000]
+    assert codec.decode_bytes(codec.encode(short)).decode() == short
+    assert np.frombuffer(encoder(short), "<u4").tolist() == brute.word_ids(short)[:-1]
+    assert len(encoder(text)) > 0 and encoder._bytes < 1_000 and codec._bytes < 1_000
