@@ -119,7 +119,7 @@ def inventory_weekly(
 _SALES_ITEM = ["sku", "brandname", "vendorid", "categoryid", "description", "color", "size", "attribute3"]
 
 
-def _on_calendar(spine: DataFrame, orders: DataFrame) -> DataFrame:
+def on_calendar(spine: DataFrame, orders: DataFrame) -> DataFrame:
     # the calendar is at most 366 + 4 * 365 rows: broadcast to the fact's tasks
     return orders.join(F.broadcast(spine), "date")
 
@@ -133,13 +133,18 @@ def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataF
     collapsed to distinct rows with their number, by which sums grow and to
     which averages and distinct counts do not react.
     """
-    sums = _on_calendar(spine, orders).groupBy(
+    sums = on_calendar(spine, orders).groupBy(
         week_ending("date").alias("weekending"), "year", "month", "month_name", "week_of_year", "itemuuid",
         "locationid", "source",
     ).agg(
         F.count_distinct("orderuuid").alias("ordercount"), F.sum("qty_sold").alias("_qty"),
         F.sum("price").alias("_dollars"), F.avg("discount").alias("avgpercentdiscount"),
     )
+    return with_items(sums, items)
+
+
+def with_items(sums: DataFrame, items: DataFrame) -> DataFrame:
+    """Sums per week and item joined to the items' rows."""
     # item rows that differ in their source only stay apart, as grouping keys
     it = items.groupBy("uuid", *_SALES_ITEM, F.col("source").alias("item_source")).agg(F.count(F.lit(1)).alias("_n"))
     j = sums.join(it, sums["itemuuid"] == it["uuid"], "left")
@@ -154,7 +159,7 @@ def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataF
 
 def discounted_sales_by_item(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Quantity, dollars and average discount of discounted sales per item and source."""
-    sums = _on_calendar(spine, orders.where(F.col("discount") > 0)).groupBy("itemuuid", "source").agg(
+    sums = on_calendar(spine, orders.where(F.col("discount") > 0)).groupBy("itemuuid", "source").agg(
         F.sum("qty_sold").alias("_qty"), F.sum("price").alias("_dollars"), F.avg("discount").alias("avgpercentdiscount"),
     )
     it = items.groupBy("uuid").agg(F.count(F.lit(1)).alias("_n"))

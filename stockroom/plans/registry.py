@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stockroom.plans import audit, calendar, catalog, category, channel, inventory, items, locations, marts, orders
 from stockroom.plans.build import OBSERVED, MartTables, stored_violations
+from stockroom.plans.sales_state import SalesState
 from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 from stockroom.sources.newest import NewestTable
 from stockroom.session import ensure_checkpoint_dir
@@ -124,6 +125,15 @@ def _pos_items_newest_stored(m: Mart) -> DataFrame:
     return kept.advance(log)
 
 
+def _sales_weekly_from_state(m: Mart) -> DataFrame:
+    """The state of all days, the last run day's week added once more, and the weeks from it."""
+    state = SalesState(m.spark, _own_place(m, "sales-state"))
+    state.add(m.date_dim, m.order_fact)
+    last = F.date_trunc("week", F.lit(AS_OF)).cast("date")
+    state.add(m.date_dim, m.order_fact.where(F.col("date").between(last, F.date_add(last, 6))))
+    return state.weekly(m.item_dim)
+
+
 _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "date_dimension": _date_dimension,
     "category_levels_ranked": lambda m: category.category_levels_ranked(m.inp),
@@ -174,6 +184,7 @@ _BUILDERS: dict[str, Callable[[Mart], DataFrame]] = {
     "option_info": lambda m: catalog.option_info(m.inp),
     "audit_monthly_avg": lambda m: audit.audit_monthly_avg(m.inp),
     "required_column_violations": lambda m: stored_violations(m.spark, {t: m.tables.name(t) for t in OBSERVED}),
+    "sales_weekly_from_state": _sales_weekly_from_state,
     "sales_weekly_view": lambda m: m.spark.table(m.tables.views()["sales_weekly"]),
     "inventory_weekly_view": lambda m: m.spark.table(m.tables.views()["inventory_weekly"]),
 }

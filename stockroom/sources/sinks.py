@@ -86,14 +86,18 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def append_snapshot(df: DataFrame, path: str, schema: StructType | None = None, partition_col: str = "insertdate") -> None:
-    """``INSERT INTO history SELECT`` for one run day.  The history is
+def append_snapshot(
+    df: DataFrame, path: str, schema: StructType | None = None, partition_col: str | Sequence[str] = "insertdate"
+) -> None:
+    """``INSERT INTO history SELECT`` for one or more run days.  The history is
     partitioned by run day and written with dynamic partition overwrite, so a
     rerun of a day replaces that day instead of appending it twice, and other
     days are untouched."""
+    partitions = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     out = conform(df, schema) if schema is not None else df
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col).parquet(path))
+    # a partition comes from as few tasks as its size allows, so it has few files
+    (out.hint("rebalance", *[F.col(c) for c in partitions]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions).parquet(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The mart as catalog tables and views: same rows as the queries, new rows after a replace."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,36 @@ def test_newest_table_reads_new_changes_only(spark, tmp_dir):
     want = sorted([(1, "g"), (2, "j"), (3, "d"), (4, "h")])
     assert sorted(tuple(r) for r in kept.advance(log).collect()) == want
     assert sorted(tuple(r) for r in kept.advance(log).collect()) == want
+
+
+# ---------------------------------------------------------------- weekly sales state
+def test_a_week_is_rebuilt_from_its_own_days(spark, tmp_dir):
+    from stockroom.plans import marts
+    from stockroom.plans.calendar import date_dim
+    from stockroom.plans.sales_state import SalesState
+
+    d = lambda n: dt.date(2001, 11, n)
+    schema = "date date, itemuuid string, orderuuid string, qty_sold bigint, price decimal(10,2), discount decimal(38,0), locationid string, source string"
+    rows = [
+        (d(5), "i1", "o1", 1, 10, 1, "1", "pos"), (d(6), "i1", "o1", 2, 20, 2, "1", "pos"), (d(7), "i1", "o2", 3, 30, -2, "1", "pos"),
+        (d(7), "i1", None, 1, 5, None, "1", "pos"), (d(8), "i2", "o1", 1, 10, None, None, "shop"), (d(12), "i1", "o1", 4, 40, 0, "1", "pos"),
+        (d(13), None, "o9", 4, 40, -1, "1", "pos"), (d(13), None, "o9", 4, 40, -1, "1", "pos"), (d(14), None, "o8", 1, 4, 0, "1", "pos"),
+    ]
+    from decimal import Decimal
+
+    orders = spark.createDataFrame(
+        [(a, b, c, q, Decimal(p), None if x is None else Decimal(x), loc, s) for a, b, c, q, p, x, loc, s in rows], schema
+    )
+    items = spark.createDataFrame([("s", "i1", "b", "v", "c", "d", "red", "L", "x", "pos")] * 2, Mart(spark, SF_SMALL).item_dim.schema)
+    spine = date_dim(spark, AS_OF)
+    state = SalesState(spark, f"{tmp_dir}/state")
+    state.add(spine, orders.where(F.col("date") != d(7)))
+    state.add(spine, orders.where(F.col("date") == d(7)))  # a new day
+    state.add(spine, orders.where(F.col("date") == d(7)))  # and again
+    want = marts.sales_weekly(spine, orders, items)
+    assert spark_rows(state.weekly(items)) == spark_rows(want)
+    assert state.weekly(items).schema.simpleString() == want.schema.simpleString()
+    week = state.weekly(items, [d(11)])
+    assert spark_rows(week) == spark_rows(want.where(F.col("weekending") == d(11)))
+    p = week._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*weekending#\d+ = 2001-11-11", p), p
