@@ -5,11 +5,10 @@ Two kinds of paragraphs of a text take part, each compared with its own kind.
 *Lines* of ``MIN_WORDS``+ words.  Equal lines are one node.  A node's set of word
 shingles gives a MinHash signature whose bands are tuned for a recall of
 ``RECALL`` at the threshold.  Nodes that collide in a band meet in a bucket with
-their texts; the bucket verifies exact Jaccard similarity and returns a spanning
-forest of the links, never all pairs.  A bucket does not compare all members: it
-indexes the rarest shingles of each set (two sets above the threshold share one
-of these) and skips members that are linked already.  A bucket of more than
-``BUCKET`` nodes is dealt again by those same rarest shingles, which loses no link.
+their texts; the bucket verifies exact Jaccard similarity, counting shared shingles from
+posting lists in blocks, and returns each node with the first of its component, never all
+pairs.  A bucket of more than ``BUCKET`` nodes is dealt again by the shingles of least hash
+of each set (two sets above the threshold share one of these), which loses no link.
 
 *Passages*, for what lies inside a line or runs over several: every run of ``WINDOW``
 words, line ends counting as blanks, has a one-row signature, the least hash of its
@@ -33,9 +32,9 @@ empty result; extra columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,8 @@ from pyspark.sql import functions as F
 
 from stockroom.llm.common import col, materialize
 from stockroom.llm.components import components
-from stockroom.llm.passages import _bounds, _finish, anchors, blocks, rolling
+from stockroom.llm.passages import _MULTIPLIERS, _bounds, _finish, anchors, blocks, rolling
+from stockroom.llm.sketches import _M, cluster_labels, mix, shingle_sets
 
 MIN_WORDS = 20
 SHINGLE_WORDS = 5
@@ -56,6 +56,7 @@ BUCKET = 2_000
 WINDOW = 50
 PASSAGE_WORDS = 26
 _BATCH_CHARS = 1 << 21  # text worked on at once
+_SEARCHED = 2_048  # lines verified at once, or those of one key
 _FOUND = ["doc_id", "row_hash", "passage", "paragraph", "start", "end", "n_words", "hi", "lo", "bands"]
 _MULTIPLIER = 0x9E3779B97F4A7C15
 LINE, PASSAGE = "line", "passage"
@@ -81,7 +82,7 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 def band_keys(words: list[list[bytes]], bands: int, rows: int = BAND_ROWS, n: int = SHINGLE_WORDS) -> np.ndarray:
     """One signed 64-bit key per band of each list of ``n`` words or more."""
     vocab: dict[bytes, int] = defaultdict(count().__next__)
-    ids = np.fromiter((vocab[w] for some in words for w in some), np.int64)
+    ids = np.fromiter(map(vocab.__getitem__, chain.from_iterable(words)), np.int64)
     table = np.fromiter(map(xxhash.xxh3_64_intdigest, vocab), np.uint64, len(vocab))
     size = np.fromiter(map(len, words), np.int64, len(words))
     begin = np.cumsum(size) - size
@@ -110,28 +111,28 @@ def split_paragraphs(text: str, min_words: int) -> Iterator[tuple[int, int, int,
         at += len(line) + 1
 
 
-def split_passages(texts: list[str], window: int = WINDOW, size: int = PASSAGE_WORDS) -> list[list[tuple[int, int, int]]]:
-    """Per text (number of the line it starts in, start, end) of its passage paragraphs."""
-    found: list[list[np.ndarray]] = [[] for _ in texts]
+def split_passages(texts: list[str], window: int = WINDOW, size: int = PASSAGE_WORDS) -> list[np.ndarray]:
+    """Passage paragraphs of some texts, as columns: number of the text, line it starts in,
+    start, end, and the two halves of the hash of its words."""
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] * 4]  # text, first word, hash
     for words, ends, origin in blocks(texts, window):
         at = anchors(words[0], ends, window, size, places=True)
         piece = np.searchsorted(ends, at, side="right")
+        number, offset = np.array(origin).T
         begin = np.concatenate([[0], ends[:-1]])
-        for k in np.unique(piece).tolist():
-            number, offset = origin[k]
-            found[number].append(at[piece == k] - begin[k] + offset)
-    out = []
-    for text, places in zip(texts, found, strict=True):
-        if not places:
-            out.append([])
-            continue
-        first = np.unique(np.concatenate(places))  # pieces of a long text overlap
-        begin, end = _bounds(text)
-        start, stop = begin[first], end[first + size - 1]
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        line = np.searchsorted(np.flatnonzero(points == 10), start)
-        out.append(list(zip(line.tolist(), start.tolist(), stop.tolist(), strict=True)))
-    return out
+        hashes = [_finish(rolling(w, size, m)[at]).view(np.int64) for w, m in zip(words, _MULTIPLIERS, strict=True)]
+        found.append([number[piece], at - begin[piece] + offset[piece], *hashes])
+    text, first, hi, lo = (np.concatenate(c) for c in zip(*found, strict=True))
+    _, once = np.unique(np.stack([text, first]), axis=1, return_index=True)  # pieces of a long text overlap
+    text, first, hi, lo = text[once], first[once], hi[once], lo[once]
+    line, start, end = (np.zeros(len(text), np.int64) for _ in range(3))
+    for k in np.unique(text).tolist():
+        mine = slice(*np.searchsorted(text, [k, k + 1]))
+        begin, stop = _bounds(texts[k])
+        start[mine], end[mine] = begin[first[mine]], stop[first[mine] + size - 1]
+        breaks = np.flatnonzero(np.frombuffer(texts[k].encode("utf-32-le"), np.uint32) == 10)
+        line[mine] = np.searchsorted(breaks, start[mine])
+    return [text, line, start, end, hi, lo]
 
 
 def _key(words: list[bytes]) -> tuple[int, int]:
@@ -139,76 +140,32 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
 
 
-class Links:
-    """Spanning forest of the links at or above ``similarity`` in one bucket."""
-
-    def __init__(self, similarity: float):
-        self.similarity = similarity
-
-    def prefixes(self, sets: list[np.ndarray]) -> list[list[int]]:
-        """Per set, shingles such that two linked sets have one in common: the rarest here, ties by value."""
-        often = Counter(x for s in sets for x in s.tolist())
-        out = []
-        for s in sets:
-            most = len(s) - math.ceil(round(self.similarity * len(s), 9)) + 1
-            out.append(sorted(s.tolist(), key=lambda x: (often[x], x))[:most])
-        return out
-
-    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        if min(len(a), len(b)) < self.similarity * max(len(a), len(b)) - 1e-9:
-            return False
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both >= self.similarity * (len(a) + len(b) - both) - 1e-9
-
-    def __call__(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        parent = list(range(len(sets)))
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        index: dict[int, dict[int, list[int]]] = defaultdict(dict)  # shingle -> component -> members
-        out = []
-        for i, prefix in enumerate(self.prefixes(sets)):
-            for x in prefix:
-                groups = index[x]
-                for root in list(groups):
-                    members = groups[root]
-                    now = find(root)
-                    if now != root:  # merged since: keep one list per component
-                        groups.setdefault(now, []).extend(groups.pop(root))
-                        members = groups[now]
-                    if now == find(i):
-                        continue
-                    for j in members:
-                        if self.linked(sets[i], sets[j]):
-                            out.append((j, i))
-                            parent[max(find(i), now)] = min(find(i), now)
-                            break
-                groups.setdefault(find(i), []).append(i)
-        return out
-
-
 def _search(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, words) by key -> links (a, b)."""
-    links = Links(similarity)
-    held_key, nodes, texts = None, [], []
+    """Rows (key, node, words) by key -> links (a, b): each node with the first of its component in the key.
+
+    Many keys go through one count of shared shingles; a shingle counts under its key only.
+    """
+    percent = round(100 * similarity, 9)
+    nodes, texts, keys = [], [], []
 
     def flush() -> pa.RecordBatch:
-        pairs = links([shingles(t.split(b" ")) for t in texts]) if len(nodes) > 1 else []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([nodes[p[k]] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"]
-        )
+        starts = np.flatnonzero(np.append(True, np.diff(np.array(keys, np.int64)) != 0)) if keys else np.zeros(0, np.int64)
+        bucket = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys)))).astype(np.uint64)
+        found = shingle_sets([t.split(b" ") for t in texts], SHINGLE_WORDS)
+        sets = [np.unique(s ^ mix(s + k * _M)) for s, k in zip(found, bucket, strict=True)]
+        labels = cluster_labels(sets, percent) if sets else np.zeros(0, np.int64)
+        moved = np.flatnonzero(labels != np.arange(len(labels)))
+        ids = np.array(nodes, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids[labels[moved]]), pa.array(ids[moved])], names=["a", "b"])
 
     for batch in batches:
         for key, node, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if key != held_key:
-                if len(nodes) > 1:
-                    yield flush()
-                held_key, nodes, texts = key, [], []
+            if len(nodes) >= _SEARCHED and key != keys[-1]:
+                yield flush()
+                nodes, texts, keys = [], [], []
             nodes.append(node)
             texts.append(words)
+            keys.append(key)
     yield flush()
 
 
@@ -229,7 +186,7 @@ def _found(batches: Iterator[pa.RecordBatch], min_words: int, bands: int) -> Ite
 
     def send(held: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
         rows, lines, at, seen = [], [], [], set()
-        for (d, h, t), places in zip(held, split_passages([t for _, _, t in held]), strict=True):
+        for d, h, t in held:
             for number, start, end, words in split_paragraphs(t, min_words):
                 key = _key(words)
                 if key not in seen:  # a batch sends the band keys of equal lines once
@@ -237,15 +194,22 @@ def _found(batches: Iterator[pa.RecordBatch], min_words: int, bands: int) -> Ite
                     lines.append(words)
                     at.append(len(rows))
                 rows.append([d, h, False, number, start, end, len(words), *key, []])
-            for number, start, end in places:
-                words = t[start:end].encode().lower().split()
-                rows.append([d, h, True, number, start, end, len(words), *_key(words), []])
         if lines:
             for i, keys in zip(at, band_keys(lines, bands), strict=True):
                 rows[i][-1] = keys
         columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_FOUND)
 
+    def send_passages(held: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
+        text, line, start, end, hi, lo = split_passages([t for _, _, t in held])
+        ids = pa.array([d for d, _, _ in held], pa.int64()).take(pa.array(text))
+        hashes = np.array([h for _, h, _ in held], np.int64)
+        n = len(text)
+        columns = [
+            ids, hashes[text] if n else [], np.ones(n, bool), line, start, end, np.full(n, PASSAGE_WORDS), hi, lo, pa.nulls(n, kinds[-1])
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) if not isinstance(c, pa.Array) else c for c, k in zip(columns, kinds, strict=True)], names=_FOUND)
+
     held, size = [], 0
     for batch in batches:
         for d, h, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -254,8 +218,10 @@ def _found(batches: Iterator[pa.RecordBatch], min_words: int, bands: int) -> Ite
                 size += len(t)
             if size > _BATCH_CHARS:
                 yield send(held)
+                yield send_passages(held)
                 held, size = [], 0
     yield send(held)
+    yield send_passages(held)
 
 
 def classes(

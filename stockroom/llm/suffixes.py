@@ -15,14 +15,15 @@ strings with one anchor are a slice of the text around it.
    repeats; a suffix that shares its gram, but not its slice, with a neighbour
    is open.
 3. Slices of open suffixes meet by gram; all their ``length``-byte strings are
-   sorted by a multikey quicksort over tokens of several bytes, and equal
-   neighbours are repeats.  The strings of a gram that more than ``HOT``
-   suffixes share are sorted as rows of their own, as in step 2, so no group
+   taken apart token by token, as a multikey quicksort does, but by the hashes of
+   tokens: classes of two or more go on to the next token and those left are repeats.
+   That finds equal strings and orders nothing.  The strings of a gram that more than
+   ``HOT`` suffixes share are sorted as rows of their own, as in step 2, so no group
    sits in one task.
 4. The repeats of a text are merged into spans and cut out.
 
-The sort needs 64-bit token hashes beside the leading bytes; equal strings are
-told by at least 96 bits.
+The buckets are sorted by Spark, on the leading bytes and then on hashes, so the order of
+suffixes ends with their eight leading bytes; equal strings are told by at least 96 bits.
 
 Defined results: a null or empty text has no bytes and nothing to remove;
 repeated rows are copies of each other, so all bytes of such rows go if there
@@ -48,7 +49,7 @@ from stockroom.session import ensure_checkpoint_dir
 
 LENGTH = 200
 GRAM = 32
-# Bytes of a token of the multikey quicksort, suffixes of one gram from which on
+# Bytes of a token of the strings, suffixes of one gram from which on
 # their strings are sorted as rows, keys sampled for the splitters.
 TOKEN = 40
 HOT = 2_000
@@ -267,8 +268,8 @@ def _equal_rating(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def multikey_repeats(classes: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
-    """Which strings have an equal one: a quicksort token by token, in which only
-    classes of two or more go on to the next token."""
+    """Which strings have an equal one: token by token, by hash, only classes of two
+    or more go on to the next token."""
     live = np.arange(len(classes))
     group = classes.astype(np.uint64)
     for token in tokens:
