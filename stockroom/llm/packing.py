@@ -23,8 +23,9 @@ import os
 import sys
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -44,8 +45,9 @@ FAN_IN = 32
 # bounded by its bytes, WORD_BYTES for each of these words; longer words than
 # LONGEST_WORD (a line of Chinese is one) are encoded each time.
 MEMORY_WORDS = 1_200_000
-WORD_BYTES = 200
+WORD_BYTES = 240
 LONGEST_WORD = 64
+_ENTRY_BYTES = 220  # of a short word, its place in the memory and the head of its ids
 JOINED_WORDS = 128
 
 SCHEMA = (
@@ -86,21 +88,21 @@ class WordEncoder:
         self._memory: dict[str, bytes] = {"": b""}
         self._old: dict[str, bytes] = {}
 
-    def _recall(self, words: set[str]) -> set[str]:
+    def _recall(self, words: Iterable[str]) -> set[str]:
         """Take up what the older generation knows; the words that are new."""
-        new = words.difference(self._memory)
+        new = set(filterfalse(self._memory.__contains__, words))
         again = [w for w in new if w in self._old]
         self._keep({w: self._old[w] for w in again})
         return new.difference(again)
 
     def _keep(self, ids: dict[str, bytes]) -> None:
         self._memory.update(ids)
-        self._bytes += sum(map(sys.getsizeof, ids)) + sum(map(sys.getsizeof, ids.values()))
+        self._bytes += _ENTRY_BYTES * len(ids) + sum(map(len, ids.values()))
 
     def _learn(self, words: list[str], latin: bool) -> dict[str, bytes]:
         """Remember the ids of the words; those of words too long for that are returned."""
         known = self._memory
-        new = self._recall(set(words))
+        new = self._recall(words)
         if not new:
             return {}
         long = {w: array("I", self._tokenizer.encode(w, add_special_tokens=False).ids).tobytes() for w in new if len(w) > LONGEST_WORD}

@@ -81,7 +81,7 @@ def test_stages_take_odd_and_empty_tables(spark, edge, empty, stage):
 
 def test_entry_registers_the_queries():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
