@@ -35,8 +35,12 @@ from stockroom.llm.components import components
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
-# A bucket of more fingerprints than this is dealt again by its remaining bits.
+# A bucket of more fingerprints than this is dealt again by its remaining bits, until
+# at most FREE_BITS remain (so a bucket cannot hold more than 2 ** FREE_BITS), or until a
+# further deal would need more than PARTS choices of blocks (only with max_bits above 3).
 BUCKET = 2_000
+FREE_BITS = 16
+PARTS = 4_096
 FAN_OUT = 16
 _QUERIES = 512
 _HASHES = 1 << 16
@@ -159,10 +163,19 @@ def _blocks(width: int, parts: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _bits(positions: list[int]) -> F.Column:
-    """The bits of ``print`` at ``positions``, as a long key."""
+def _mask(positions: list[int]) -> int:
+    """The bits at ``positions`` as a signed long."""
     mask = sum(1 << p for p in positions)
-    return F.col("print").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _next_choices(chosen: list[list[int]], parts: int) -> list[list[int]]:
+    """Each choice of bits with each of ``parts`` blocks of its remaining bits."""
+    out = []
+    for taken in chosen:
+        free = [p for p in range(64) if p not in taken]
+        out += [taken + free[first : first + width] for first, width in _blocks(len(free), parts)]
+    return out
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
@@ -195,31 +208,29 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) ->
                 held.append(values[i:j])
         yield flush()
 
-    # (part, key, print): part numbers the chosen blocks, key holds their bits
+    # (part, key, print): part numbers the choice of bits, key holds those bits; the
+    # children of part p are p * blocks .. p * blocks + blocks - 1
+    blocks = max_bits + 1
     chosen: list[list[int]] = [[]]
-    rows, edges, depth = prints.select("print"), [], 0
+    rows, edges = prints.select(F.lit(0).alias("part"), "print"), []
     while True:
-        nexts: list[list[int]] = []
-        dealt = None
-        for number, taken in enumerate(chosen):
-            free = [p for p in range(64) if p not in taken]
-            for first, width in _blocks(len(free), max_bits + 1):
-                positions = taken + free[first : first + width]
-                mine = rows if depth == 0 else rows.filter(F.col("part") == number)
-                piece = mine.select(F.lit(len(nexts)).alias("part"), _bits(positions).alias("key"), "print")
-                dealt = piece if dealt is None else dealt.unionAll(piece)
-                nexts.append(positions)
-        depth += 1
+        chosen = _next_choices(chosen, blocks)
+        masks = F.array(*[F.lit(_mask(c)).cast("long") for c in chosen])
+        child = F.posexplode(F.slice(masks, F.col("part") * blocks + 1, blocks)).alias("child", "mask")
+        dealt = rows.select("part", "print", child).select(
+            (F.col("part") * blocks + F.col("child")).alias("part"),
+            F.col("print").bitwiseAND(F.col("mask")).alias("key"), "print",
+        )
         sizes = dealt.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket)
         sizes = materialize(sizes.select("part", "key"), "hot-buckets")
-        hot = bool(sizes.take(1)) and depth < 3
+        deeper = 64 - min(map(len, chosen)) > FREE_BITS and len(chosen) * blocks <= PARTS
+        hot = deeper and bool(sizes.take(1))
         plain = dealt.join(sizes, ["part", "key"], "left_anti") if hot else dealt
         ordered = plain.repartition("part", "key").sortWithinPartitions("part", "key", "print")
         edges.append(ordered.select("part", "key", "print").mapInArrow(search, "a bigint, b bigint"))
         if not hot:
             break
-        rows = dealt.join(sizes, ["part", "key"], "left_semi").select("part", "print").distinct()
-        chosen = nexts
+        rows = materialize(dealt.join(sizes, ["part", "key"], "left_semi").select("part", "print").distinct(), "hot-prints")
     out = edges[0]
     for more in edges[1:]:
         out = out.unionAll(more)

@@ -345,6 +345,40 @@ def test_simhash_links_join_the_right_components(spark, bucket):
     assert label([(number[a], number[b]) for a, b in edges]) == label(near.tolist())
 
 
+def test_choices_of_bits_cover_all_bits_and_end():
+    chosen, depth = [[]], 0
+    while 64 - min(map(len, chosen)) > simhash.FREE_BITS:
+        nexts = simhash._next_choices(chosen, 4)
+        for i, taken in enumerate(chosen):
+            blocks = [set(c) - set(taken) for c in nexts[4 * i : 4 * i + 4]]
+            assert set().union(*blocks) == set(range(64)) - set(taken) and sum(map(len, blocks)) == 64 - len(taken)
+        chosen, depth = nexts, depth + 1
+    assert depth == 5 and len(chosen) <= simhash.PARTS
+
+
+def test_simhash_links_of_a_cluster_that_shares_most_bits(spark):
+    # 300 fingerprints differ in 14 bits only, so that every early bucket holds all of them
+    rng = np.random.default_rng(7)
+    low = rng.choice(1 << 14, 300, replace=False).astype(np.uint64)
+    prints = np.unique(np.concatenate([low | np.uint64(0xABCD << 48), rng.integers(0, 1 << 63, 40, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "print bigint")
+    edges = simhash.links(df, 3, 20).collect()
+    root = list(range(len(prints)))
+    place = {int(p): i for i, p in enumerate(prints.view(np.int64))}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        assert bin((a ^ b) & (2**64 - 1)).count("1") <= 3
+        root[find(place[a])] = find(place[b])
+    for i, p in enumerate(prints):
+        for j in np.flatnonzero(np.bitwise_count(prints ^ p) <= 3):
+            assert find(i) == find(int(j))
+
+
 def test_components(spark):
     ensure_checkpoint_dir(spark)
     rng = random.Random(9)
