@@ -240,6 +240,13 @@ def uncovered_days(spine: DataFrame, clipped: DataFrame, day: str) -> DataFrame:
     return spine.join(F.broadcast(free), spine[day] == F.col("_d"), "left_semi")
 
 
+def dealt(intervals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rows dealt to as many tasks as the session's shuffles have, one after the
+    other or, with ``by``, by those columns."""
+    tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return intervals.repartition(tasks, *by)
+
+
 def spread_over_spine(
     spine: DataFrame, intervals: DataFrame, day: str, lo: str, hi: str, bounds: tuple[dt.date, dt.date]
 ) -> DataFrame:
@@ -249,9 +256,12 @@ def spread_over_spine(
     becomes one row per day; those rows meet the spine in an equi-join on the
     day, with the spine broadcast (its size is fixed by its definition).  Spine
     days that no interval covers are added with null interval columns.
+
+    Long intervals often lie side by side in the input, in a few files, and make most
+    of the output: the intervals are dealt out before they are expanded.
     """
     clipped = clip(intervals, lo, hi, bounds)
-    days = clipped.withColumn("_day", F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi")
+    days = dealt(clipped).withColumn("_day", F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi")
     matched = days.join(F.broadcast(spine), days["_day"] == spine[day], "inner").drop("_day")
     return matched.unionByName(uncovered_days(spine, clipped, day), allowMissingColumns=True)
 
@@ -266,6 +276,7 @@ def spread_over_weeks(
     bounds: tuple[dt.date, dt.date],
     piece_keys: Sequence[Column],
     weight: str = "_days",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """``spread_over_spine`` pre-aggregated for reporting by week.
 
@@ -275,6 +286,10 @@ def spread_over_weeks(
     per piece it touches, with the number of covered days in ``weight``; spine
     days that no interval covers give one row each (weight 1, null interval
     columns).  Sums over days are then ``sum(x * weight)``.
+
+    The intervals and the uncovered days are dealt out before they are expanded; with
+    ``by`` by those columns, so that sums grouped by them and the pieces need no
+    shuffle of the expanded rows.
     """
     clipped = clip(intervals, lo, hi, bounds)
     keyed = spine.select(F.col(day).alias("_sd"), *piece_keys)
@@ -283,7 +298,9 @@ def spread_over_weeks(
     # week end of its first day
     pieces = keyed.groupBy(*names).agg(F.min("_sd").alias("_p_lo"), F.max("_sd").alias("_p_hi"))
     pieces = pieces.withColumn("_p_week", F.date_add(F.trunc("_p_lo", "week"), 6))
-    weeks = clipped.withColumn(
+    # an uncovered day is an interval of one day without columns
+    free = uncovered_days(keyed, clipped, "_sd").select(F.col("_sd").alias("_lo"), F.col("_sd").alias("_hi"))
+    weeks = dealt(clipped.unionByName(free, allowMissingColumns=True), by).withColumn(
         "_week",
         F.explode(F.sequence(F.date_add(F.trunc("_lo", "week"), 6), F.date_add(F.trunc("_hi", "week"), 6),
                              F.expr("INTERVAL 7 DAYS"))),
@@ -291,6 +308,4 @@ def spread_over_weeks(
     touched = weeks.join(F.broadcast(pieces), weeks["_week"] == pieces["_p_week"])
     covered_days = F.datediff(F.least("_hi", "_p_hi"), F.greatest("_lo", "_p_lo")) + 1
     touched = touched.withColumn(weight, covered_days).where(F.col(weight) > 0)
-    touched = touched.drop("_lo", "_hi", "_week", "_p_lo", "_p_hi", "_p_week")
-    uncovered = uncovered_days(keyed, clipped, "_sd").drop("_sd").withColumn(weight, F.lit(1))
-    return touched.unionByName(uncovered, allowMissingColumns=True)
+    return touched.drop("_lo", "_hi", "_week", "_p_lo", "_p_hi", "_p_week")

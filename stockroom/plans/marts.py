@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions import week_ending
-from stockroom.operators.intervals import lead_across_groups, record_start, spread_over_spine, spread_over_weeks
+from stockroom.operators.intervals import clip, lead_across_groups, record_start, spread_over_spine, spread_over_weeks
 from stockroom.plans.schemas import POS
 
 # Columns that order rows of one item on one day, so that the interval lead is
@@ -46,6 +46,8 @@ def inventory_on_spine(spine: DataFrame, intervals: DataFrame, bounds: tuple[dt.
     return spread_over_spine(spine, _interval_cols(intervals), "date", "startrecorddate", "record_date", bounds)
 
 
+# Columns of a record that are keys of the weekly rows.
+_RECORD_KEYS = ["itemuuid", "sku", "categoryid", "source"]
 _WEEKLY_KEYS = [
     "year", "weekending", "month", "month_name", "week_of_year", "itemuuid", "sku", "categoryid", "source",
     "brandname", "description", "color", "size", "attribute3", "georegion",
@@ -79,37 +81,35 @@ def inventory_weekly(
     """Stock, backorder, average cost and inventory dollars per week, item and
     location group.
 
-    Same result as grouping the day-level spread, but each interval is expanded
-    only to the week pieces it touches, weighted by covered days, and the sums
-    and counts per (piece, item, location) are made before the dimensions are
-    joined, once each; a second small sum regroups by their attributes.  Each
-    average is the sum over the count, divided with the same decimal types as
-    ``avg`` so that rounding is identical.
+    Same result as grouping the day-level spread, but equal intervals of an item,
+    location and day are summed and counted first, the dimensions are joined to those
+    sums, and each is expanded only to the week pieces it touches, weighted by covered
+    days.  The sums are dealt by their item columns before they are expanded, so the
+    weekly rows, by far the most, are grouped where they are made.  Each average is the
+    sum over the count, divided with the same decimal types as ``avg`` so that
+    rounding is identical.
     """
-    iv = _interval_cols(intervals).select(
-        "record_date", "startrecorddate", "itemuuid", "sku", "categoryid", "source", "locationid", "qoh", "backorder",
-        "cost",
+    held = clip(_interval_cols(intervals), "startrecorddate", "record_date", bounds).groupBy(
+        *_RECORD_KEYS, "locationid", F.col("_lo").alias("_from"), F.col("_hi").alias("_to")
+    ).agg(
+        F.sum("qoh").alias("_qoh"), F.count("qoh").alias("_qoh_n"), F.sum("backorder").alias("_backorder"),
+        F.sum("cost").alias("_cost"), F.count("cost").alias("_cost_n"),
     )
+    it = items.select(F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3")
+    joined = _with_locations(held.join(it, held["itemuuid"] == it["_uuid"], "left").drop("_uuid"), locations)
     piece_keys = [F.col("year"), week_ending("date").alias("weekending"), F.col("month"),
                   F.col("month_name"), F.col("week_of_year")]
-    rows = spread_over_weeks(spine, iv, "date", "startrecorddate", "record_date", bounds, piece_keys)
-    w = F.col("_days")
-    narrow = rows.groupBy(
-        "year", "weekending", "month", "month_name", "week_of_year", "itemuuid", "sku", "categoryid", "source",
-        "locationid",
-    ).agg(
-        F.sum(F.col("qoh") * w).alias("_qoh"), F.sum(F.when(F.col("qoh").isNotNull(), w)).alias("_qoh_n"),
-        F.sum(F.col("backorder") * w).alias("_backorder"),
-        F.sum(F.col("cost") * w).alias("_cost"), F.sum(F.when(F.col("cost").isNotNull(), w)).alias("_cost_n"),
+    rows = spread_over_weeks(
+        spine, joined.drop("locationid"), "date", "_from", "_to", bounds, piece_keys, by=_RECORD_KEYS
     )
-    it = items.select(F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3")
-    joined = _with_locations(narrow.join(it, narrow["itemuuid"] == it["_uuid"], "left").drop("_uuid"), locations)
-    cost_sum = F.sum("_cost").cast("decimal(16,2)")
-    cost_days = F.sum("_cost_n").cast("decimal(20,0)")
-    qoh_avg = (F.sum("_qoh").cast("decimal(30,0)") / F.sum("_qoh_n").cast("decimal(20,0)")).cast("decimal(24,4)")
-    agg = joined.groupBy(*_WEEKLY_KEYS).agg(
-        F.sum("_qoh").alias("qoh_sum"),
-        F.sum("_backorder").alias("backorder_sum"),
+    w = F.col("_days")
+    cost_sum = F.sum(F.col("_cost") * w).cast("decimal(16,2)")
+    cost_days = F.sum(F.when(F.col("_cost_n") > 0, F.col("_cost_n") * w)).cast("decimal(20,0)")
+    qoh_days = F.sum(F.when(F.col("_qoh_n") > 0, F.col("_qoh_n") * w)).cast("decimal(20,0)")
+    qoh_avg = (F.sum(F.col("_qoh") * w).cast("decimal(30,0)") / qoh_days).cast("decimal(24,4)")
+    agg = rows.groupBy(*_WEEKLY_KEYS).agg(
+        F.sum(F.col("_qoh") * w).alias("qoh_sum"),
+        F.sum(F.col("_backorder") * w).alias("backorder_sum"),
         (cost_sum / cost_days).cast("decimal(10,6)").alias("avg_cost"),
         (cost_sum * qoh_avg).alias("inventorydollars"),
     )

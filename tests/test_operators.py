@@ -393,3 +393,35 @@ def test_weekly_pieces_equal_day_level_weekly(spark):
     a = rows(inventory_weekly_by_day(spine, iv, items, locs))
     b = rows(inventory_weekly(spine, iv, items, locs, (first, last)))
     assert a == b
+
+
+def _long_intervals_in_one_file(spark):
+    """400 intervals of a year in one partition, beside as many of a day."""
+    day = "date_add(date'2001-01-01', cast(id % 7 AS int))"
+    rows = spark.range(800, numPartitions=1).selectExpr(
+        f"{day} AS lo", f"CASE WHEN id < 400 THEN date_add({day}, 364) ELSE {day} END AS hi", "concat('i', id) AS item"
+    )
+    days = spark.sql("SELECT explode(sequence(date'2001-01-01', date'2002-06-30')) AS date")
+    return rows, days, (dt.date(2001, 1, 1), dt.date(2002, 6, 30))
+
+
+def test_long_intervals_side_by_side_are_expanded_by_many_tasks(spark):
+    from stockroom.operators.intervals import spread_over_spine
+
+    rows, days, bounds = _long_intervals_in_one_file(spark)
+    got = spread_over_spine(days, rows, "date", "lo", "hi", bounds).where("item IS NOT NULL")
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 400 * 365 + 400 and max(tasks) < sum(tasks) / 4
+
+
+def test_weekly_rows_are_made_by_many_tasks_and_grouped_there(spark):
+    from stockroom.functions import week_ending
+    from stockroom.operators.intervals import spread_over_weeks
+
+    rows, days, bounds = _long_intervals_in_one_file(spark)
+    keys = [F.year("date").alias("year"), week_ending("date").alias("weekending")]
+    got = spread_over_weeks(days, rows, "date", "lo", "hi", bounds, keys, by=["item"]).where("item IS NOT NULL")
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.agg(F.sum("_days")).first()[0] == 400 * 365 + 400 and max(tasks) < sum(tasks) / 3
+    plan = got.groupBy("item", "year", "weekending").agg(F.sum("_days"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan.split("Generate explode")[0]
