@@ -45,17 +45,20 @@ def stock_snapshots(inp: Inputs, run_days: Sequence[dt.date]) -> DataFrame:
     """The snapshots of several run days, with one pass over each history.
 
     The last stock row of an item, shop and day is in the snapshot of every run
-    from that day on.  The last version of an item on a day is valid until the
-    item's next day with a change.  Both are spread to the run days they cover and meet there.
+    from that day on.  Of an item's versions since the run before, the last is
+    valid from the run on until the next run with a change.  Both are spread to the run
+    days they cover and meet there.
     """
     days = sorted(set(run_days))
     runs = F.array(*[F.lit(d) for d in days])
-    upto = F.to_date("updated_time") <= F.lit(days[-1])
-    versions = latest_per_key_per_day(
-        inp.pos_item_history.where(upto), ["id"], "updated_time", "_from", CHANGE_ORDER,
+    changed = F.to_date("updated_time")
+    upto = changed <= F.lit(days[-1])
+    first_run = F.coalesce(*[F.when(changed <= F.lit(d), F.lit(d)) for d in days])
+    # one row an item and run, kept where the history is read
+    versions = latest_per_key(
+        inp.pos_item_history.where(upto).withColumn("_from", first_run), ["id", "_from"], "updated_time", CHANGE_ORDER,
         ["category_id", "custom_sku", "avg_cost", "description"],
     )
-    # one row an item and day: a hot item has no more of them than there are days
     until = F.lead("_from").over(Window.partitionBy("id").orderBy("_from"))
     valid = versions.withColumn("_until", until)
     covered = F.filter(runs, lambda d: (d >= F.col("_from")) & (F.col("_until").isNull() | (d < F.col("_until"))))
