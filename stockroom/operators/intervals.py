@@ -10,7 +10,7 @@ in ``tests/literal_forms.py``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
@@ -277,6 +277,7 @@ def spread_over_weeks(
     piece_keys: Sequence[Column],
     weight: str = "_days",
     by: Sequence[str] = (),
+    attach: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """``spread_over_spine`` pre-aggregated for reporting by week.
 
@@ -289,7 +290,7 @@ def spread_over_weeks(
 
     The intervals and the uncovered days are dealt out before they are expanded; with
     ``by`` by those columns, so that sums grouped by them and the pieces need no
-    shuffle of the expanded rows.
+    shuffle of the expanded rows.  ``attach`` joins columns to the intervals before that.
     """
     clipped = clip(intervals, lo, hi, bounds)
     keyed = spine.select(F.col(day).alias("_sd"), *piece_keys)
@@ -300,7 +301,7 @@ def spread_over_weeks(
     pieces = pieces.withColumn("_p_week", F.date_add(F.trunc("_p_lo", "week"), 6))
     # an uncovered day is an interval of one day without columns
     free = uncovered_days(keyed, clipped, "_sd").select(F.col("_sd").alias("_lo"), F.col("_sd").alias("_hi"))
-    weeks = dealt(clipped.unionByName(free, allowMissingColumns=True), by).withColumn(
+    weeks = dealt(attach(clipped).unionByName(free, allowMissingColumns=True), by).withColumn(
         "_week",
         F.explode(F.sequence(F.date_add(F.trunc("_lo", "week"), 6), F.date_add(F.trunc("_hi", "week"), 6),
                              F.expr("INTERVAL 7 DAYS"))),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stockroom.plans import calendar, inventory, items, locations, orders
 from stockroom.plans.schemas import DATE_DIM, INVENTORY_FACT, ITEM_DIM, LOCATION_DIM, ORDER_FACT, REQUIRED, longest
-from stockroom.plans.views import create_views
+from stockroom.plans.views import VIEW_TABLES, create_views
 from stockroom.session import ensure_checkpoint_dir
 from stockroom.sources.fixtures import DRIVER_TABLES, SOURCES, Inputs
 from stockroom.sources.sinks import replace_table, table_properties
@@ -130,6 +130,12 @@ class MartTables:
             self.name(table)
         return create_views(self.spark, self.database)
 
+    def view(self, view: str) -> DataFrame:
+        """One weekly view, over those up-to-date tables that it reads."""
+        for table in VIEW_TABLES[view]:
+            self.name(table)
+        return self.spark.table(create_views(self.spark, self.database, [view])[view])
+
 
 def stored_violations(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     """Null count of every ``NOT NULL`` column as counted while the tables were

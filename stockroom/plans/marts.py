@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.functions import week_ending
@@ -96,11 +96,15 @@ def inventory_weekly(
         F.sum("cost").alias("_cost"), F.count("cost").alias("_cost_n"),
     )
     it = items.select(F.col("uuid").alias("_uuid"), "brandname", "description", "color", "size", "attribute3")
-    joined = _with_locations(held.join(it, held["itemuuid"] == it["_uuid"], "left").drop("_uuid"), locations)
+
+    def with_dimensions(rows: DataFrame) -> DataFrame:
+        joined = rows.join(it, rows["itemuuid"] == it["_uuid"], "left").drop("_uuid")
+        return _with_locations(joined, locations).drop("locationid")
+
     piece_keys = [F.col("year"), week_ending("date").alias("weekending"), F.col("month"),
                   F.col("month_name"), F.col("week_of_year")]
     rows = spread_over_weeks(
-        spine, joined.drop("locationid"), "date", "_from", "_to", bounds, piece_keys, by=_RECORD_KEYS
+        spine, held, "date", "_from", "_to", bounds, piece_keys, by=_RECORD_KEYS, attach=with_dimensions
     )
     w = F.col("_days")
     cost_sum = F.sum(F.col("_cost") * w).cast("decimal(16,2)")
@@ -116,6 +120,7 @@ def inventory_weekly(
     return agg.select(*_WEEKLY_OUT)
 
 
+_CALENDAR = ["weekending", "year", "month", "month_name", "week_of_year"]
 _SALES_ITEM = ["sku", "brandname", "vendorid", "categoryid", "description", "color", "size", "attribute3"]
 
 
@@ -129,25 +134,31 @@ def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataF
 
     Location and the item's source are grouping keys that are not output, so
     visible keys can repeat, as in the source.  The fact is aggregated before
-    the item join (so a best-seller's rows shrink in the map tasks); items are
+    the item join (so a best-seller brings one row a week and location to it); items are
     collapsed to distinct rows with their number, by which sums grow and to
     which averages and distinct counts do not react.
     """
-    sums = on_calendar(spine, orders).groupBy(
-        week_ending("date").alias("weekending"), "year", "month", "month_name", "week_of_year", "itemuuid",
-        "locationid", "source",
-    ).agg(
+    # days are numbered by the calendar columns of their rows; the number stands for these until the sums are made
+    days = spine.select("date", week_ending("date").alias("weekending"), *_CALENDAR[1:]).withColumn(
+        "_piece", F.dense_rank().over(Window.orderBy(*_CALENDAR))
+    )
+    group = ["_piece", "itemuuid", "locationid", "source"]
+    # a week's rows of an item and location meet once, for their sums and their orders
+    sums = on_calendar(days.select("date", "_piece"), orders).repartition(*group).groupBy(*group).agg(
         F.count_distinct("orderuuid").alias("ordercount"), F.sum("qty_sold").alias("_qty"),
         F.sum("price").alias("_dollars"), F.avg("discount").alias("avgpercentdiscount"),
     )
-    return with_items(sums, items)
+    return with_items(sums, items, days.select("_piece", *_CALENDAR).distinct())
 
 
-def with_items(sums: DataFrame, items: DataFrame) -> DataFrame:
-    """Sums per week and item joined to the items' rows."""
+def with_items(sums: DataFrame, items: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+    """Sums per week and item joined to the items' rows; with ``pieces`` the calendar
+    columns are those of the sum's ``_piece``."""
     # item rows that differ in their source only stay apart, as grouping keys
     it = items.groupBy("uuid", *_SALES_ITEM, F.col("source").alias("item_source")).agg(F.count(F.lit(1)).alias("_n"))
     j = sums.join(it, sums["itemuuid"] == it["uuid"], "left")
+    if pieces is not None:
+        j = j.join(F.broadcast(pieces), "_piece")
     n = F.coalesce("_n", F.lit(1))
     return j.select(
         "weekending", "year", "month", "month_name", "week_of_year", "itemuuid", "ordercount",

@@ -25,11 +25,14 @@ _GROUP = ["weekending", "year", "month", "month_name", "week_of_year", "itemuuid
 
 def daily_orders(spine: DataFrame, orders: DataFrame) -> DataFrame:
     """State rows of the orders' days: sums per day, group and order."""
-    keyed = on_calendar(spine, orders).withColumn("weekending", week_ending("date"))
-    return keyed.groupBy(*_GROUP, "date", "orderuuid").agg(
+    # the calendar's columns join the sums: they follow from the day
+    sold = orders.join(F.broadcast(spine.select("date")), "date", "left_semi")
+    sums = sold.groupBy("date", "itemuuid", "locationid", "source", "orderuuid").agg(
         F.sum("qty_sold").alias("qty"), F.sum("price").alias("dollars"), F.sum("discount").alias("discount"),
         F.count("discount").alias("discount_n"),
     )
+    keyed = on_calendar(spine, sums).withColumn("weekending", week_ending("date"))
+    return keyed.select(*_GROUP, "date", "orderuuid", "qty", "dollars", "discount", "discount_n")
 
 
 def _exact_avg(total: Column, n: Column) -> Column:
@@ -46,8 +49,9 @@ class SalesState:
 
     def add(self, spine: DataFrame, orders: DataFrame) -> None:
         """Take in the days of ``orders``, which hold those days in full."""
-        new = materialize(daily_orders(spine, orders), "sales-days")
+        new = daily_orders(spine, orders)
         if self._exists():
+            new = materialize(new, "sales-days")
             held = new.select("weekending", "date").distinct().collect()  # days of the calendar at most
             weeks, days = sorted({r["weekending"] for r in held}), sorted({r["date"] for r in held})
             kept = self.rows(weeks).where(~F.col("date").isin(days)).select(*new.columns)
@@ -69,7 +73,8 @@ class SalesState:
 
     def weekly(self, items: DataFrame, weeks: list[dt.date] | None = None) -> DataFrame:
         """The rows of ``marts.sales_weekly``, of some weeks only."""
-        orders = self.rows(weeks).groupBy(*_GROUP, "orderuuid").agg(
+        # a week's rows of a group meet once, for its orders and its sums
+        orders = self.rows(weeks).repartition(*_GROUP).groupBy(*_GROUP, "orderuuid").agg(
             *[F.sum(c).alias(c) for c in ("qty", "dollars", "discount", "discount_n")]
         )
         sums = orders.groupBy(*_GROUP).agg(

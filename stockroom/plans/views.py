@@ -12,15 +12,21 @@ item's oldest day, to the newest day of the next item.  The view therefore
 adds up signed parts: one day per record, the days before a closing record,
 and minus the day of the record that nothing precedes.  Items are put in order
 by ranges between splitters, the items with the smallest hashes, so that no
-task orders all items.
+task orders all items; an item's range is found in two steps, among every
+32nd splitter and then among 32.  Equal parts are summed and the dimensions
+joined to the sums before these are expanded to weeks; they are dealt by their item
+columns, so the weekly rows are grouped where they are made.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 # Greatest number of splitters of the item order.
 ITEM_RANGES = 1_000
+_STEP = 32
 
 _ITEM_COLUMNS = "sku, brandname, vendorid, categoryid, description, color, size, attribute3"
 _RECORD = "itemuuid, sku, categoryid, source, locationid, qoh, backorder, cost"
@@ -30,11 +36,16 @@ _WEEK_END = "date_add(trunc({day}, 'week'), 6)"
 
 def sales_weekly_sql(db: str) -> str:
     return f"""
-WITH sums AS (
+WITH dated AS (
+  -- a week's rows of an item and location meet once, for their sums and their orders
   SELECT {_WEEK_END.format(day="o.date")} AS weekending, year, month, month_name, week_of_year, itemuuid, locationid, source,
-         count(DISTINCT orderuuid) AS ordercount, sum(qty_sold) AS qty, sum(price) AS dollars, avg(discount) AS avgpercentdiscount
+         orderuuid, qty_sold, price, discount
   FROM {db}.order_fact o JOIN {db}.date_dim d ON o.date = d.date
-  GROUP BY ALL
+  DISTRIBUTE BY weekending, year, month, itemuuid, locationid, source
+), sums AS (
+  SELECT weekending, year, month, month_name, week_of_year, itemuuid, locationid, source,
+         count(DISTINCT orderuuid) AS ordercount, sum(qty_sold) AS qty, sum(price) AS dollars, avg(discount) AS avgpercentdiscount
+  FROM dated GROUP BY ALL
 ), items AS (
   SELECT uuid, {_ITEM_COLUMNS}, source AS item_source, count(*) AS n FROM {db}.item_dim
   GROUP BY uuid, {_ITEM_COLUMNS}, source
@@ -58,13 +69,21 @@ WITH spine AS (
 ), heads AS (
   SELECT itemuuid, CASE WHEN count(date) = count(*) THEN max(date) END AS head FROM closing GROUP BY itemuuid
 ), ranged AS (
-  SELECT itemuuid, head, CASE WHEN itemuuid IS NULL THEN {ITEM_RANGES + 1} ELSE size(filter(splitters, s -> s <= itemuuid)) END AS item_range
+  SELECT itemuuid, head, CASE
+           WHEN itemuuid IS NULL THEN {ITEM_RANGES + 1}
+           ELSE steps * {_STEP} + size(filter(slice(splitters.every, steps * {_STEP} + 1, {_STEP}), s -> s <= itemuuid))
+         END AS item_range
   FROM (
-    SELECT *, (
-      SELECT sort_array(collect_list(itemuuid)) FROM (
-        SELECT itemuuid FROM heads WHERE itemuuid IS NOT NULL ORDER BY xxhash64(itemuuid), itemuuid LIMIT {ITEM_RANGES}
-      )
-    ) AS splitters FROM heads
+    SELECT itemuuid, head, splitters, size(filter(splitters.steps, s -> s <= itemuuid)) AS steps
+    FROM (
+      SELECT *, (
+        SELECT named_struct('every', every, 'steps', filter(every, (s, i) -> i % {_STEP} = {_STEP - 1})) FROM (
+          SELECT sort_array(collect_list(itemuuid)) AS every FROM (
+            SELECT itemuuid FROM heads WHERE itemuuid IS NOT NULL ORDER BY xxhash64(itemuuid), itemuuid LIMIT {ITEM_RANGES}
+          )
+        )
+      ) AS splitters FROM heads
+    )
   )
 ), openings AS (
   SELECT item_range, lead(opening) OVER (ORDER BY item_range) AS next_opening FROM (
@@ -73,7 +92,8 @@ WITH spine AS (
 ), following AS (
   SELECT itemuuid, coalesce(next_head, next_opening) AS next_item FROM (
     SELECT *, lead(named_struct('date', head)) OVER (PARTITION BY item_range ORDER BY itemuuid) AS next_head FROM ranged
-  ) JOIN openings USING (item_range)
+  -- every range has its opening; an inner join would look up the range of every record for a null check
+  ) LEFT JOIN openings USING (item_range)
 ), closed AS (
   SELECT c.*, coalesce(older, next_item).date AS previous FROM (
     SELECT *, lead(named_struct('date', date)) OVER (PARTITION BY itemuuid ORDER BY date DESC NULLS FIRST) AS older FROM closing
@@ -87,40 +107,43 @@ WITH spine AS (
     SELECT sign, {_RECORD}, greatest(lo, (SELECT min(day) FROM spine)) AS lo, least(hi, (SELECT max(day) FROM spine)) AS hi
     FROM parts WHERE lo IS NOT NULL AND hi IS NOT NULL
   ) WHERE lo <= hi
+), held AS (
+  SELECT itemuuid, sku, categoryid, source, locationid, lo, hi, sum(sign) AS n,
+         sum(sign * qoh) AS qoh, sum(CASE WHEN qoh IS NOT NULL THEN sign END) AS qoh_n,
+         sum(sign * backorder) AS backorder, sum(CASE WHEN backorder IS NOT NULL THEN sign END) AS backorder_n,
+         sum(sign * cost) AS cost, sum(CASE WHEN cost IS NOT NULL THEN sign END) AS cost_n
+  FROM clipped GROUP BY ALL
+), edges AS (
+  SELECT day, sum(delta) AS delta FROM (
+    SELECT inline(array(named_struct('day', lo, 'delta', n), named_struct('day', date_add(hi, 1), 'delta', -n))) FROM held
+  ) GROUP BY day
+), covered AS (
+  SELECT day, sum(coalesce(delta, 0)) OVER (ORDER BY day) AS open FROM spine LEFT JOIN edges USING (day)
+), dealt AS (
+  SELECT * FROM (
+    SELECT h.itemuuid, h.sku, h.categoryid, h.source, i.brandname, i.description, i.color, i.size, i.attribute3,
+           l.category AS georegion, h.lo, h.hi, h.n, h.qoh, h.qoh_n, h.backorder, h.backorder_n, h.cost, h.cost_n
+    FROM held h LEFT JOIN {db}.item_dim i ON h.itemuuid = i.uuid
+    -- records without a location match nothing and are spread by their item
+    LEFT JOIN {db}.location_dim l ON coalesce(h.locationid, h.itemuuid) = l.locationid AND h.locationid IS NOT NULL
+    UNION ALL SELECT null, null, null, null, null, null, null, null, null, null, day, day, 1, null, null, null, null, null, null
+    FROM covered WHERE open = 0
+  ) DISTRIBUTE BY itemuuid, sku, categoryid, source
 ), pieces AS (
   SELECT {_PIECE}, min(day) AS first_day, max(day) AS last_day FROM spine GROUP BY {_PIECE}
 ), touched AS (
-  SELECT /*+ BROADCAST(p) */ {_PIECE}, {_RECORD},
-         sign * (datediff(least(hi, last_day), greatest(lo, first_day)) + 1) AS days
+  SELECT /*+ BROADCAST(p) */ w.*, {_PIECE}, datediff(least(hi, last_day), greatest(lo, first_day)) + 1 AS days
   FROM (
-    SELECT *, explode(sequence({_WEEK_END.format(day="lo")}, {_WEEK_END.format(day="hi")}, INTERVAL 7 DAYS)) AS week FROM clipped
-  ) JOIN pieces p ON week = p.weekending
+    SELECT *, explode(sequence({_WEEK_END.format(day="lo")}, {_WEEK_END.format(day="hi")}, INTERVAL 7 DAYS)) AS week FROM dealt
+  ) w JOIN pieces p ON week = p.weekending
   WHERE least(hi, last_day) >= greatest(lo, first_day)
-), edges AS (
-  SELECT day, sum(delta) AS delta FROM (
-    SELECT inline(array(named_struct('day', lo, 'delta', sign), named_struct('day', date_add(hi, 1), 'delta', -sign))) FROM clipped
-  ) GROUP BY day
-), covered AS (
-  SELECT {_PIECE}, sum(coalesce(delta, 0)) OVER (ORDER BY day) AS open FROM spine LEFT JOIN edges USING (day)
-), spread AS (
-  SELECT * FROM touched
-  UNION ALL SELECT {_PIECE}, null, null, null, null, null, null, null, null, 1 FROM covered WHERE open = 0
-), narrow AS (
-  SELECT {_PIECE}, itemuuid, sku, categoryid, source, locationid, sum(days) AS n,
-         sum(qoh * days) AS qoh, sum(CASE WHEN qoh IS NOT NULL THEN days END) AS qoh_n,
-         sum(backorder * days) AS backorder, sum(CASE WHEN backorder IS NOT NULL THEN days END) AS backorder_n,
-         sum(cost * days) AS cost, sum(CASE WHEN cost IS NOT NULL THEN days END) AS cost_n
-  FROM spread GROUP BY ALL
 ), sums AS (
-  SELECT {_PIECE}, n.itemuuid, n.sku, n.categoryid, n.source, i.brandname, i.description, i.color, i.size, i.attribute3,
-         l.category AS georegion,
-         CASE WHEN sum(qoh_n) > 0 THEN sum(qoh) END AS qoh_sum, nullif(sum(qoh_n), 0) AS qoh_days,
-         CASE WHEN sum(backorder_n) > 0 THEN sum(backorder) END AS backorder_sum,
-         CASE WHEN sum(cost_n) > 0 THEN CAST(sum(cost) AS DECIMAL(16,2)) END AS cost_sum, nullif(sum(cost_n), 0) AS cost_days
-  FROM narrow n LEFT JOIN {db}.item_dim i ON n.itemuuid = i.uuid
-  -- records without a location match nothing and are spread by their item
-  LEFT JOIN {db}.location_dim l ON coalesce(n.locationid, n.itemuuid) = l.locationid AND n.locationid IS NOT NULL
-  GROUP BY ALL HAVING sum(n) > 0
+  SELECT {_PIECE}, itemuuid, sku, categoryid, source, brandname, description, color, size, attribute3, georegion,
+         CASE WHEN sum(qoh_n * days) > 0 THEN sum(qoh * days) END AS qoh_sum, nullif(sum(qoh_n * days), 0) AS qoh_days,
+         CASE WHEN sum(backorder_n * days) > 0 THEN sum(backorder * days) END AS backorder_sum,
+         CASE WHEN sum(cost_n * days) > 0 THEN CAST(sum(cost * days) AS DECIMAL(16,2)) END AS cost_sum,
+         nullif(sum(cost_n * days), 0) AS cost_days
+  FROM touched GROUP BY ALL HAVING sum(n * days) > 0
 )
 SELECT weekending, year, month, month_name, week_of_year, sku, itemuuid, qoh_sum, backorder_sum,
        CAST(cost_sum / CAST(cost_days AS DECIMAL(20,0)) AS DECIMAL(10,6)) AS avg_cost,
@@ -132,8 +155,15 @@ FROM sums"""
 VIEWS = {"sales_weekly": sales_weekly_sql, "inventory_weekly": inventory_weekly_sql}
 
 
-def create_views(spark: SparkSession, database: str) -> dict[str, str]:
+# The mart tables that each view reads.
+VIEW_TABLES = {
+    "sales_weekly": ("date_dim", "item_dim", "order_fact"),
+    "inventory_weekly": ("date_dim", "item_dim", "location_dim", "inventory_fact"),
+}
+
+
+def create_views(spark: SparkSession, database: str, names: Iterable[str] = tuple(VIEWS)) -> dict[str, str]:
     """``CREATE OR REPLACE VIEW`` of the weekly views in ``database``; returns their full names."""
-    for name, text in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text(database)}")
-    return {name: f"{database}.{name}" for name in VIEWS}
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {VIEWS[name](database)}")
+    return {name: f"{database}.{name}" for name in names}

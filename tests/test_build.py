@@ -172,3 +172,34 @@ def test_a_week_is_rebuilt_from_its_own_days(spark, tmp_dir):
     assert spark_rows(week) == spark_rows(want.where(F.col("weekending") == d(11)))
     p = week._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*weekending#\d+ = 2001-11-11", p), p
+
+
+def test_a_view_builds_the_tables_that_it_reads(spark):
+    built = []
+    m = Mart(spark, SF_SMALL)
+    tables = MartTables(spark, SF_SMALL, {
+        k: (lambda k=k, b=b: built.append(k) or b()) for k, b in m.tables.builders.items()
+    }, "parameters of the test of views")
+    assert tables.view("sales_weekly").count() > 0
+    assert sorted(built) == ["date_dim", "item_dim", "order_fact"]
+
+
+def test_item_versions_of_a_snapshot_are_one_a_run(spark):
+    """An item that changes every day gives the run days' rows only, kept where the history is read."""
+    frame = stock_snapshots(Inputs(spark, SF_SMALL), RUN_DAYS[:3])
+    p = frame._jdf.queryExecution().executedPlan().toString()
+    windows = re.findall(r"WindowGroupLimit \[(.*?)\]", p)
+    assert any("_from" in w and "id#" in w for w in windows), windows
+    assert re.search(r"coalesce\(CASE WHEN .* AS _from|CASE WHEN .*2001-12-05.* AS _from", p), p
+
+
+def test_both_runs_of_the_sales_state_read_one_order_table(spark, monkeypatch):
+    from stockroom.plans import sales_state
+
+    given = []
+    monkeypatch.setattr(sales_state.SalesState, "add", lambda self, spine, orders: given.append(
+        orders._jdf.queryExecution().executedPlan().toString()
+    ))
+    monkeypatch.setattr(sales_state.SalesState, "weekly", lambda self, items, weeks=None: None)
+    QUERIES["sales_weekly_from_state"](spark, SF_SMALL)
+    assert len(given) == 2 and not [p for p in given if "lineitem" in p or "Exchange" in p]

@@ -173,3 +173,22 @@ def test_keys_over_the_built_fact_do_not_plan_the_snapshots(spark, large_tables)
         assert "lineitem" not in p and "events" not in p, key
     p = plan(QUERIES["inventory_weekly_view"](spark, SF_SMALL))
     assert "lineitem" not in p and "events" not in p
+
+
+def test_weekly_view_looks_up_ranges_of_items_and_groups_where_it_expands(spark, large_tables):
+    p = plan(QUERIES["inventory_weekly_view"](spark, SF_SMALL))
+    # no range is looked up for a record of the fact, below the first aggregate of its items
+    for line in p.split("\n"):
+        if re.match(r"[ :+|*()\d-]*Filter", line):
+            assert "lambda" not in line, line
+    nodes = [t for _, t in _nodes(p)]
+    above = nodes[:next(i for i, t in enumerate(nodes) if t.startswith("Generate explode"))]
+    assert not [t for t in above if t.startswith("Exchange hashpartitioning")]
+
+
+def test_weekly_sales_meet_once_for_sums_and_orders(spark, large_tables):
+    for key in ("sales_weekly", "sales_weekly_view", "sales_weekly_from_state"):
+        p = plan(QUERIES[key](spark, SF_SMALL))
+        dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+        assert not [e for e in dealt if "orderuuid" in e and "itemuuid" in e], (key, dealt)
+        assert len([e for e in dealt if "locationid" in e]) == 1, (key, dealt)
