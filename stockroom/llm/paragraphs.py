@@ -5,10 +5,10 @@ Two kinds of paragraphs of a text take part, each compared with its own kind.
 *Lines* of ``MIN_WORDS``+ words.  Equal lines are one node.  A node's set of word
 shingles gives a MinHash signature whose bands are tuned for a recall of
 ``RECALL`` at the threshold.  Nodes that collide in a band meet in a bucket with
-their texts; the bucket verifies exact Jaccard similarity, counting shared shingles from
-posting lists in blocks, and returns each node with the first of its component, never all
-pairs.  A bucket of more than ``BUCKET`` nodes is dealt again by the shingles of least hash
-of each set (two sets above the threshold share one of these), which loses no link.
+their texts; the bucket verifies exact Jaccard similarity, counting shared shingles in blocks
+from posting lists, or by matrix products where many of a large bucket's nodes hold them, and
+returns each node with the first of its component, never all pairs.  A bucket of more than
+``BUCKET`` nodes is dealt in slices, and every two slices meet, which loses no link.
 
 *Passages*, for what lies inside a line or runs over several: every run of ``WINDOW``
 words, line ends counting as blanks, has a one-row signature, the least hash of its
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from stockroom.llm.common import col, materialize
 from stockroom.llm.components import components
 from stockroom.llm.passages import _MULTIPLIERS, _bounds, _finish, anchors, blocks, rolling
-from stockroom.llm.sketches import _M, cluster_labels, mix, shingle_sets
+from stockroom.llm.sketches import _M, join_labels, mix
 
 MIN_WORDS = 20
 SHINGLE_WORDS = 5
@@ -57,6 +57,10 @@ WINDOW = 50
 PASSAGE_WORDS = 26
 _BATCH_CHARS = 1 << 21  # text worked on at once
 _SEARCHED = 2_048  # lines verified at once, or those of one key
+_LARGE = 128  # lines of a key that is verified on its own
+_COMMON = 16  # a shingle is common if one line in so many holds it
+_CELLS = 1 << 24  # of a matrix of common shingles
+_EXPANDED = 1 << 20  # posting entries counted at once
 _FOUND = ["doc_id", "row_hash", "passage", "paragraph", "start", "end", "n_words", "hi", "lo", "bands"]
 _MULTIPLIER = 0x9E3779B97F4A7C15
 LINE, PASSAGE = "line", "passage"
@@ -67,13 +71,6 @@ def bands_for(similarity: float = SIMILARITY, rows: int = BAND_ROWS, recall: flo
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
 
 
-def shingles(words: list[bytes], n: int = SHINGLE_WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the word n-grams, ascending; the whole sequence if it is shorter."""
-    digest = xxhash.xxh3_64_intdigest
-    got = {digest(b" ".join(words[i : i + n])) for i in range(max(len(words) - n + 1, 1))}
-    return np.sort(np.fromiter(got, np.uint64, len(got)))
-
-
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20)
     return rng.integers(0, 1 << 64, n, np.uint64) | np.uint64(1), rng.integers(0, 1 << 64, n, np.uint64)
@@ -140,32 +137,132 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
 
 
+class _Postings:
+    """Which of some texts hold a shingle; a text shares shingles with those of its bucket only.
+    ``bucket`` numbers the bucket of each text."""
+
+    def __init__(self, texts: list[bytes], bucket: np.ndarray, n: int = SHINGLE_WORDS):
+        vocab: dict[bytes, int] = defaultdict(count().__next__)
+        size = np.array([t.count(b" ") + 1 for t in texts], np.int64)
+        ids = np.fromiter(map(vocab.__getitem__, chain.from_iterable(t.split(b" ") for t in texts)), np.int64, int(size.sum()))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, vocab), np.uint64, len(vocab))[ids]
+        width = np.minimum(size, n)  # the whole text if it is shorter
+        got = size - width + 1
+        owner = np.repeat(np.arange(len(texts)), got)
+        at = np.arange(len(owner)) + np.repeat(np.cumsum(size) - size - np.cumsum(got) + got, got)
+        grams = mix(mix(bucket.astype(np.uint64) * _M) ^ np.uint64(n))[owner]
+        for k in range(int(width.max(initial=0))):
+            more = slice(None) if (width > k).all() else np.flatnonzero(width[owner] > k)
+            grams[more] = mix(grams[more] * _M + hashes[at[more] + k])
+        order = np.argsort(grams, kind="stable")  # owners ascend within a shingle
+        grams, owner = grams[order], owner[order]
+        once = np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1]))[: len(grams)]
+        grams, owner = grams[once], owner[once]
+        self.sizes = np.bincount(owner, minlength=len(texts))
+        starts = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])
+        held = np.diff(np.append(starts, len(grams)))
+        self.held = np.repeat(held, held)
+        self.rank = np.arange(len(grams)) - np.repeat(starts, held)  # place in its shingle's list
+        self.owners = owner
+
+    def shared(self, first: np.ndarray, before: np.ndarray, cells: int, some: np.ndarray) -> np.ndarray:
+        """Counts of shared shingles, by ``first[a] + before[b]``, of texts a and b < a, over the entries ``some``."""
+        counts = np.zeros(cells, np.int64)
+        width = self.rank[some]
+        cuts = np.flatnonzero(np.diff(np.cumsum(width) // _EXPANDED)) + 1
+        for part in np.split(some, cuts):
+            w = self.rank[part]
+            total = np.cumsum(w)
+            if not len(total) or not total[-1]:
+                continue
+            inside = np.arange(total[-1]) - np.repeat(total - w, w)
+            other = self.owners[np.repeat(part - w, w) + inside]
+            counts += np.bincount(np.repeat(first[self.owners[part]], w) + before[other], minlength=cells)
+        return counts
+
+
+def _linked(both: np.ndarray, a: np.ndarray, b: np.ndarray, percent: float) -> np.ndarray:
+    return 100 * both >= percent * (a + b - both)
+
+
+def _small_labels(texts: list[bytes], bucket: np.ndarray, percent: float) -> np.ndarray:
+    """The component of each text under all links within its bucket, as the number of its first text;
+    one table of counts holds all pairs of all buckets."""
+    post = _Postings(texts, bucket)
+    size = np.bincount(bucket)
+    begin = np.cumsum(size) - size
+    base = np.cumsum(size * size) - size * size
+    inside = np.arange(len(texts)) - begin[bucket]
+    counts = post.shared(base[bucket] + inside * size[bucket], inside, int((size * size).sum()), np.flatnonzero(post.rank))
+    cell = np.flatnonzero(counts)
+    of = np.searchsorted(base, cell, side="right") - 1
+    a, b = begin[of] + (cell - base[of]) // size[of], begin[of] + (cell - base[of]) % size[of]
+    ok = _linked(counts[cell], post.sizes[a], post.sizes[b], percent)
+    return join_labels(np.arange(len(texts)), a[ok], b[ok])
+
+
+def _large_labels(texts: list[bytes], percent: float) -> np.ndarray:
+    """The same of one large bucket.  Shingles that a good part of its texts hold are counted
+    by products of 0/1 matrices, the others from posting lists: no pair has a cost of its own for each shared shingle."""
+    k = len(texts)
+    post = _Postings(texts, np.zeros(k, np.int64))
+    head = np.flatnonzero((post.rank == 0) & (post.held * _COMMON >= k))
+    if len(head) * k > _CELLS:  # the most frequent ones that fit
+        head = np.sort(head[np.argsort(-post.held[head], kind="stable")[: _CELLS // k]])
+    column = np.full(len(post.owners), -1)
+    column[head] = np.arange(len(head))
+    column = np.where(post.held > 1, column[np.arange(len(column)) - post.rank], -1)
+    common = column >= 0
+    matrix = np.zeros((k, len(head)), np.float32)
+    matrix[post.owners[common], column[common]] = 1
+    rest = np.flatnonzero(~common & (post.rank > 0))
+    rest = rest[np.argsort(post.owners[rest], kind="stable")]
+    place, labels = np.arange(k), np.arange(k)
+    step = max(1, min(256, _EXPANDED // k))
+    for i in range(0, k, step):
+        stop = min(i + step, k)
+        some = rest[slice(*np.searchsorted(post.owners[rest], [i, stop]))]
+        both = post.shared((place - i) * stop, place, (stop - i) * stop, some).reshape(-1, stop)
+        both += (matrix[i:stop] @ matrix[:stop].T).astype(np.int64)  # whole numbers below 2**24: exact
+        a, b = np.nonzero(_linked(both, post.sizes[i:stop, None], post.sizes[None, :stop], percent))
+        labels = join_labels(labels, a + i, b)
+    return labels
+
+
 def _search(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, words) by key -> links (a, b): each node with the first of its component in the key.
 
-    Many keys go through one count of shared shingles; a shingle counts under its key only.
+    Many small keys go through one count of shared shingles.
     """
     percent = round(100 * similarity, 9)
-    nodes, texts, keys = [], [], []
+    nodes, texts, starts, held = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
-        starts = np.flatnonzero(np.append(True, np.diff(np.array(keys, np.int64)) != 0)) if keys else np.zeros(0, np.int64)
-        bucket = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys)))).astype(np.uint64)
-        found = shingle_sets([t.split(b" ") for t in texts], SHINGLE_WORDS)
-        sets = [np.unique(s ^ mix(s + k * _M)) for s, k in zip(found, bucket, strict=True)]
-        labels = cluster_labels(sets, percent) if sets else np.zeros(0, np.int64)
+        size = np.diff(np.append(np.array(starts, np.int64), len(nodes)))
+        large = size >= _LARGE
+        labels = np.arange(len(nodes))
+        at = np.flatnonzero(np.repeat(~large, size))
+        if len(at):
+            bucket = np.repeat(np.arange(int((~large).sum())), size[~large])
+            labels[at] = at[_small_labels([texts[i] for i in at], bucket, percent)]
+        for j in np.flatnonzero(large).tolist():
+            labels[starts[j] : starts[j] + size[j]] = starts[j] + _large_labels(texts[starts[j] : starts[j] + size[j]], percent)
         moved = np.flatnonzero(labels != np.arange(len(labels)))
         ids = np.array(nodes, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(ids[labels[moved]]), pa.array(ids[moved])], names=["a", "b"])
 
+    last = None
     for batch in batches:
         for key, node, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if len(nodes) >= _SEARCHED and key != keys[-1]:
-                yield flush()
-                nodes, texts, keys = [], [], []
+            if key != last or not nodes:
+                if len(nodes) >= _SEARCHED or held >= _BATCH_CHARS:
+                    yield flush()
+                    nodes, texts, starts, held = [], [], [], 0
+                starts.append(len(nodes))
+                last = key
             nodes.append(node)
             texts.append(words)
-            keys.append(key)
+            held += len(words)
     yield flush()
 
 
@@ -306,12 +403,8 @@ def _line_classes(source: DataFrame, found: DataFrame, similarity: float, bucket
 
     members = colliding.join(counts, "band").join(nodes, ["hi", "lo"]).select("band", "n", "node", "words")
     small = members.filter(F.col("n") <= bucket).select("band", "node", "words")
-    edges = (
-        small.repartition("band").sortWithinPartitions("band", "node")
-        .mapInArrow(lambda batches: _search(batches, similarity), "a bigint, b bigint")
-    )
-    hot = members.filter(F.col("n") > bucket).select("band", "node", "words")
-    edges = materialize(edges.unionAll(_hot_links(hot, similarity)), "paragraph-links")
+    hot = members.filter(F.col("n") > bucket).select("band", "n", "node", "words")
+    edges = materialize(_links(small, similarity).unionAll(_links(_dealt(hot, bucket), similarity)), "paragraph-links")
     roots = components(edges).select(F.col("node"), "root")
     named = nodes.select("hi", "lo", "node").join(roots, "node", "left").select(
         "hi", "lo", F.coalesce("root", "node").alias("root")
@@ -329,34 +422,23 @@ def _line_classes(source: DataFrame, found: DataFrame, similarity: float, bucket
     return found.drop("bands").join(whole, ["hi", "lo"])
 
 
-def _hot_links(hot: DataFrame, similarity: float) -> DataFrame:
-    """Links of large buckets, dealt by (bucket, one of a set's prefix shingles).
-
-    The prefix is taken in a fixed order of the shingles (by a hash), the same
-    for all sets, so two linked sets meet under at least one of them.
-    """
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for band, node, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = shingles(words.split(b" "))
-                most = len(s) - math.ceil(round(similarity * len(s), 9)) + 1
-                for x in s[:most].tolist():  # ascending hash values are the fixed order
-                    rows.append((xxhash.xxh3_64_intdigest(f"{band}:{x}".encode()) - (1 << 63), node, words))
-            columns = zip(*rows, strict=True) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                names=["band", "node", "words"],
-            )
-
-    dealt = hot.mapInArrow(deal, "band bigint, node bigint, words binary")
+def _links(members: DataFrame, similarity: float) -> DataFrame:
     return (
-        dealt.repartition("band").sortWithinPartitions("band", "node")
+        members.repartition("band").sortWithinPartitions("band", "node")
         .mapInArrow(lambda batches: _search(batches, similarity), "a bigint, b bigint")
     )
 
 
+def _dealt(hot: DataFrame, bucket: int) -> DataFrame:
+    """Members of large buckets, dealt in slices of about ``bucket``; every two slices of a
+    bucket, and so every two of its members, meet in a bucket of their own."""
+    slices = F.ceil(F.col("n") / bucket).cast("int")
+    own = hot.withColumns({"slices": slices, "slice": F.pmod(F.xxhash64("node"), slices).cast("int")})
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).filter("other <> slice")
+    pair = F.xxhash64("band", F.least("slice", "other"), F.greatest("slice", "other"))
+    return met.select(pair.alias("band"), "node", "words")
+
+
 def paragraph_rows(docs: DataFrame) -> DataFrame:
     """Every line of 20+ words that repeats, exactly or nearly, and every paragraph of a repeated passage of 50+ words."""
     return classes(docs.select("doc_id", "text"))

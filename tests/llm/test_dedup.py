@@ -1,10 +1,12 @@
 """Operators 2, 5, 8 and 9: duplicates, against plain versions."""
 
 import random
+import time
 from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stockroom.llm import lines, paragraphs, passages, simhash, suffixes
@@ -113,6 +115,66 @@ def test_third_of_all_rows_from_one_template(spark):
     assert set(range(300)) <= found and not any(d >= 1000 for d in found)
 
 
+def _searched(rows):
+    """Links of ``paragraphs._search`` over rows (key, node, words) by key, as components of each key."""
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 700]), (pa.int64(), pa.int64(), pa.binary()))],
+                                          names=["band", "node", "words"]) for i in range(0, len(rows), 700)]
+    return [(a, b) for found in paragraphs._search(iter(batches), 0.8) for a, b in zip(found["a"].to_pylist(), found["b"].to_pylist())]
+
+
+def test_links_of_buckets_of_all_sizes():
+    rng = random.Random(31)
+    rows, want, node = [], [], 0
+    for key, size in enumerate([2, 1, 127, 128, 3, 400, 2, 129, *[2] * 300, 900, 5]):
+        bases = [_words(rng, rng.choice([1, 3, 4, 5, 30, 60])) for _ in range(rng.choice([1, 3]))]
+        texts = []
+        for _ in range(size):
+            w = list(rng.choice(bases))
+            for _ in range(rng.choice([0, 1, 2, 5])):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(4)}"
+            texts.append(" ".join(w).encode())
+        sets = []
+        for t in texts:
+            w = t.split()
+            sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))})
+        first = list(range(size))  # the least of a component
+        for a in range(size):
+            for b in range(a):
+                if first[a] != first[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    x, y = sorted((first[a], first[b]))
+                    first = [x if f == y else f for f in first]
+        want += [(node + f, node + i) for i, f in enumerate(first) if f != i]
+        rows += [(key, node + i, t) for i, t in enumerate(texts)]
+        node += size
+    assert sorted(_searched(rows)) == sorted(want)
+
+
+def test_a_large_bucket_of_near_lines_takes_little_time():
+    """Pairs of a bucket that share a hundred shingles each are not counted shingle by shingle."""
+    rng = random.Random(37)
+    base, rows = _words(rng, 120), []
+    for i in range(3000):
+        w = list(base)
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(120)] = f"n{i}x{rng.randrange(9)}"
+        rows.append((7, i, " ".join(w).encode()))
+    began = time.process_time()
+    assert sorted(_searched(rows)) == [(0, i) for i in range(1, 3000)]
+    assert time.process_time() - began < 5
+
+
+def test_members_of_a_hot_bucket_meet_in_few_buckets(spark):
+    """Every two members meet, and a member is sent once for each other slice, not once for each shingle of its prefix."""
+    hot = spark.range(60).selectExpr("id % 2 AS band", "30L AS n", "id AS node", "cast('w' AS binary) AS words")
+    met = defaultdict(set)
+    sent = paragraphs._dealt(hot, 10).collect()
+    for r in sent:
+        met[r["band"]].add(r["node"])
+    assert len(sent) == 60 * 2 and len(met) == 2 * 3 and all(len({n % 2 for n in m}) == 1 for m in met.values())
+    pairs = {(a, b) for m in met.values() for a in m for b in m}
+    assert pairs == {(a, b) for a in range(60) for b in range(60) if a % 2 == b % 2}
+
+
 def test_bands_reach_the_recall():
     n = paragraphs.bands_for()
     assert 1 - (1 - paragraphs.SIMILARITY**paragraphs.BAND_ROWS) ** n >= paragraphs.RECALL
