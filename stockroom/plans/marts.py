@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,12 +152,25 @@ def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataF
     return with_items(sums, items, days.select("_piece", *_CALENDAR).distinct())
 
 
-def with_items(sums: DataFrame, items: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+# Which part of a hot item a row belongs to; -1 for other items.
+APART = "_apart"
+
+
+def with_items(
+    sums: DataFrame, items: DataFrame, pieces: DataFrame | None = None, hot: tuple[Sequence[str], int] | None = None
+) -> DataFrame:
     """Sums per week and item joined to the items' rows; with ``pieces`` the calendar
-    columns are those of the sum's ``_piece``."""
+    columns are those of the sum's ``_piece``.  With ``hot``, some items and a number of parts, the sums
+    lie by item and ``APART``, and a hot item's rows go to each of its parts."""
     # item rows that differ in their source only stay apart, as grouping keys
     it = items.groupBy("uuid", *_SALES_ITEM, F.col("source").alias("item_source")).agg(F.count(F.lit(1)).alias("_n"))
-    j = sums.join(it, sums["itemuuid"] == it["uuid"], "left")
+    on = sums["itemuuid"] == it["uuid"]
+    if hot is not None:
+        chosen, parts = hot
+        places = F.when(F.col("uuid").isin(list(chosen)), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(-1)))
+        it = it.withColumn("_of", F.explode(places))
+        on = (sums["itemuuid"] == it["uuid"]) & (sums[APART] == it["_of"])
+    j = sums.join(it, on, "left")
     if pieces is not None:
         j = j.join(F.broadcast(pieces), "_piece")
     n = F.coalesce("_n", F.lit(1))

@@ -20,7 +20,7 @@ from stockroom.plans.build import OBSERVED, MartTables, stored_violations
 from stockroom.plans.sales_state import SalesState
 from stockroom.sources.fixtures import CHANGE_ORDER, Inputs
 from stockroom.sources.newest import NewestTable
-from stockroom.sources.sinks import materialize
+from stockroom.sources.sinks import discard, materialize
 from stockroom.session import ensure_checkpoint_dir
 
 AS_OF = dt.date(2001, 12, 31)
@@ -133,6 +133,7 @@ def _sales_weekly_from_state(m: Mart) -> DataFrame:
     state.add(m.date_dim, sold)
     last = F.date_trunc("week", F.lit(AS_OF)).cast("date")
     state.add(m.date_dim, sold.where(F.col("date").between(last, F.date_add(last, 6))))
+    discard(sold)  # the state holds its days
     return state.weekly(m.item_dim)
 
 

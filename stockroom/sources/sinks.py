@@ -87,16 +87,19 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def append_snapshot(
-    df: DataFrame, path: str, schema: StructType | None = None, partition_col: str | Sequence[str] = "insertdate"
+    df: DataFrame, path: str, schema: StructType | None = None, partition_col: str | Sequence[str] = "insertdate",
+    dealt: bool = False,
 ) -> None:
     """``INSERT INTO history SELECT`` for one or more run days.  The history is
     partitioned by run day and written with dynamic partition overwrite, so a
     rerun of a day replaces that day instead of appending it twice, and other
-    days are untouched."""
+    days are untouched.  ``dealt`` rows lie by their partition already."""
     partitions = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     out = conform(df, schema) if schema is not None else df
-    # a partition comes from as few tasks as its size allows, so it has few files
-    (out.hint("rebalance", *[F.col(c) for c in partitions]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if not dealt:
+        # a partition comes from as few tasks as its size allows, so it has few files
+        out = out.hint("rebalance", *[F.col(c) for c in partitions])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         .partitionBy(*partitions).parquet(path))
 
 
@@ -111,5 +114,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table of ``materialize`` that nothing reads any more."""
+    spark = table.sparkSession
+    for place in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -203,3 +203,86 @@ def test_both_runs_of_the_sales_state_read_one_order_table(spark, monkeypatch):
     monkeypatch.setattr(sales_state.SalesState, "weekly", lambda self, items, weeks=None: None)
     QUERIES["sales_weekly_from_state"](spark, SF_SMALL)
     assert len(given) == 2 and not [p for p in given if "lineitem" in p or "Exchange" in p]
+
+
+def _sold(spark, rows):
+    schema = "date date, itemuuid string, orderuuid string, qty_sold bigint, price decimal(10,2), discount decimal(38,0), locationid string, source string"
+    return spark.createDataFrame(rows, schema)
+
+
+def _hot_sales(spark):
+    """One item has most rows, in several weeks and places; some have no item, an order spans two days."""
+    from decimal import Decimal
+
+    rows = []
+    for i in range(600):
+        day = dt.date(2001, 10, 1) + dt.timedelta(days=i % 60)
+        item = None if i % 11 == 0 else "i0" if i % 3 else f"i{i % 7}"
+        rows.append((day, item, f"o{i // 2}" if i % 13 else None, i % 5, Decimal(i % 9), None if i % 4 == 0 else Decimal(i % 6 - 2), str(i % 2), "pos"))
+    return _sold(spark, rows)
+
+
+def _two_rows_each(spark, items):
+    return spark.createDataFrame(
+        [("s", i, "b", "v", "c", "d", "red", size, "x", "pos") for i in items for size in ("L", "L", "M")], Mart(spark, SF_SMALL).item_dim.schema
+    )
+
+
+def test_rows_of_a_hot_item_are_dealt_by_their_groups(spark, tmp_dir, monkeypatch):
+    from stockroom.plans import marts, sales_state
+    from stockroom.plans.calendar import date_dim
+
+    orders, spine = _hot_sales(spark), date_dim(spark, AS_OF)
+    items = _two_rows_each(spark, ["i0", "i1", "i2", "i3", "i9"])
+    state = sales_state.SalesState(spark, f"{tmp_dir}/state-hot")
+    state.add(spine, orders)
+    want = spark_rows(marts.sales_weekly(spine, orders, items))
+    hot, parts = state._hot_items(state.rows())
+    assert "i0" in hot and parts > 1
+    assert spark_rows(state.weekly(items)) == want
+    monkeypatch.setattr(sales_state.SalesState, "_hot_items", lambda self, rows: ([], 3))
+    assert spark_rows(state.weekly(items)) == want
+    monkeypatch.setattr(sales_state.SalesState, "_hot_items", lambda self, rows: ([f"i{k}" for k in range(9)], 5))
+    assert spark_rows(state.weekly(items)) == want
+
+
+def test_rows_of_the_state_move_once_for_their_sums_and_items(spark, tmp_dir):
+    from stockroom.plans.calendar import date_dim
+    from stockroom.plans.sales_state import SalesState
+
+    state = SalesState(spark, f"{tmp_dir}/state-once")
+    state.add(date_dim(spark, AS_OF), _hot_sales(spark))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = state.weekly(_two_rows_each(spark, ["i0", "i1"]))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*itemuuid", p)) == 1, p
+
+
+def test_a_large_week_is_written_in_parts(spark, tmp_dir):
+    """The rows are dealt once, to the files of their week: as many as its rows need."""
+    from stockroom.plans.calendar import date_dim
+    from stockroom.plans.sales_state import daily_orders
+
+    orders, spine = _hot_sales(spark), date_dim(spark, AS_OF)
+    whole, dealt = daily_orders(spine, orders), daily_orders(spine, orders, week_rows=20)
+    assert spark_rows(whole) == spark_rows(dealt)
+    week = F.col("weekending") == dt.date(2001, 10, 14)
+    tasks = lambda df: df.where(week).select(F.spark_partition_id()).distinct().count()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert tasks(whole) == 1 and 1 < tasks(dealt) <= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_the_order_table_of_the_state_does_not_stay(spark):
+    from pathlib import Path
+
+    tables = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "tables"
+    before = {p.name for p in tables.glob("orders-*")}
+    assert QUERIES["sales_weekly_from_state"](spark, SF_SMALL).count() > 0
+    assert {p.name for p in tables.glob("orders-*")} <= before
