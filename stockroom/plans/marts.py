@@ -152,8 +152,8 @@ def sales_weekly(spine: DataFrame, orders: DataFrame, items: DataFrame) -> DataF
     return with_items(sums, items, days.select("_piece", *_CALENDAR).distinct())
 
 
-# Which part of a hot item a row belongs to; -1 for other items.
-APART = "_apart"
+# Which part of a hot item, by week, location and source, a row belongs to; -1 for other items.
+APART = "_locationid_part"
 
 
 def with_items(
